@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("state",)
+MODULES = ("state", "catalog", "findings", "definitions")
 
 
 def load_all():
