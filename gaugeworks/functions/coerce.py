@@ -100,11 +100,11 @@ def severity_from_total(c: ColumnLike) -> Column:
 
 def fmt_pct(c: ColumnLike, digits: int = 2) -> Column:
     number = safe_double(c)
-    return F.coalesce(F.concat(F.format_string(f"%.{digits}f", number), F.lit("%")), F.lit("NA"))
+    return F.when(number.isNull(), F.lit("NA")).otherwise(F.concat(F.format_string(f"%.{digits}f", number), F.lit("%")))
 
 
 def _strip_zeros(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    return F.when(text.contains("."), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
 
 
 def fmt_significant(c: ColumnLike, digits: int = 6, commas: bool = False) -> Column:
@@ -112,16 +112,15 @@ def fmt_significant(c: ColumnLike, digits: int = 6, commas: bool = False) -> Col
     number = safe_double(c)
     scientific = F.format_string(f"%.{digits - 1}e", number)
     exponent = F.substring_index(scientific, "e", -1).cast("int")
-    plain = F.lit(None).cast("string")
     flag = "," if commas else ""
-    for power in range(-4, digits):
-        plain = F.when(exponent == power, F.format_string(f"%{flag}.{digits - 1 - power}f", number)).otherwise(plain)
+    form = F.concat(F.lit(f"%{flag}."), F.greatest(F.lit(digits - 1) - exponent, F.lit(0)).cast("string"), F.lit("f"))
+    plain = F.call_function("format_string", form, number)
     mantissa = _strip_zeros(F.substring_index(scientific, "e", 1))
-    return F.when(number == 0, F.lit("0")).otherwise(
-        F.coalesce(
-            F.when(plain.contains("."), _strip_zeros(plain)).otherwise(plain),
-            F.concat(mantissa, F.lit("e"), F.substring_index(scientific, "e", -1)),
-        )
+    return (
+        F.when(number.isNull(), F.lit(None).cast("string"))
+        .when(number == 0, F.lit("0"))
+        .when(exponent.between(-4, digits - 1), _strip_zeros(plain))
+        .otherwise(F.concat(mantissa, F.lit("e"), F.substring_index(scientific, "e", -1)))
     )
 
 

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("state", "catalog", "findings", "definitions")
+MODULES = ("state", "catalog", "findings", "definitions", "report")
 
 
 def load_all():
