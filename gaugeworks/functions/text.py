@@ -26,7 +26,7 @@ DIMENSION_TITLES = (
 def squeeze(c: ColumnLike) -> Column:
     """Trimmed lower-case text with single spaces; null reads as empty."""
     text = F.coalesce(as_col(c).cast("string"), F.lit(""))
-    return F.lower(F.trim(F.regexp_replace(text, r"\s+", " ")))
+    return F.lower(F.trim(F.regexp_replace(text, r"(?U)\s+", " ")))
 
 
 def labels_to_array(c: ColumnLike) -> Column:
