@@ -139,7 +139,7 @@ def suggest_titles(breaks: DataFrame, keys: Sequence[str], tie: Sequence[Column
     items = breaks.filter(~F.col("is_row_count") & F.col("item").isNotNull())
     named = top_n(first_row(items, [*keys, "item"], by_score), keys, by_score, 2, rank="__n")
     columns = named.groupBy(*keys).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__n", "item"))), lambda x: x["item"]), ", ").alias("__columns")
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("__n", "item"))), lambda x: x["item"]), ", ").alias("__columns")
     )
     counted = first_row(breaks.filter("is_row_count"), keys, by_score)
     value, mean, change = F.col("value"), F.col("mean"), F.col("perChange")
@@ -348,7 +348,7 @@ def duplicate_lines(dupes: DataFrame, observations: DataFrame, max_columns: int
     names = spots.groupBy(*run, "name").agg(F.min(F.struct("ord", "at")).alias("spot"))
     last = F.when(F.col("name") == "occurs", 1).otherwise(0)
     kept = top_n(names, run, [last, F.col("spot").asc(), F.col("name").asc()], max_columns, rank="__n")
-    headers = kept.groupBy(*run).agg(F.transform(F.array_sort(F.collect_list(F.struct("__n", "name"))), lambda x: x["name"]).alias("names"))
+    headers = kept.groupBy(*run).agg(F.transform(F.sort_array(F.collect_list(F.struct("__n", "name"))), lambda x: x["name"]).alias("names"))
     cells = records.join(headers, run).select(
         *run, "ord", F.transform("names", lambda n: F.coalesce(F.try_element_at("record", n), F.lit("nan"))).alias("cells")
     )

@@ -21,7 +21,7 @@ def unwrap_envelope(df: DataFrame, payload: str, first_wrapper: str, out: str =
     parsed = df.withColumn("__p", F.try_parse_json(F.col(payload)))
     paths = ["$"] + [f"$.{w}" for w in (first_wrapper, *LIST_WRAPPERS)]
     lists = F.coalesce(*[F.try_variant_get("__p", p, "array<variant>") for p in paths])
-    rows = parsed.withColumn(out, F.explode(lists)).drop("__p")
+    rows = parsed.withColumn(out, F.explode_outer(lists)).drop("__p")
     return rows.filter(F.schema_of_variant(out).startswith("OBJECT"))
 
 

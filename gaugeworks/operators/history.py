@@ -104,7 +104,7 @@ def _recent_runs(runs: DataFrame, n: int, key: str, time_col: str, tie: str, row
     previous = F.lag("__filled").over(window)
     change = (F.try_divide(F.col("__filled").cast("double"), previous.cast("double")) - 1) * 100.0
     run = F.struct(F.col(time_col).alias("at"), F.col(tie).alias("tie"), F.col(rows).alias("rows"), F.col("__pct").alias("pct"), *extra)
-    return recent.withColumn("__pct", change).groupBy(key).agg(F.array_sort(F.collect_list(run)).alias("__runs"))
+    return recent.withColumn("__pct", change).groupBy(key).agg(F.sort_array(F.collect_list(run)).alias("__runs"))
 
 
 def history_lines(runs: Column, zone: str, label: str, n: int, scores: Sequence[str]) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import squeeze
+from ..session import materialize
 from .relational import first_row
 
 # Weights of the blend, sizes of the grams.
@@ -17,26 +18,34 @@ WEIGHTS = {"char": 0.35, "word": 0.35, "tokens": 0.20, "columns": 0.10}
 CHAR_SIZES = (3, 4, 5)
 
 
-def char_grams(text: Column) -> Column:
-    """Grams of each blank-padded word; a word no longer than a size yields that size once and no larger ones."""
-    padded = F.transform(F.filter(F.split(text, " "), lambda w: w != ""), lambda w: F.concat(F.lit(" "), w, F.lit(" ")))
-
-    def of_size(word: Column, size: int) -> Column:
-        last = F.greatest(F.length(word) - size + 1, F.lit(1))
-        grams = F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(word, i, F.lit(size)))
-        if size == CHAR_SIZES[0]:
-            return grams
-        return F.when(F.length(word) >= size, grams).otherwise(F.array().cast("array<string>"))
-
-    return F.flatten(F.transform(padded, lambda w: F.concat(*[of_size(w, n) for n in CHAR_SIZES])))
-
-
 def word_grams(text: Column) -> Column:
     words = F.regexp_extract_all(text, F.lit(r"(?U)(\w+)"), F.lit(1))
     pairs = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))
     return F.concat(words, F.filter(pairs, lambda p: p.isNotNull()))
 
 
+def title_terms(docs: DataFrame, keys: list[str]) -> DataFrame:
+    """Term counts of both spaces per title: keys, space, term, tf.
+
+    Space w holds single words and pairs of neighbours.  Space c holds the
+    character grams of each blank-padded word; a word no longer than a size
+    yields that size once and no larger ones.  Grams are cut by exploding
+    sizes and positions, which stays in generated code.  A term is the 64-bit
+    hash of its space and text, so that joins and vectors carry no strings.
+    """
+    norm = squeeze("title")
+    padded = F.transform(F.filter(F.split(norm, " "), lambda w: w != ""), lambda w: F.struct(F.lit("c").alias("space"), F.concat(F.lit(" "), w, F.lit(" ")).alias("unit")))
+    grams = F.transform(word_grams(norm), lambda g: F.struct(F.lit("w").alias("space"), g.alias("unit")))
+    units = docs.select(*keys, F.explode_outer(F.concat(padded, grams)).alias("u")).select(*keys, "u.space", "u.unit", F.length("u.unit").alias("len"))
+    low, high = CHAR_SIZES[0], CHAR_SIZES[-1]
+    first = F.when(F.col("space") == "w", F.col("len")).otherwise(F.lit(low))
+    last = F.when(F.col("space") == "w", F.col("len")).otherwise(F.greatest(F.lit(low), F.least(F.lit(high), F.col("len"))))
+    sized = units.filter("len > 0").withColumn("size", F.explode(F.sequence(first, last)))
+    placed = sized.withColumn("at", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("len") - F.col("size") + 1))))
+    term = F.xxhash64("space", F.substring(F.col("unit"), F.col("at"), F.col("size")))
+    return placed.select(*keys, "space", term.alias("term")).groupBy(*keys, "space", "term").agg(F.count("*").alias("tf"))
+
+
 def column_tokens(text: Column) -> Column:
     """Distinct lower-case tokens that look like column names."""
     tokens = F.regexp_extract_all(F.lower(text), F.lit("([a-z0-9_]+)"), F.lit(1))
@@ -80,33 +89,47 @@ def token_set_ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[
         yield pd.Series([_token_set(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
-def _terms(docs: DataFrame) -> DataFrame:
-    """Term counts of both spaces: (dataset, title, space, term, tf)."""
-    norm = squeeze("title")
-    spaces = docs.select(
-        "dataset", "title",
-        F.explode(F.array(
-            F.struct(F.lit("c").alias("space"), char_grams(norm).alias("terms")),
-            F.struct(F.lit("w").alias("space"), word_grams(norm).alias("terms")),
-        )).alias("s"),
-    )
-    distinct = F.array_distinct("s.terms")
-    counted = F.transform(distinct, lambda t: F.struct(t.alias("term"), F.size(F.filter("s.terms", lambda x: x == t)).alias("tf")))
-    return spaces.select("dataset", "title", "s.space", F.explode(counted).alias("x")).select("dataset", "title", "space", "x.term", "x.tf")
+def _unit(terms: Column, space: str, norm: Column) -> Column:
+    """Unit vector of one space, rarest term first."""
+    own = F.filter(terms, lambda x: x["space"] == space)
+    return F.transform(own, lambda x: F.struct(x["term"].alias("term"), (x["w"] / norm).alias("w")))
 
 
-def _vectors(terms: DataFrame, idf: DataFrame) -> DataFrame:
-    """Unit vectors per title and space, rarest term first: (dataset, title, space, vec[{idf, term, w}]).
+def title_vectors(candidates: DataFrame, tickets: DataFrame) -> DataFrame:
+    """Both sides as one table of distinct titles with their TF-IDF vectors.
 
-    A vector holds the terms of one title, so the lists stay as short as titles.
+    Columns: dataset, title, side (c or t), ord, char and word (arrays of term
+    and weight).  The frequencies come from the ticket titles alone, copies
+    included; terms no ticket title has are dropped.  A vector holds the terms
+    of one title, so the lists stay as short as titles.
     """
-    weighed = terms.join(idf, ["dataset", "space", "term"]).withColumn("w", F.col("tf") * F.col("idf"))
-    lists = weighed.groupBy("dataset", "title", "space").agg(
-        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
-        F.array_sort(F.collect_list(F.struct((-F.col("idf")).alias("rarity"), "term", "w"))).alias("vec"),
+    titles = tickets.filter(squeeze("title") != "").groupBy("dataset", "title").agg(F.count("*").alias("copies"), F.min("ord").alias("ord"))
+    wanted = candidates.select("dataset", "title").filter(F.col("title").isNotNull()).distinct()
+    wanted = wanted.join(tickets.select("dataset"), "dataset", "left_semi")
+    both = titles.withColumn("side", F.lit("t")).unionByName(
+        wanted.withColumns({"side": F.lit("c"), "copies": F.lit(0).cast("bigint"), "ord": F.lit(None).cast(titles.schema["ord"].dataType)})
+    )
+    # A title grows some forty-fold here, so its partitions must not be merged by their input size.
+    both = both.repartition(int(tickets.sparkSession.conf.get("spark.sql.shuffle.partitions")), "dataset", "title")
+    terms = title_terms(both, ["dataset", "title", "side", "copies", "ord"])
+    total = titles.groupBy("dataset").agg(F.sum("copies").alias("n"))
+    frequency = terms.filter("side = 't'").groupBy("dataset", "term").agg(F.sum("copies").alias("df"))
+    idf = frequency.join(total, "dataset").select("dataset", "term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
+    weighed = terms.join(idf, ["dataset", "term"])
+    weighed = weighed.withColumn("w", F.col("tf") * F.col("idf"))
+    entry = F.struct((-F.col("idf")).alias("rarity"), "space", "term", "w")
+
+    def norm_of(space: str) -> Column:
+        return F.sqrt(F.sum(F.when(F.col("space") == space, F.col("w") * F.col("w"))))
+
+    lists = weighed.groupBy("dataset", "title", "side", "ord").agg(
+        F.sort_array(F.collect_list(entry)).alias("terms"), norm_of("c").alias("char_norm"), norm_of("w").alias("word_norm")
+    )
+    return lists.select(
+        "dataset", "title", "side", "ord",
+        _unit(F.col("terms"), "c", F.col("char_norm")).alias("char"),
+        _unit(F.col("terms"), "w", F.col("word_norm")).alias("word"),
     )
-    unit = F.transform("vec", lambda x: F.struct(x["term"].alias("term"), (x["w"] / F.col("norm")).alias("w")))
-    return lists.select("dataset", "title", "space", unit.alias("vec"))
 
 
 def _prefix(vec: Column, bound: float) -> Column:
@@ -116,18 +139,19 @@ def _prefix(vec: Column, bound: float) -> Column:
     bound^2: what follows is too light to reach the bound alone.
     """
     limit = bound * bound - 1e-9
-    weights = F.transform(vec, lambda x: x["w"] * x["w"])
-    tail = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(vec), F.lit(1))),
-        lambda i: F.aggregate(F.slice(weights, i, F.size(vec)), F.lit(0.0), lambda a, b: a + b),
-    )
-    keep = F.size(F.filter(tail, lambda s: s >= limit))
-    return F.transform(F.slice(vec, 1, F.greatest(keep, F.lit(1))), lambda x: x["term"])
+    start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("light"))
+
+    def add(acc: Column, w: Column) -> Column:
+        total = acc["sum"] + w * w
+        return F.struct(total.alias("sum"), F.when(total < limit, acc["light"] + 1).otherwise(acc["light"]).alias("light"))
+
+    light = F.aggregate(F.reverse(F.transform(vec, lambda x: x["w"])), start, add)["light"]
+    return F.transform(F.slice(vec, 1, F.size(vec) - light), lambda x: x["term"])
 
 
 def _dot(a: Column, b: Column) -> Column:
-    weights = F.map_from_entries(F.coalesce(b, F.array().cast("array<struct<term:string,w:double>>")))
-    products = F.transform(F.coalesce(a, F.array().cast("array<struct<term:string,w:double>>")), lambda x: x["w"] * F.coalesce(F.try_element_at(weights, x["term"]), F.lit(0.0)))
+    """Product of a vector and a vector held as a map."""
+    products = F.transform(a, lambda x: x["w"] * F.coalesce(F.try_element_at(b, x["term"]), F.lit(0.0)))
     return F.aggregate(products, F.lit(0.0), lambda s, x: s + x)
 
 
@@ -160,45 +184,39 @@ def match_titles(candidates: DataFrame, tickets: DataFrame, threshold: float = 0
     bound = (threshold - WEIGHTS["tokens"] - WEIGHTS["columns"]) / (WEIGHTS["char"] + WEIGHTS["word"])
     if bound <= 0:
         raise ValueError("threshold must exceed 0.3 so that a shared term is required")
-    docs = tickets.filter(squeeze("title") != "").groupBy("dataset", "title").agg(F.count("*").alias("copies"), F.min("ord").alias("ord"))
-    wanted = candidates.select("dataset", "title").filter(F.col("title").isNotNull()).distinct().join(docs.select("dataset"), "dataset", "left_semi")
-
-    total = docs.groupBy("dataset").agg(F.sum("copies").alias("n"))
-    doc_terms = _terms(docs).join(docs.select("dataset", "title", "copies"), ["dataset", "title"])
-    frequency = doc_terms.groupBy("dataset", "space", "term").agg(F.sum("copies").alias("df"))
-    idf = frequency.join(total, "dataset").select(
-        "dataset", "space", "term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf")
+    vectors = materialize(title_vectors(candidates, tickets), "titles")
+
+    def side(name: str) -> DataFrame:
+        return vectors.filter(F.col("side") == name)
+
+    def keyed(name: str) -> DataFrame:
+        leading = F.concat(_prefix(F.col("char"), bound), _prefix(F.col("word"), bound))
+        return side(name).select("dataset", F.col("title").alias(name), F.explode_outer(leading).alias("key"))
+
+    left = side("c").select("dataset", F.col("title").alias("c"), F.col("char").alias("c_char"), F.col("word").alias("c_word"))
+    right = side("t").select(
+        "dataset", F.col("title").alias("t"), "ord", F.map_from_entries("char").alias("t_char"), F.map_from_entries("word").alias("t_word")
+    )
+    pairs = keyed("c").join(keyed("t"), ["dataset", "key"]).select("dataset", "c", "t").distinct()
+    scored = pairs.join(left, ["dataset", "c"]).join(right, ["dataset", "t"]).select(
+        "dataset", "c", "t", "ord",
+        (WEIGHTS["char"] * _dot(F.col("c_char"), F.col("t_char")) + WEIGHTS["word"] * _dot(F.col("c_word"), F.col("t_word"))).alias("cosines"),
     )
-    title_vectors = _vectors(doc_terms.drop("copies"), idf)
-    candidate_vectors = _vectors(_terms(wanted), idf)
-
-    def keyed(vectors: DataFrame, name: str) -> DataFrame:
-        return vectors.select("dataset", "space", F.col("title").alias(name), F.explode(_prefix(F.col("vec"), bound)).alias("term"))
-
-    pairs = keyed(candidate_vectors, "c").join(keyed(title_vectors, "t"), ["dataset", "space", "term"]).select("dataset", "c", "t").distinct()
-
-    def sided(vectors: DataFrame, name: str) -> DataFrame:
-        return vectors.groupBy("dataset", F.col("title").alias(name)).agg(
-            F.first(F.when(F.col("space") == "c", F.col("vec")), ignorenulls=True).alias(f"{name}_char"),
-            F.first(F.when(F.col("space") == "w", F.col("vec")), ignorenulls=True).alias(f"{name}_word"),
-        )
-
-    scored = pairs.join(sided(candidate_vectors, "c"), ["dataset", "c"]).join(sided(title_vectors, "t"), ["dataset", "t"])
-    scored = scored.select("dataset", "c", "t", _dot(F.col("c_char"), F.col("t_char")).alias("char"), _dot(F.col("c_word"), F.col("t_word")).alias("word"))
-    cosines = F.lit(WEIGHTS["char"]) * F.col("char") + F.lit(WEIGHTS["word"]) * F.col("word")
-    near = scored.filter(cosines + WEIGHTS["tokens"] + WEIGHTS["columns"] >= threshold - 1e-9).withColumns(
-        {
-            "tokens": token_set_ratio("c", "t"),
-            "c_cols": F.array_sort(column_tokens(F.col("c"))),
-            "shared": F.size(F.array_intersect(column_tokens(F.col("c")), column_tokens(F.col("t")))),
-        }
+    near = materialize(
+        scored.filter(F.col("cosines") + WEIGHTS["tokens"] + WEIGHTS["columns"] >= threshold - 1e-9).withColumns(
+            {
+                "tokens": token_set_ratio("c", "t"),
+                "c_cols": F.array_sort(column_tokens(F.col("c"))),
+                "shared": F.size(F.array_intersect(column_tokens(F.col("c")), column_tokens(F.col("t")))),
+            }
+        ),
+        "near-titles",
     )
-    near = near.join(_best_overlap(near, docs), ["dataset", "c_cols"], "left")
-    overlap = F.when(F.col("shared") == 0, 0.0).otherwise(F.col("shared") / F.greatest(F.coalesce("best_shared", F.size("c_cols")), F.col("shared")))
-    blended = cosines + F.lit(WEIGHTS["tokens"]) * F.col("tokens") + F.lit(WEIGHTS["columns"]) * overlap
+    near = near.join(_best_overlap(near, side("t")), ["dataset", "c_cols"], "left")
+    overlap = F.when(F.col("shared") == 0, 0.0).otherwise(F.col("shared") / F.coalesce("best_shared", F.size("c_cols")))
+    blended = F.col("cosines") + WEIGHTS["tokens"] * F.col("tokens") + WEIGHTS["columns"] * overlap
     found = near.withColumn("score", F.round(blended, 12)).filter(F.col("score") >= threshold)
-    ranked = found.join(docs.select("dataset", F.col("title").alias("t"), "ord"), ["dataset", "t"])
-    best = first_row(ranked, ["dataset", "c"], [F.desc("score"), F.asc("ord")])
+    best = first_row(found, ["dataset", "c"], [F.desc("score"), F.asc("ord")])
     return best.select("dataset", F.col("c").alias("title"), F.col("t").alias("matched_title"), "score")
 
 

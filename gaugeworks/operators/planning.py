@@ -104,7 +104,7 @@ def sample_records(
     broken = blank_to_null(break_columns) if break_columns else F.lit(None).cast("string")
     shown = F.when(broken.isNotNull(), F.array(broken)).otherwise(F.array(*[F.lit(c) for c in SAMPLE_ENSURED]))
     held = first.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("__n").alias("n"), F.map_entries("record").alias("entries"), shown.alias("shown"), broken.alias("broken")))).alias("rows")
+        F.sort_array(F.collect_list(F.struct(F.col("__n").alias("n"), F.map_entries("record").alias("entries"), shown.alias("shown"), broken.alias("broken")))).alias("rows")
     )
     head = F.col("rows")[0]
     hidden = F.array(*[F.lit(c) for c in SAMPLE_DROPPED])

@@ -73,7 +73,7 @@ def text_of_lines(
     """
     kept = top_n(lines, keys, order_by, max_lines + 1, rank=RANK)
     grouped = kept.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(RANK).alias("n"), F.col(line).alias("t")))).alias("__lines")
+        F.sort_array(F.collect_list(F.struct(F.col(RANK).alias("n"), F.col(line).alias("t")))).alias("__lines")
     )
     split = F.size("__lines") > max_lines
     joined = F.array_join(F.transform("__lines", lambda x: x["t"]), separator)

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("state", "catalog", "findings", "definitions", "report")
+MODULES = ("state", "catalog", "findings", "definitions", "report", "tickets")
 
 
 def load_all():

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime re-planning does the size-dependent work: it broadcasts a side only
 # when its measured size is under the threshold, splits skewed join partitions,
@@ -21,11 +21,11 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "gaugeworks", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
+def build_session(app: str = "gaugeworks", master: str | None = None, shuffle_partitions: int | None = None, extra: dict[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in SETTINGS.items():
+    for key, value in (SETTINGS | (extra or {})).items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -50,3 +50,15 @@ def shared_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/gaugeworks/{label}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """The frame written once to the shared folder and read back.
+
+    For results that several branches of one operator use: they are computed
+    once, a lost executor cannot lose them, and later steps read only the
+    columns they need, with known sizes.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

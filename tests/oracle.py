@@ -9,7 +9,6 @@ import sys
 import time
 
 import duckdb
-from pyspark.sql import SparkSession
 
 from gaugeworks.plans.fixtures import TABLES
 
@@ -75,8 +74,8 @@ def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     only = argv[2:]
     queries, oracles = load_all()
-    SparkSession.builder.config("spark.ui.showConsoleProgress", "false").config("spark.ui.enabled", "false")
-    spark = build_session(master="local[8]", shuffle_partitions=8)
+    quiet = {"spark.ui.showConsoleProgress": "false", "spark.ui.enabled": "false", "spark.driver.memory": "12g"}
+    spark = build_session(master="local[8]", shuffle_partitions=8, extra=quiet)
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     bad = 0
