@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("state", "catalog", "findings", "definitions", "report", "tickets")
+MODULES = ("state", "catalog", "findings", "definitions", "report", "tickets", "investigate")
 
 
 def load_all():
