@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("state", "catalog", "findings", "definitions", "report", "tickets", "investigate")
+MODULES = ("state", "catalog", "findings", "definitions", "report", "tickets", "investigate", "evidence")
 
 
 def load_all():
