@@ -20,7 +20,7 @@ from ..functions.coerce import (
 from ..functions.text import blank_to_null, break_type, dimension_labels, is_row_count, item_name, rule_title, squeeze, title_value
 from .history import row_history
 from .matching import drop_matched
-from .relational import first_row, join_null_safe, text_of_lines, top_n
+from .relational import MAX_LINES, MAX_RANK, first_row, join_null_safe, text_of_lines, top_n
 from .tickets import active_subtasks, stable_titles
 
 # Numeric columns of an adaptive finding, labels of the profile sources.
@@ -174,7 +174,7 @@ def break_lines(breaks: DataFrame, keys: Sequence[str], tie: Sequence[str]) -> D
     return full.select(*keys, "score", *tie, block.alias("line"))
 
 
-def render_breaks(breaks: DataFrame, keys: Sequence[str], tie: Sequence[str], max_lines: int = 1000) -> DataFrame:
+def render_breaks(breaks: DataFrame, keys: Sequence[str], tie: Sequence[str], max_lines: int = MAX_LINES) -> DataFrame:
     """Break list of a run as one text; runs above ``max_lines`` breaks keep theirs in ``break_lines``."""
     lines = break_lines(breaks, keys, tie)
     body = text_of_lines(lines, keys, [F.desc_nulls_last("score"), *tie], "line", "breaks_text", "\n\n", max_lines)
@@ -334,7 +334,7 @@ def pattern_candidates(patterns: DataFrame, observations: DataFrame, tie: Sequen
     return _source_row(joined, F.concat(F.lit("Anti-Pattern: "), "pattern"), labels, whole)
 
 
-def duplicate_lines(dupes: DataFrame, observations: DataFrame, max_columns: int = 1000) -> tuple[DataFrame, DataFrame]:
+def duplicate_lines(dupes: DataFrame, observations: DataFrame, max_columns: int = MAX_RANK) -> tuple[DataFrame, DataFrame]:
     """(columns per run, distinct sample records per run) of duplicate findings.
 
     ``observations`` has dataset, runId, obsKey, ord and ``record``, an ordered

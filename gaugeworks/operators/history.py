@@ -52,12 +52,13 @@ def monthly_snapshot(
     by = [*keys, period]
     monthly = first_row(merged.drop(*drop), by, merged_order)
     past = first_row(history.drop(*drop), by, history_order)
-    latest = past.select(F.max(period))
+    latest = history.select(F.max(period))
 
-    def rows_in_latest(df: DataFrame) -> Column:
-        return df.filter(F.col(period) == latest.scalar()).select(F.count("*")).scalar()
+    def kept_in_latest(df: DataFrame) -> Column:
+        """Rows the period keeps, one per key: only its own rows are read, nothing is ranked for the count."""
+        return df.filter(F.col(period) == latest.scalar()).select(F.count_distinct(F.struct(*keys))).scalar()
 
-    fuller = rows_in_latest(past) > rows_in_latest(monthly)
+    fuller = kept_in_latest(history) > kept_in_latest(merged)
     return monthly.filter(~fuller).unionByName(past.filter(fuller), allowMissingColumns=True)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from itertools import combinations
+from math import prod
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,9 +12,10 @@ from pyspark.sql import functions as F
 def candidate_keys(df: DataFrame, max_width: int = 2) -> DataFrame:
     """Minimal column sets, up to a width, that are never null and never repeat.
 
-    One pass estimates the distinct values of every column and pair; sets far
-    below the row count are dropped, the rest are proved by an exact grouped
-    count.  Only these few statistics reach the driver, never rows.
+    One pass per width estimates distinct values.  Sets far below the row count
+    are dropped, as are wider ones whose columns could not reach it even if
+    independent; the rest are proved by an exact grouped count.  Only these
+    few statistics reach the driver, never rows.
     """
     columns = df.columns
     stats = df.agg(
@@ -23,11 +25,16 @@ def candidate_keys(df: DataFrame, max_width: int = 2) -> DataFrame:
     total = stats["n"]
     usable = [c for c in columns if stats[f"full:{c}"] == total]
     found: list[tuple[str, ...]] = []
+    single: dict[str, int] = {}
     for width in range(1, max_width + 1):
         sets = [s for s in combinations(usable, width) if not any(set(k) <= set(s) for k in found)]
+        if width > 1:
+            sets = [s for s in sets if prod(single[c] for c in s) >= 0.5 * total]
         if not sets or total == 0:
             continue
         guess = df.agg(*[F.approx_count_distinct(F.struct(*[F.col(f"`{c}`") for c in s])).alias(str(i)) for i, s in enumerate(sets)]).first()
+        if width == 1:
+            single = {s[0]: guess[str(i)] for i, s in enumerate(sets)}
         likely = [s for i, s in enumerate(sets) if guess[str(i)] >= 0.5 * total]
         for s in likely:
             repeats = df.groupBy(*[F.col(f"`{c}`") for c in s]).count().filter("count > 1")

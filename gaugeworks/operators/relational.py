@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RANK = "__rank"
+# Spark cuts a ranked window before the shuffle only up to a rank of 1000.
+MAX_RANK = 1000
+MAX_LINES = MAX_RANK - 1
 
 
 def ordering(order_by: Sequence[Column | str]) -> list[Column]:
@@ -21,6 +24,8 @@ def top_n(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str],
     The rank filter sits directly on the window, so every map task keeps at
     most ``n`` rows per key before the shuffle and a hot key stays small.
     """
+    if n > MAX_RANK:
+        raise ValueError(f"at most {MAX_RANK} rows per key, so that the cut happens before the shuffle")
     window = Window.partitionBy(*keys).orderBy(*ordering(order_by))
     name = rank or RANK
     ranked = df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= n)
@@ -63,7 +68,7 @@ def text_of_lines(
     line: str,
     out: str,
     separator: str = "\n",
-    max_lines: int = 1000,
+    max_lines: int = MAX_LINES,
 ) -> DataFrame:
     """One text cell per key from a table of lines.
 

@@ -94,7 +94,22 @@ class Inputs:
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A table; one that comes as a single mid-sized file is spread over the cores.
+
+        Such a file may be one row group, which one task would read and feed
+        through everything up to the next shuffle.  Large tables have many
+        row groups and are read as they are.
+        """
+        path = f"{self.sf_dir}/{name}.parquet"
+        df = self.spark.read.parquet(path)
+        cores = self.spark.sparkContext.defaultParallelism
+        if cores > 1 and 1 << 20 < self._size(path) < 64 << 20 and len(df.inputFiles()) == 1:
+            return df.repartition(cores)
+        return df
+
+    def _size(self, path: str) -> int:
+        held = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return held.getFileSystem(self.spark._jsc.hadoopConfiguration()).getContentSummary(held).getLength()
 
     def sql(self, text: str) -> DataFrame:
         used = set(_NAMES.findall(with_views(text)))
