@@ -18,6 +18,7 @@ from ..functions.coerce import (
     severity_from_total,
 )
 from ..functions.text import blank_to_null, break_type, dimension_labels, is_row_count, item_name, rule_title, squeeze, title_value
+from ..session import materialize
 from .history import row_history
 from .matching import drop_matched
 from .relational import MAX_LINES, MAX_RANK, first_row, join_null_safe, text_of_lines, top_n
@@ -206,7 +207,8 @@ def adaptive_candidates(
     """
     keys = ["dataset", "runId"]
     breaks = classify_breaks(_optional(clean_adaptive(findings, reference), "db_nm", "table_nm", "Project", "key"))
-    breaks = breaks.filter(F.col("dataset").isNotNull() & F.col("runId").isNotNull())
+    # Five branches below use the breaks: the findings are scanned once, each branch reads its own columns.
+    breaks = materialize(breaks.filter(F.col("dataset").isNotNull() & F.col("runId").isNotNull()), "breaks")
     order = F.struct(*tie)
     named = F.col("name") == "Row Count"
     first_count = F.struct("value", "mean", "perChange")
