@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import mixing, quality
+from . import mixing, quality, token_files
 
 QUERIES = {
     "op2_quality_rules": quality.query,
     "op3_mix_sources": mixing.query,
+    "op7_token_files": token_files.query,
 }
 
 ORACLES = {
