@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import mixing, quality, token_files
+from . import jaccard, mixing, quality, token_files
 
 QUERIES = {
     "op2_quality_rules": quality.query,
     "op3_mix_sources": mixing.query,
+    "op4_ngram_jaccard": jaccard.query,
     "op7_token_files": token_files.query,
 }
 
