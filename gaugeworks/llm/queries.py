@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard, mixing, quality, substrings, token_files
+from . import decontaminate, extraction, jaccard, mixing, quality, substrings, token_files
 
 QUERIES = {
     "op2_quality_rules": quality.query,
     "op3_mix_sources": mixing.query,
     "op4_ngram_jaccard": jaccard.query,
+    "op6_html_text": extraction.query,
     "op7_token_files": token_files.query,
     "op8_decontaminate": decontaminate.query,
     "op10_substring_dedup": substrings.query,
