@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
-from . import decontaminate, extraction, jaccard, mixing, quality, substrings, token_files
+from . import decontaminate, extraction, jaccard, lines, mixing, quality, rollups, substrings, token_files, urls
 
 QUERIES = {
+    "op1_line_dedup": lines.query,
     "op2_quality_rules": quality.query,
     "op3_mix_sources": mixing.query,
     "op4_ngram_jaccard": jaccard.query,
+    "op5_url_filter": urls.query,
     "op6_html_text": extraction.query,
     "op7_token_files": token_files.query,
     "op8_decontaminate": decontaminate.query,
+    "op9_token_counts": rollups.query,
     "op10_substring_dedup": substrings.query,
 }
 
+# Random cuts, set joins in a tree, a trained field, token ids, template slots
+# and runs of words are beyond SQL; tests/llm holds them against brute force.
 ORACLES = {
+    "op1_line_dedup": lines.oracle(),
     "op2_quality_rules": quality.oracle(),
+    "op5_url_filter": urls.oracle(),
+    "op9_token_counts": rollups.oracle(),
 }
