@@ -154,9 +154,8 @@ def judge(docs: DataFrame, text: str = "text", carry: list[str] | None = None, r
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows that break no rule, with their own columns only."""
-    columns = docs.columns
-    flags = judge(docs, text, carry=columns)
-    return flags.filter("kept").select(*[flags[c] for c in columns]) if len(set(columns)) == len(columns) else flags
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text).alias("text"))
+    return judge(rows, carry=["row"]).filter("kept").select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
