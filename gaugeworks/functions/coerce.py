@@ -16,6 +16,11 @@ def as_col(c: ColumnLike) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once per row, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), lambda x: use(x)), F.lit(0))
+
+
 def blank_to_null(c: ColumnLike) -> Column:
     return F.nullif(F.trim(as_col(c).cast("string")), F.lit(""))
 

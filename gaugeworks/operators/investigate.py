@@ -134,9 +134,9 @@ def invalidation_list(investigated: DataFrame) -> DataFrame:
     return chosen.select(*INVALIDATION_COLUMNS)
 
 
-def breaks_in_text(df: DataFrame, keys: Sequence[str], col: str, kind: str) -> DataFrame:
-    """Distinct break names per key found in ticket text (``raised``) or in notes (``noted``)."""
-    names = {"raised": raised_breaks, "noted": noted_breaks}[kind](col)
+def breaks_in_text(df: DataFrame, keys: Sequence[str], col: str, note_tag: str | None = None) -> DataFrame:
+    """Distinct break names per key found in ticket text, or in notes that carry ``note_tag``."""
+    names = raised_breaks(col) if note_tag is None else noted_breaks(col, note_tag)
     return df.select(*keys, F.explode_outer(names).alias("break_key")).filter(F.col("break_key").isNotNull()).distinct()
 
 

@@ -17,6 +17,8 @@ from .fixtures import add_views
 from .q_report import CHANGE_SQL
 from .registry import query
 
+NOTE_TAG = "[AUTO_INVALIDATE]"
+
 add_views({
     "fx_seen": """
         SELECT f.dataset, CAST(f.run_date AS STRING) AS run_text, f.run_id, f.run_date, concat('r', CAST(f.run_id AS STRING)) AS runId, f.name, f.type, f.key, f.key AS break_key, f.status,
@@ -181,8 +183,8 @@ def breaks_in_text(t):
     text = F.concat(F.lit("x\n- *col  "), (F.col("doc_id") % 5).cast("string"), F.lit("* — *"), "source", F.lit("*\n- **odd** – **two  words**\n"))
     note = F.concat(F.lit("[auto_invalidate] done\ninvalidated: "), "break_key", F.lit(", plain\n"), "break_key")
     df = t.fx_raised.select("issue_key", text.alias("description"), note.alias("body"))
-    raised = V.breaks_in_text(df, ["issue_key"], "description", "raised").withColumn("kind", F.lit("raised"))
-    return raised.unionByName(V.breaks_in_text(df, ["issue_key"], "body", "noted").withColumn("kind", F.lit("noted")))
+    raised = V.breaks_in_text(df, ["issue_key"], "description").withColumn("kind", F.lit("raised"))
+    return raised.unionByName(V.breaks_in_text(df, ["issue_key"], "body", NOTE_TAG).withColumn("kind", F.lit("noted")))
 
 
 @query("h14_outstanding", """

@@ -133,7 +133,7 @@ def severity(t):
 
 
 @query("f07_title_value", """
-    SELECT doc_id, CASE WHEN lang = 'en' THEN source WHEN length(trim(text)) <= 80 AND trim(text) <> '' THEN trim(text) ELSE concat('rule ', CAST(doc_id AS VARCHAR)) END AS value FROM documents""")
+    SELECT doc_id, CASE WHEN lang = 'en' THEN source WHEN trim(text, ' ') <> '' THEN trim(text, ' ') ELSE concat('rule ', CAST(doc_id AS VARCHAR)) END AS value FROM documents""")
 def title_value(t):
     column = F.when(F.col("lang") == "en", F.col("source")).otherwise("  ")
     return t.documents.select("doc_id", X.title_value(column, "text", F.concat(F.lit("rule "), F.col("doc_id").cast("string"))).alias("value"))

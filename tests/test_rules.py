@@ -75,7 +75,7 @@ def test_text_breaks(spark):
     text = "- *col  a* — *null  x*\n**b** – **Min**\n*c* - *no*"
     assert one(spark, [text, None], "string", X.raised_breaks("v")) == [["col a__NULL X", "b__MIN"], []]
     note = "[auto_invalidate] done\n\n[AUTO_INVALIDATE] invalidated: a__B, c__D\nplain"
-    assert one(spark, [note, "x"], "string", X.noted_breaks("v")) == [["a__B", "c__D"], []]
+    assert one(spark, [note, "x"], "string", X.noted_breaks("v", "[AUTO_INVALIDATE]")) == [["a__B", "c__D"], []]
 
 
 def test_section_is_replaced_once(spark):
@@ -84,11 +84,13 @@ def test_section_is_replaced_once(spark):
         "old\n\nM\nnew", "old\n\nM\nnew", "M\nnew", "M\nnew"]
 
 
-def test_select_lists():
-    assert D._select_list("SELECT a, f(b, ',') AS c, \"Q X\", g(1) z FROM t") == ["a", "f(b, ',')", "q x", "g(1)"]
-    assert D._select_list("select distinct * from t") is None
-    assert D._select_list("update t") is None and D._select_list(None) is None
-    assert D._select_list("select ')', x\nfrom t") == ["')'", "x"]
+def test_select_lists(spark):
+    values = [
+        "SELECT a, f(b, ',') AS c, \"Q X\", g(1) z FROM t", "select distinct * from t", "update t", None, "select ')', x\nfrom t", "select a", "",
+        "select cast(a as int) n, (select max(b) from u) m\n, `c` from t",
+    ]
+    assert one(spark, values, "string", D.select_columns("v")) == [
+        ["a", "f(b, ',')", "q x", "g(1)"], None, None, None, ["')'", "x"], None, None, ["cast(a as int)", "(select max(b) from u)", "c"]]
 
 
 def test_date_filters(spark):
