@@ -32,8 +32,15 @@ def safe_double(c: ColumnLike) -> Column:
 
 
 def exact_sum(c: ColumnLike) -> Column:
-    """Sum that does not depend on row order; an empty or all-null group gives 0."""
-    return F.coalesce(F.sum(as_col(c).try_cast("decimal(28,6)")), F.lit(0).cast("decimal(38,6)")).cast("double")
+    """Sum that does not depend on row order; an empty or all-null group gives 0.
+
+    Twelve decimals of each value are summed exactly.  Values and sums too
+    large for that are added as doubles, so nothing is lost.
+    """
+    value = as_col(c).cast("double")
+    exact = as_col(c).try_cast("decimal(38,12)")
+    fits = F.coalesce(F.try_sum(exact).cast("double"), F.sum(F.when(exact.isNotNull(), value)), F.lit(0.0))
+    return fits + F.coalesce(F.sum(F.when(exact.isNull(), value)), F.lit(0.0))
 
 
 def to_bool(c: ColumnLike) -> Column:

@@ -21,7 +21,7 @@ from ..functions.text import blank_to_null, break_type, dimension_labels, is_row
 from ..session import materialize
 from .history import row_history
 from .matching import drop_matched
-from .relational import MAX_LINES, MAX_RANK, first_row, join_null_safe, text_of_lines, top_n
+from .relational import PART_LINES, first_row, join_null_safe, text_of_lines, text_parts, top_n
 from .tickets import active_subtasks, stable_titles
 
 # Numeric columns of an adaptive finding, labels of the profile sources.
@@ -175,11 +175,19 @@ def break_lines(breaks: DataFrame, keys: Sequence[str], tie: Sequence[str]) -> D
     return full.select(*keys, "score", *tie, block.alias("line"))
 
 
-def render_breaks(breaks: DataFrame, keys: Sequence[str], tie: Sequence[str], max_lines: int = MAX_LINES) -> DataFrame:
-    """Break list of a run as one text; runs above ``max_lines`` breaks keep theirs in ``break_lines``."""
+BREAKS_HEAD = "*Adaptive profile changes detected in this run:*\n\n"
+
+
+def render_breaks(breaks: DataFrame, keys: Sequence[str], tie: Sequence[str], part_lines: int = PART_LINES) -> DataFrame:
+    """Break list of a run as one text, its first part if it is long; ``break_parts`` holds all parts."""
     lines = break_lines(breaks, keys, tie)
-    body = text_of_lines(lines, keys, [F.desc_nulls_last("score"), *tie], "line", "breaks_text", "\n\n", max_lines)
-    return body.withColumn("breaks_text", F.concat(F.lit("*Adaptive profile changes detected in this run:*\n\n"), "breaks_text"))
+    body = text_of_lines(lines, keys, [F.desc_nulls_last("score"), *tie], "line", "breaks_text", "\n\n", part_lines)
+    return body.withColumn("breaks_text", F.concat(F.lit(BREAKS_HEAD), "breaks_text"))
+
+
+def break_parts(breaks: DataFrame, keys: Sequence[str], tie: Sequence[str], part_lines: int = PART_LINES) -> DataFrame:
+    """The whole break list of every run in numbered parts."""
+    return text_parts(break_lines(breaks, keys, tie), keys, [F.desc_nulls_last("score"), *tie], "line", "\n\n", part_lines)
 
 
 def _strip(text: Column) -> Column:
@@ -253,7 +261,7 @@ def adaptive_candidates(
         metric("value", "rows_current").alias("rows_current"),
         metric("mean", "rows_prev").alias("rows_prev"),
         metric("perChange", "rows_pct_change_vs_prev").alias("rows_pct_change_vs_prev"),
-        F.when(~F.col("breaks_text_split"), _strip(description)).alias("jira_description"),
+        _strip(description).alias("jira_description"),
     )
 
 
@@ -313,6 +321,20 @@ def pattern_lines(patterns: DataFrame, observations: DataFrame, tie: Sequence[st
     return met.select(*keys, "key_order", "obsKey", "ord", is_odd.alias("starts"), line.alias("line"))
 
 
+PATTERN_ORDER = ("key_order", "obsKey", "ord")
+
+
+def _spaced(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("line", F.when(F.col("starts"), F.concat(F.lit("\n"), "line")).otherwise(F.col("line")))
+
+
+def pattern_parts(patterns: DataFrame, observations: DataFrame, tie: Sequence[str], part_lines: int = PART_LINES) -> DataFrame:
+    """All sample tables of every pattern in numbered parts."""
+    keys = ["dataset", "runId", "pattern"]
+    split = split_pattern(_scheduled(patterns)).dropna(subset=keys)
+    return text_parts(_spaced(pattern_lines(split, observations, tie)), keys, PATTERN_ORDER, "line", part_lines=part_lines)
+
+
 def split_pattern(df: DataFrame) -> DataFrame:
     parts = F.split("obs", " ~~ ", 2)
     return df.withColumns({"title": F.get(parts, F.lit(0)), "pattern": F.get(parts, F.lit(1))})
@@ -324,23 +346,22 @@ def pattern_candidates(patterns: DataFrame, observations: DataFrame, tie: Sequen
     split = split_pattern(_scheduled(patterns)).dropna(subset=keys)
     heads = _heads(split, keys, "obsScore", tie)
     lines = pattern_lines(split, observations, tie)
-    spaced = lines.withColumn("line", F.when(F.col("starts"), F.concat(F.lit("\n"), "line")).otherwise(F.col("line")))
-    texts = text_of_lines(spaced, keys, ["key_order", "obsKey", "ord"], "line", "samples")
+    texts = text_of_lines(_spaced(lines), keys, PATTERN_ORDER, "line", "samples")
     joined = heads.join(texts, keys, "left")
     description = _join_lines(
         _head_text("pattern"),
         F.concat(F.lit("\n*Pattern: "), F.col("pattern"), F.lit("*")),
         F.col("samples"),
     )
-    whole = F.when(~F.coalesce("samples_split", F.lit(False)), description)
-    return _source_row(joined, F.concat(F.lit("Anti-Pattern: "), "pattern"), labels, whole)
+    return _source_row(joined, F.concat(F.lit("Anti-Pattern: "), "pattern"), labels, description)
 
 
-def duplicate_lines(dupes: DataFrame, observations: DataFrame, max_columns: int = MAX_RANK) -> tuple[DataFrame, DataFrame]:
+def duplicate_lines(dupes: DataFrame, observations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(columns per run, distinct sample records per run) of duplicate findings.
 
     ``observations`` has dataset, runId, obsKey, ord and ``record``, an ordered
     map of column to text.  Columns keep their first place; ``occurs`` ends.
+    A run's column list is as long as its tables are wide.
     """
     run = ["dataset", "runId"]
     place = [*run, "obsKey"]
@@ -349,8 +370,8 @@ def duplicate_lines(dupes: DataFrame, observations: DataFrame, max_columns: int
     spots = records.select(*run, "ord", F.posexplode(F.map_keys("record")).alias("at", "name"))
     names = spots.groupBy(*run, "name").agg(F.min(F.struct("ord", "at")).alias("spot"))
     last = F.when(F.col("name") == "occurs", 1).otherwise(0)
-    kept = top_n(names, run, [last, F.col("spot").asc(), F.col("name").asc()], max_columns, rank="__n")
-    headers = kept.groupBy(*run).agg(F.transform(F.sort_array(F.collect_list(F.struct("__n", "name"))), lambda x: x["name"]).alias("names"))
+    placed = F.sort_array(F.collect_list(F.struct(last.alias("last"), "spot", "name")))
+    headers = names.groupBy(*run).agg(F.transform(placed, lambda x: x["name"]).alias("names"))
     cells = records.join(headers, run).select(
         *run, "ord", F.transform("names", lambda n: F.coalesce(F.try_element_at("record", n), F.lit("nan"))).alias("cells")
     )
@@ -384,5 +405,11 @@ def duplicate_candidates(
     table = F.concat(F.lit("\n| "), F.array_join("names", " | "), F.lit(" |\n"), F.col("samples"))
     none = F.concat(F.lit("No details found for obs keys: "), F.coalesce("unseen", F.lit("")))
     description = _join_lines(_head_text("dupes"), F.lit("\n*Dupes Records:*"), F.when(found, table).otherwise(none))
-    split = F.coalesce("samples_split", F.lit(False)) | F.coalesce("unseen_split", F.lit(False))
-    return _source_row(joined, F.concat(F.lit("Dupes: "), F.array_join(key_columns, ",")), labels, F.when(~split, description))
+    return _source_row(joined, F.concat(F.lit("Dupes: "), F.array_join(key_columns, ",")), labels, description)
+
+
+def duplicate_parts(dupes: DataFrame, observations: DataFrame, part_lines: int = PART_LINES) -> DataFrame:
+    """All sample records of every run's duplicates in numbered parts."""
+    run = ["dataset", "runId"]
+    _, lines = duplicate_lines(_scheduled(dupes).dropna(subset=run), observations)
+    return text_parts(lines, run, ["ord", "line"], "line", part_lines=part_lines)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,8 +41,9 @@ def persistence(breaks: DataFrame, runs: DataFrame, keys_by_run: DataFrame, run_
     short as that; ``breaks`` carries ``break_key``.
     """
     def listed(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-        texts = text_of_lines(df.withColumn("__run", F.col(run_col).cast("string")), keys, run_order, "__run", name, ", ")
-        return texts.drop(f"{name}_split")
+        numbered = df.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*run_order)))
+        entry = F.struct(F.col("__n").alias("n"), F.col(run_col).cast("string").alias("t"))
+        return numbered.groupBy(*keys).agg(F.array_join(F.transform(F.sort_array(F.collect_list(entry)), lambda x: x["t"]), ", ").alias(name))
 
     hits = keys_by_run.join(runs, ["dataset", run_col]).withColumnRenamed("key", "break_key")
     counts = hits.groupBy("dataset", "break_key").agg(F.count("*").cast("int").alias("__n"))
@@ -156,10 +157,24 @@ def outstanding(raised: DataFrame, already: DataFrame, now: DataFrame, key: str
     return counts.withColumn("should_close", (F.col("raised_breaks_cnt") > 0) & (F.col("outstanding_cnt") == 0))
 
 
-def high_score_alerts(tickets: DataFrame, breaks: DataFrame, invalidated: DataFrame, threshold: float = 10.0) -> DataFrame:
-    """High-scoring new tickets of datasets without invalidations, with the break names of their run."""
+def _high(tickets: DataFrame, invalidated: DataFrame, threshold: float) -> DataFrame:
     high = tickets.withColumn("score", safe_double("score")).filter(F.col("score") > threshold)
-    high = high.join(invalidated.select("dataset").distinct(), "dataset", "left_anti")
+    return high.join(invalidated.select("dataset").distinct(), "dataset", "left_anti")
+
+
+def alert_breaks(tickets: DataFrame, breaks: DataFrame, invalidated: DataFrame, threshold: float = 10.0) -> DataFrame:
+    """Every (dataset, runId, break_key) that an alert tells of, as a table."""
+    keys = ["dataset", "runId"]
+    named = join_null_safe(breaks, _high(tickets, invalidated, threshold).select(*keys), keys, "left_semi")
+    return named.select(*keys, F.col("key").alias("break_key")).filter(F.col("break_key").isNotNull()).distinct()
+
+
+def high_score_alerts(tickets: DataFrame, breaks: DataFrame, invalidated: DataFrame, threshold: float = 10.0) -> DataFrame:
+    """High-scoring new tickets of datasets without invalidations, with the break names of their run.
+
+    The two name cells hold the first part of a long list; ``alert_breaks`` has all of it.
+    """
+    high = _high(tickets, invalidated, threshold)
     keys = ["dataset", "runId"]
     named = join_null_safe(breaks, high.select(*keys), keys, "left_semi").select(
         *keys, F.col("key").alias("detected_breaks"), F.nullif(break_type("type", "key"), F.lit("")).alias("break_types")
@@ -167,7 +182,7 @@ def high_score_alerts(tickets: DataFrame, breaks: DataFrame, invalidated: DataFr
     joined = high
     for column in ("detected_breaks", "break_types"):
         values = named.select(*keys, column).filter(F.col(column).isNotNull()).distinct()
-        texts = text_of_lines(values, keys, [column], column, "__text", " | ").drop("__text_split").withColumnRenamed("__text", column)
+        texts = text_of_lines(values, keys, [column], column, "__text", " | ").withColumnRenamed("__text", column)
         joined = join_null_safe(joined, texts, keys, "left")
     issue = F.col("SUBTASK") if "SUBTASK" in tickets.columns else F.lit(None).cast("string")
     extra = [c for c in ("business_unit", "rows_current", "rows_prev", "rows_pct_change_vs_prev") if c in tickets.columns]

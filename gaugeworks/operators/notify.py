@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import split_break_key, valid_email
 from ..sources.readers import Source, read_first_available
-from .relational import first_row, text_of_lines
+from .relational import PART_LINES, first_row, text_of_lines, text_parts
 
 
 def load_notifications(spark: SparkSession, primary: Source, legacy: Source) -> DataFrame:
@@ -51,8 +51,8 @@ def note_recipients(notes: DataFrame, by_ticket: DataFrame, distribution: Sequen
 def group_notifications(notes: DataFrame, by_ticket: DataFrame, distribution: Sequence[str], domains: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """One notification per dataset with its type, tickets and sorted recipients; datasets without any are skipped.
 
-    A dataset with more than a thousand addresses or tickets keeps them in
-    ``note_recipients`` and the notes alone; its text cell is null.
+    The two list cells hold the first part of a long list; ``note_recipients`` and
+    the notes have all of it, one row each.
     """
     heads = notes.filter(F.col("dataset").isNotNull()).groupBy("dataset").agg(
         F.min_by("notification_type", F.struct(*order_by)).alias("notification_type")
@@ -64,15 +64,24 @@ def group_notifications(notes: DataFrame, by_ticket: DataFrame, distribution: Se
     return heads.join(emails, "dataset").join(issues, "dataset", "left").select("dataset", "notification_type", "issue_keys", "recipients")
 
 
-def unpack_breaks(notes: DataFrame, order_by: Sequence[str]) -> DataFrame:
-    """Distinct break names per dataset: unpacked lists of alerts (else a title), keys of invalidations."""
+def unpack_breaks(notes: DataFrame, order_by: Sequence[str], alert_breaks: DataFrame | None = None) -> DataFrame:
+    """Distinct break names per dataset: those of its alerts (else a title), keys of invalidations.
+
+    ``alert_breaks`` (dataset, break_key) gives the names of alerts as rows;
+    without it they are read from the list cells of the notes.
+    """
     heads = notes.filter(F.col("dataset").isNotNull()).groupBy("dataset").agg(
         F.min_by(F.struct("notification_type", "suggested_title"), F.struct(*order_by)).alias("__h")
     ).select("dataset", "__h.notification_type", F.col("__h.suggested_title").alias("__title"))
     typed = notes.drop("notification_type").join(heads, "dataset")
     alert = F.col("notification_type") == "high_score_ticket"
-    parts = F.when(alert, F.split("detected_breaks", r"\|")).otherwise(F.array("break_key"))
-    rows = typed.select("dataset", F.explode_outer(parts).alias("break_key")).select("dataset", F.trim("break_key").alias("break_key"))
+    cell = F.split("detected_breaks", r"\|") if alert_breaks is None else F.array().cast("array<string>")
+    parts = F.when(alert, cell).otherwise(F.array("break_key"))
+    rows = typed.select("dataset", F.explode_outer(parts).alias("break_key"))
+    if alert_breaks is not None:
+        told = alert_breaks.select("dataset", "break_key").join(heads.filter(alert).select("dataset"), "dataset", "left_semi")
+        rows = rows.unionByName(told)
+    rows = rows.select("dataset", F.trim("break_key").alias("break_key"))
     rows = rows.filter(F.col("break_key") != "").distinct()
     bare = heads.filter(alert).join(rows.select("dataset").distinct(), "dataset", "left_anti")
     titles = bare.select("dataset", F.coalesce("__title", F.lit("No breaks detected")).alias("break_key"))
@@ -110,11 +119,23 @@ CLOSINGS = {
 }
 
 
-def render_messages(grouped: DataFrame, breaks: DataFrame, statuses: DataFrame, link_base: str, ticket_base: str = "") -> DataFrame:
-    """Subject and message per notification; the output is a table, nothing is sent."""
+def break_list(breaks: DataFrame) -> DataFrame:
     item, metric = split_break_key("break_key")
-    named = breaks.select("dataset", "break_key", F.coalesce(F.concat(F.lit("- "), item, F.lit(" ("), metric, F.lit(")")), F.concat(F.lit("- "), F.col("break_key"))).alias("line"))
-    broken = text_of_lines(named, ["dataset"], ["break_key"], "line", "break_text")
+    shown = F.coalesce(F.concat(F.lit("- "), item, F.lit(" ("), metric, F.lit(")")), F.concat(F.lit("- "), F.col("break_key")))
+    return breaks.select("dataset", "break_key", shown.alias("line"))
+
+
+def message_parts(breaks: DataFrame, part_lines: int = PART_LINES) -> DataFrame:
+    """The whole break list of every message in numbered parts."""
+    return text_parts(break_list(breaks), ["dataset"], ["break_key"], "line", part_lines=part_lines)
+
+
+def render_messages(grouped: DataFrame, breaks: DataFrame, statuses: DataFrame, link_base: str, ticket_base: str = "") -> DataFrame:
+    """Subject and message per notification; the output is a table, nothing is sent.
+
+    A long break list is continued in ``message_parts``.
+    """
+    broken = text_of_lines(break_list(breaks), ["dataset"], ["break_key"], "line", "break_text")
     prefix = f"{ticket_base}/browse/" if ticket_base else ""
     logged = statuses.select("dataset", "issue_key", F.concat(F.lit(f"- {prefix}"), F.col("issue_key"), F.lit(" ("), F.col("status"), F.lit(")")).alias("line"))
     issues = text_of_lines(logged, ["dataset"], ["issue_key"], "line", "issue_text")
@@ -134,10 +155,9 @@ def render_messages(grouped: DataFrame, breaks: DataFrame, statuses: DataFrame,
         choose(OPENINGS, 1), F.coalesce("break_text", none), F.lit(""), F.lit("Tickets:"), F.coalesce("issue_text", none), F.lit(""),
         choose(CLOSINGS),
     )
-    split = F.coalesce("break_text_split", F.lit(False)) | F.coalesce("issue_text_split", F.lit(False))
     return joined.select(
         "dataset", "notification_type", "recipients",
         F.concat(choose(SUBJECTS, 0), F.col("dataset"), choose(SUBJECTS, 1)).alias("subject"),
-        F.when(~split, body).alias("message"),
+        body.alias("message"),
     )
 

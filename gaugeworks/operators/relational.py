@@ -8,10 +8,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 RANK = "__rank"
-# Spark cuts a ranked window before the shuffle only up to a rank of 1000.
-MAX_RANK = 1000
-MAX_LINES = MAX_RANK - 1
+PART_LINES = 999  # up to a rank of 1000 Spark cuts a ranked window before the shuffle
 
 
 def ordering(order_by: Sequence[Column | str]) -> list[Column]:
@@ -21,11 +21,10 @@ def ordering(order_by: Sequence[Column | str]) -> list[Column]:
 def top_n(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str], n: int, rank: str | None = None) -> DataFrame:
     """First ``n`` rows per key.
 
-    The rank filter sits directly on the window, so every map task keeps at
-    most ``n`` rows per key before the shuffle and a hot key stays small.
+    The rank filter sits directly on the window, so up to 1000 rows per key
+    every map task keeps at most ``n`` of them before the shuffle and a hot key
+    stays small.
     """
-    if n > MAX_RANK:
-        raise ValueError(f"at most {MAX_RANK} rows per key, so that the cut happens before the shuffle")
     window = Window.partitionBy(*keys).orderBy(*ordering(order_by))
     name = rank or RANK
     ranked = df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= n)
@@ -61,6 +60,41 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def numbered(lines: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str], out: str = "n") -> DataFrame:
+    """Lines with their number within the key, from 0.
+
+    Lines are ranged by key and order, so a long group is spread over several
+    ranges; a line's number is its place in the range plus the lines of the
+    key in earlier ranges.
+    """
+    order = ordering(order_by)
+    ranged = lines.repartitionByRange(*[F.col(k) for k in keys], *order).withColumn("__range", F.spark_partition_id())
+    ranged = materialize(ranged, "ranged-lines")
+    earlier = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranged.groupBy(*keys, "__range").agg(F.count("*").alias("__held"))
+    before = counts.withColumn("__before", F.coalesce(F.sum("__held").over(earlier), F.lit(0))).drop("__held")
+    placed = ranged.withColumn("__place", F.row_number().over(Window.partitionBy(*keys, "__range").orderBy(*order)) - 1)
+    joined = join_null_safe(placed, before, [*keys, "__range"], "inner")
+    return joined.withColumn(out, F.col("__before") + F.col("__place")).drop("__range", "__place", "__before")
+
+
+def text_parts(
+    lines: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[Column | str],
+    line: str,
+    separator: str = "\n",
+    part_lines: int = PART_LINES,
+) -> DataFrame:
+    """The whole text of every key in numbered parts of ``part_lines`` lines: keys, part (from 0), text."""
+    placed = numbered(lines, keys, order_by, "__n").withColumn("part", F.floor(F.col("__n") / part_lines).cast("int"))
+    grouped = placed.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(F.struct(F.col("__n").alias("n"), F.col(line).alias("t")))).alias("__lines"))
+    return grouped.select(*keys, "part", F.array_join(F.transform("__lines", lambda x: x["t"]), separator).alias("text"))
+
+
+CONTINUED = "(continued in further parts)"
+
+
 def text_of_lines(
     lines: DataFrame,
     keys: Sequence[str],
@@ -68,18 +102,18 @@ def text_of_lines(
     line: str,
     out: str,
     separator: str = "\n",
-    max_lines: int = MAX_LINES,
+    part_lines: int = PART_LINES,
 ) -> DataFrame:
-    """One text cell per key from a table of lines.
+    """The first part of the text of every key, as one cell.
 
-    A cell is built only for keys with at most ``max_lines`` lines, so no task
-    ever holds an unbounded group.  Longer keys get a null cell and
-    ``<out>_split`` = true: their text stays whole in the table of lines.
+    A cell holds at most ``part_lines`` lines, so no task ever holds an
+    unbounded group; one that has more says so at its end, and ``text_parts``
+    of the same lines holds every part.
     """
-    kept = top_n(lines, keys, order_by, max_lines + 1, rank=RANK)
+    kept = top_n(lines, keys, order_by, part_lines + 1, rank=RANK)
     grouped = kept.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct(F.col(RANK).alias("n"), F.col(line).alias("t")))).alias("__lines")
     )
-    split = F.size("__lines") > max_lines
-    joined = F.array_join(F.transform("__lines", lambda x: x["t"]), separator)
-    return grouped.select(*keys, F.when(~split, joined).alias(out), split.alias(out + "_split"))
+    first = F.transform(F.slice("__lines", 1, part_lines), lambda x: x["t"])
+    more = F.when(F.size("__lines") > part_lines, F.array(F.lit(CONTINUED))).otherwise(F.array().cast("array<string>"))
+    return grouped.select(*keys, F.array_join(F.concat(first, more), separator).alias(out))

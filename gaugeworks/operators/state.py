@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .relational import first_row, join_null_safe, ordering, renamed, union_all
+from .relational import first_row, join_null_safe, renamed, union_all
 
 
 def _require_unique_columns(df: DataFrame) -> None:
@@ -30,26 +30,28 @@ def conform(df: DataFrame, schema: StructType, primary_key: Sequence[str] = ())
     return assert_primary_key(shaped, primary_key) if primary_key else shaped
 
 
-def _numbered(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] | None = None) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy(*ordering(order_by or keys))
-    return df.withColumn("__copy", F.row_number().over(window))
+def _null_key(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
 
 
-def assert_primary_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The same rows; evaluating them raises on a null or repeated key."""
-    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    checked = _numbered(df, keys).withColumn(
-        "__ok",
-        F.when(null_key | (F.col("__copy") > 1), F.raise_error(F.lit(f"key {list(keys)} is null or repeated")).cast("boolean"))
-        .otherwise(F.lit(True)),
-    )
-    return checked.filter("__ok").drop("__copy", "__ok")
+def assert_primary_key(df: DataFrame, keys: Sequence[str], problem: str | None = None) -> DataFrame:
+    """The same rows; evaluating them raises on a null or repeated key.
+
+    Keys are counted by a plain aggregate, which combines copies of a key
+    before the shuffle; for unique keys its groups are the rows.
+    """
+    others = [c for c in df.columns if c not in keys]
+    row = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.lit(True)
+    grouped = df.groupBy(*keys).agg(F.count("*").alias("__copies"), F.first(row).alias("__row"))
+    message = F.lit(problem or f"key {list(keys)} is null or repeated")
+    broken = _null_key(keys) | (F.col("__copies") > 1)
+    checked = grouped.filter(F.when(broken, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+    return checked.select(*[F.col(f"`{c}`") if c in keys else F.col(f"__row.`{c}`").alias(c) for c in df.columns])
 
 
 def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that are null or occur more than once, with their counts."""
-    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    return df.groupBy(*keys).agg(F.count("*").alias("copies")).filter(null_key | (F.col("copies") > 1))
+    return df.groupBy(*keys).agg(F.count("*").alias("copies")).filter(_null_key(keys) | (F.col("copies") > 1))
 
 
 def snapshot_replace(new: DataFrame, old: DataFrame) -> DataFrame:
@@ -86,21 +88,19 @@ def merge_upsert(
 
     A stored row changes only if one of ``change_columns`` differs (nulls
     compare as values); then every written column refreshes.  Without non-key
-    columns to write, this is the insert-only merge.  A key that occurs twice
-    in the source raises.
+    columns to write, this is the insert-only merge.  A null key on either side
+    raises, and so does a key that occurs twice in the source.
     """
     written = [c for c in (columns or target.columns) if c not in keys and c in source.columns]
     if not written:
         merged = merge_insert_only(target, source, keys, order_by or keys)
         return merged.withColumn("_action", F.lit("keep"))
     tracked = [c for c in (change_columns if change_columns is not None else written) if c in written]
-    incoming = _numbered(source.select(*keys, *written), keys, order_by).withColumn(
-        "__in",
-        F.when(F.col("__copy") == 1, F.lit(True)).otherwise(F.raise_error(F.lit("source key occurs twice")).cast("boolean")),
-    )
-    side = renamed(incoming.drop("__copy"), keys)
-    base = target.withColumn("__stored", F.lit(True))
-    # Stored keys are never null, so plain equality does: the join reuses the partitioning of the key check.
+    incoming = assert_primary_key(source.select(*keys, *written), keys, "source key is null or occurs twice").withColumn("__in", F.lit(True))
+    side = renamed(incoming, keys)
+    stored_key = F.when(_null_key(keys), F.raise_error(F.lit("stored key is null")).cast("boolean")).otherwise(F.lit(True))
+    base = target.filter(stored_key).withColumn("__stored", F.lit(True))
+    # No key is null on either side, so plain equality does: the join reuses the partitioning of the key check.
     on = reduce(lambda a, b: a & b, [F.col(k) == F.col("__r_" + k) for k in keys])
     joined = base.join(side, on, "full_outer")
     arrives = F.col("__r___in")
@@ -142,7 +142,7 @@ def prune_stale(target: DataFrame, source: DataFrame, group_columns: Sequence[st
     present = source.select(*group_columns, *keys).distinct().withColumn("__present", F.lit(True))
     marked = join_null_safe(target, groups, group_columns, "left")
     marked = join_null_safe(marked, present, [*group_columns, *keys], "left")
-    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    null_key = _null_key(keys)
     keep = F.col("__group").isNull() | F.col("__present").isNotNull() | null_key
     return marked.filter(keep).drop("__group", "__present")
 

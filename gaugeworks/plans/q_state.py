@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -11,6 +13,12 @@ from ..sources import readers as R
 from ..sources import writers as W
 from .registry import query
 
+
+def own_name(label: str) -> str:
+    """A catalog name of this run alone."""
+    return f"gaugeworks_{uuid.uuid4().hex}_{label}"
+
+
 ORDERS = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders"
 
 
@@ -23,10 +31,20 @@ def csv_source(t):
     return df.groupBy("o_orderstatus").agg(F.count("*").alias("n"), total)
 
 
+@query("a01_csv_texts", "SELECT doc_id, text, concat(' ', lang, ' ') AS padded FROM documents")
+def csv_texts(t):
+    """Texts with line breaks, quotes and outer spaces, written and read back."""
+    path = scratch_path(t.spark, "csv")
+    df = t.documents.select("doc_id", "text", F.concat(F.lit(" "), "lang", F.lit(" ")).alias("padded"))
+    W.write_csv(df, path)
+    return R.read_csv(t.spark, path, df.schema)
+
+
 @query("a02_table_source", "SELECT c_custkey, c_nationkey, c_mktsegment FROM customer")
 def table_source(t):
-    W.write_replace(t.customer, "gaugeworks_customer", scratch_path(t.spark, "customer"))
-    return R.read_table(t.spark, "gaugeworks_customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    name = own_name("customer")
+    W.write_replace(t.customer, name, scratch_path(t.spark, "customer"))
+    return R.read_table(t.spark, name).select("c_custkey", "c_nationkey", "c_mktsegment")
 
 
 @query("a03_format_source", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity > 40")
@@ -65,7 +83,7 @@ def csv_sink(t):
 
 @query("a07_table_replace", "SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY l_returnflag")
 def table_replace(t):
-    name = "gaugeworks_flags"
+    name = own_name("flags")
     W.write_replace(t.lineitem.groupBy("l_linestatus").count(), name, scratch_path(t.spark, "flags"))
     W.write_replace(t.lineitem.groupBy("l_returnflag").agg(F.count("*").alias("n")), name, scratch_path(t.spark, "flags"))
     return R.read_table(t.spark, name)
@@ -77,19 +95,45 @@ def table_replace(t):
 def sink_router(t):
     df = t.orders.groupBy("o_orderpriority").agg(F.count("*").alias("n"))
     root = scratch_path(t.spark, "router")
-    where = W.write_output(df, "order priorities", [W.Target("csv", root), W.Target("table", root)])
+    where = W.write_output(df, "order priorities", [W.Target("csv", root), W.Target("table", root)], own_name(""))
     a = R.read_csv(t.spark, where["csv"], df.schema).withColumn("kind", F.lit("csv"))
     return a.unionByName(R.read_table(t.spark, where["table"]).withColumn("kind", F.lit("table")))
 
 
+@query("a08_write_policies", """
+    SELECT 'mapping' AS what, coalesce(x.k, s.k) AS k, x.grp, CASE WHEN s.k IS NOT NULL THEN s.status ELSE x.status END AS status FROM fx_target x FULL OUTER JOIN fx_source s ON x.k = s.k
+    UNION ALL SELECT 'snapshot', k, NULL, status FROM fx_source""")
+def write_policies(t):
+    """Each output is written twice; the mapping keeps keys and columns of the first time, the snapshot its columns only."""
+    prefix, root = own_name(""), scratch_path(t.spark, "policies")
+    out = None
+    for name, what in (("business_unit_mapping", "mapping"), ("findings", "snapshot")):
+        for df in (t.fx_target.select("k", "grp", "status"), t.fx_source.select("k", "status")):
+            named = df.withColumnRenamed("k", "dataset")
+            where = W.write_output(named, name, [W.Target("table", root)], prefix)
+        rows = R.read_table(t.spark, where["table"]).select(F.lit(what).alias("what"), F.col("dataset").alias("k"), "grp", "status")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("a09_write_policy", """
-    SELECT CASE m WHEN 'BUILDING' THEN 'dqm_auto_findings_building' ELSE concat('dqm_auto_findings_', lower(m)) END AS table_name,
-           'snapshot' AS kind, n FROM (SELECT c_mktsegment AS m, count(*) AS n FROM customer GROUP BY c_mktsegment) s""")
+    SELECT concat('auto_', k.t, lower(c.c_mktsegment)) AS table_name, k.kind, k.keys, count(*) AS n
+    FROM customer c, (VALUES ('findings_', 'snapshot', '', 0), ('', 'upsert', 'dataset', 1), ('', 'skip', '', 2)) k(t, kind, keys, v) WHERE k.v = 0 GROUP BY ALL
+    UNION ALL SELECT CASE v WHEN 1 THEN 'auto_business_unit_mapping' ELSE 'kept' END, kind, keys, (SELECT count(*) FROM customer)
+    FROM (VALUES ('upsert', 'dataset', 1), ('skip', '', 2)) k(kind, keys, v)""")
 def write_policy(t):
-    """One output per segment: its table name and kind come from the policy, its size from the data."""
-    name = F.lower(F.regexp_replace(F.concat(F.lit(W.TABLE_PREFIX + "findings "), F.col("c_mktsegment")), "[^0-9a-zA-Z]+", "_"))
-    kind = W.policy_for("findings").kind
-    return t.customer.groupBy(name.alias("table_name")).agg(F.count("*").alias("n")).withColumn("kind", F.lit(kind))
+    """Table, kind and keys of one output per segment and of the two that do not follow the snapshot rule."""
+    segments = sorted(r[0] for r in t.customer.select("c_mktsegment").distinct().collect())
+    rows = []
+    for segment in segments:
+        p = W.policy_for(f"Findings {segment}", "auto_")
+        rows.append((segment, p.table, p.kind, ",".join(p.keys)))
+    for name in ("business_unit_mapping", "dataset_definitions"):
+        p = W.policy_for(name, "auto_", {"dataset_definitions": "kept"})
+        rows.append((None, p.table, p.kind, ",".join(p.keys)))
+    policies = t.spark.createDataFrame(rows, "segment string, table_name string, kind string, keys string")
+    counts = t.customer.groupBy("c_mktsegment").agg(F.count("*").alias("n")).unionByName(t.customer.agg(F.count("*").alias("n")).withColumn("c_mktsegment", F.lit(None).cast("string")))
+    return policies.join(counts, F.col("segment").eqNullSafe(F.col("c_mktsegment"))).select("table_name", "kind", "keys", "n")
 
 
 @query("a10_snapshot_replace", """
@@ -101,9 +145,10 @@ def snapshot_replace(t):
 
 @query("a10_snapshot_versions", "SELECT k, grp, status, rows_cnt, note FROM fx_source")
 def snapshot_versions(t):
-    table = W.SnapshotTable(t.spark, scratch_path(t.spark, "snapshot"))
-    table.replace(t.fx_target)
-    return table.replace(t.fx_source)
+    policy = W.WritePolicy("snapshot", own_name("snapshot"))
+    W.write_table(t.fx_target, policy, scratch_path(t.spark, "snapshot"))
+    W.write_table(t.fx_source, policy, scratch_path(t.spark, "snapshot"))
+    return R.read_table(t.spark, policy.table)
 
 
 INSERT_ONLY = """

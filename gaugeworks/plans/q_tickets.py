@@ -263,7 +263,17 @@ LINES_SQL = f"""
 
 @query("f15_render_breaks", LINES_SQL)
 def render_breaks(t):
-    return C.render_breaks(_breaks(t), ["dataset", "runId"], TIE).drop("breaks_text_split")
+    return C.render_breaks(_breaks(t), ["dataset", "runId"], TIE)
+
+
+@query("f15_break_parts", f"""
+    SELECT dataset, "runId", CAST(floor(rn / 2) AS INTEGER) AS part, string_agg(concat('- *', name, '* — *', type, '*', chr(10),
+        '  - Anomaly: ', "verbose", chr(10), '  - Past (mean): ', {_sql_int("mean")}, ' | Current (value): ', {_sql_int("value")}, ' | Z-score: 2.5', chr(10),
+        '  - Bands: [NA, NA] | % change: ', printf('%.2f', "perChange"), '% | Score impact: ', printf('%.2f', score), '%'), chr(10) || chr(10) ORDER BY rn) AS text
+    FROM (SELECT *, row_number() OVER (PARTITION BY dataset, "runId" ORDER BY score DESC, seq, seq2, key, value) - 1 AS rn FROM fx_break) q GROUP BY 1, 2, 3""")
+def break_parts(t):
+    """All break lists, two breaks a part."""
+    return C.break_parts(_breaks(t), ["dataset", "runId"], TIE, part_lines=2)
 
 
 ADAPTIVE_SQL = f"""
@@ -320,11 +330,12 @@ _HEAD = """'*Dataset:* ', h.dataset, chr(10), '*DataTable:* ', chr(10), '*RunId
     s AS (SELECT dataset, "runId", pattern, string_agg(concat(chr(10), '| PatternCount | qty | occurs | flag |', chr(10), '| ', CAST("owlRank" AS VARCHAR), ' | ', CAST("owlRank" AS VARCHAR), ' | 2 | ', substr(obs, 10), ' |', chr(10),
             '| Majority Pattern | 0 | 2 | ', CAST(line AS VARCHAR), ' |'), chr(10) ORDER BY "obsKey") AS samples FROM p WHERE {_DETAILED} GROUP BY 1, 2, 3)
     SELECT h.dataset, CAST(NULL AS VARCHAR) AS table_name, h."runId", CAST(NULL AS VARCHAR) AS business_unit, concat('Anti-Pattern: ', h.pattern) AS suggested_title,
-           CASE WHEN h.score >= 20 THEN 'Critical' WHEN h.score >= 10 THEN 'High' ELSE 'Medium' END AS suggested_priority, 'dq|pattern|end-users' AS suggested_labels, h.score,
+           CASE WHEN h.score >= 20 THEN 'Critical' WHEN h.score >= 10 THEN 'High' ELSE 'Medium' END AS suggested_priority, 'dq|pattern|end-users' AS suggested_labels, CAST(round(h.score, 6) AS DOUBLE) AS score,
            concat({_HEAD.format(label="pattern")}, chr(10), '*Pattern: ', h.pattern, '*', coalesce(chr(10) || s.samples, '')) AS jira_description
     FROM h LEFT JOIN s ON h.dataset = s.dataset AND h."runId" = s."runId" AND h.pattern = s.pattern""")
 def pattern_candidates(t):
-    return C.pattern_candidates(t.fx_obs, _records(t), ["obsKey"]).withColumn("suggested_labels", F.array_join("suggested_labels", "|"))
+    df = C.pattern_candidates(t.fx_obs, _records(t), ["obsKey"])
+    return df.withColumns({"suggested_labels": F.array_join("suggested_labels", "|"), "score": F.round("score", 6)})
 
 
 @query("f20_duplicate_candidates", f"""

@@ -6,9 +6,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 MISSING = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "SCHEMA_NOT_FOUND")
 
@@ -24,7 +24,15 @@ class Source:
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", False).csv(path)
+    """Rows written by ``write_csv``: one line each, so that files can be split; line breaks in texts come back."""
+    rows = spark.read.schema(schema).option("header", True).option("escape", '"').option("nullValue", "\\N").option("multiLine", False).csv(path)
+
+    def restored(name: str) -> Column:
+        parts = F.transform(F.split(F.col(f"`{name}`"), r"\\\\", -1), lambda x: F.replace(F.replace(x, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+        return F.array_join(parts, "\\")
+
+    texts = [f.name for f in schema.fields if isinstance(f.dataType, StringType)]
+    return rows.select(*[restored(c).alias(c) if c in texts else F.col(f"`{c}`") for c in rows.columns])
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -42,7 +50,9 @@ def read_source(
     """Whole table, chosen columns, or a pushed-down query of a format (JDBC included).
 
     Column choice and later filters reach the scan; ``query`` is passed to
-    formats that take one, so the remote side evaluates it.
+    formats that take one, so the remote side evaluates it.  A JDBC read has
+    one partition unless ``options`` bound it: ``partitionColumn``,
+    ``lowerBound``, ``upperBound`` and ``numPartitions`` split it by ranges.
     """
     reader = spark.read.format(fmt).options(**options)
     if schema is not None:
@@ -83,10 +93,12 @@ def read_first_available(spark: SparkSession, sources: Sequence[Source]) -> Data
 
 
 def read_or_empty(spark: SparkSession, source: Source, schema: StructType) -> DataFrame:
-    """The source, or no rows with ``schema`` when it cannot be read."""
+    """The source, or no rows with ``schema`` when it does not exist; any other error is raised."""
     try:
         df = read_any(spark, source)
-    except AnalysisException:
+    except AnalysisException as error:
+        if not _is_missing(error):
+            raise
         return spark.createDataFrame([], schema)
     return df.select(
         *[

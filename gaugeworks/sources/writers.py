@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
 COMPLEX = (T.StructType, T.ArrayType, T.MapType, T.VariantType)
 
 
@@ -73,8 +76,19 @@ def flatten_struct(df: DataFrame, sep: str = ".") -> DataFrame:
     return df.select(*[F.col(path).alias(label) for label, path in sorted(leaves)])
 
 
+def one_line(c: Column) -> Column:
+    """Backslashes and line breaks of a text as escapes, so that a row stays on one line."""
+    whole = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+    return F.replace(F.replace(whole, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    normalize_for_sink(df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """One line per row, null as ``\\N``; ``read_csv`` brings line breaks in texts, nulls and empty texts back."""
+    flat = normalize_for_sink(df)
+    texts = {f.name for f in flat.schema.fields if isinstance(f.dataType, T.StringType)}
+    rows = flat.select(*[(one_line(F.col(f"`{c}`")) if c in texts else F.col(f"`{c}`")).alias(c) for c in flat.columns])
+    spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "nullValue": "\\N"}
+    rows.write.mode("overwrite").option("header", True).option("escape", '"').options(**spaces).csv(path)
 
 
 def write_replace(df: DataFrame, table: str, path: str | None = None) -> None:
@@ -95,16 +109,16 @@ class WritePolicy:
     keys: tuple[str, ...] = ()
 
 
-# Outputs that do not follow the snapshot rule, and the table prefix.
+# Outputs that do not follow the snapshot rule.
 POLICY_KINDS = {"business_unit_mapping": ("upsert", ("dataset",)), "dataset_definitions": ("skip", ())}
-TABLE_PREFIX = "dqm_auto_"
 
 
 def sanitize_name(name: str) -> str:
     return re.sub(r"[^0-9a-zA-Z]+", "_", name).strip("_").lower()
 
 
-def policy_for(name: str, overrides: dict[str, str] | None = None, prefix: str = TABLE_PREFIX) -> WritePolicy:
+def policy_for(name: str, prefix: str, overrides: dict[str, str] | None = None) -> WritePolicy:
+    """How an output is written, and to which table: an override, else the prefix and the name."""
     kind, keys = POLICY_KINDS.get(name, ("snapshot", ()))
     table = (overrides or {}).get(name) or sanitize_name(prefix + name)
     return WritePolicy(kind, table, keys)
@@ -112,88 +126,62 @@ def policy_for(name: str, overrides: dict[str, str] | None = None, prefix: str =
 
 @dataclass(frozen=True)
 class Target:
-    """One place an output goes: ``csv`` under a folder, or ``table`` in the catalog."""
+    """One place an output goes: ``csv`` under a folder, ``table`` in the catalog, or ``jdbc`` with writer options."""
 
     kind: str
-    location: str
+    location: str = ""
+    options: dict[str, str] = field(default_factory=dict)
+
 
+def _stored(spark: SparkSession, policy: WritePolicy) -> DataFrame | None:
+    return spark.read.table(policy.table) if spark.catalog.tableExists(policy.table) else None
 
-def write_output(df: DataFrame, name: str, targets: Sequence[Target], overrides: dict[str, str] | None = None) -> dict[str, str]:
-    """Write one output to every target and tell where it went.
 
-    With several targets the frame is kept once instead of being computed again.
+def write_table(df: DataFrame, policy: WritePolicy, location: str = "") -> None:
+    """Write one output to its catalog table by its policy.
+
+    ``upsert`` merges by key and keeps the columns and rows the frame lacks;
+    ``snapshot`` replaces all rows under the columns of both.  The new content
+    is staged in the shared folder first, so a failing query leaves the table
+    as it was.
     """
-    policy = policy_for(name, overrides)
-    shared = df.persist() if len(targets) > 1 else df
-    written: dict[str, str] = {}
-    try:
-        for target in targets:
-            if target.kind == "csv":
-                path = f"{target.location.rstrip('/')}/{sanitize_name(name)}"
-                write_csv(shared, path)
-                written["csv"] = path
-            elif target.kind == "table":
-                if policy.kind == "skip":
-                    continue
-                path = f"{target.location.rstrip('/')}/{policy.table}" if target.location else None
-                write_replace(normalize_for_sink(shared), policy.table, path)
-                written["table"] = policy.table
-            else:
-                raise ValueError(f"unknown target {target.kind!r}")
-    finally:
-        if len(targets) > 1:
-            shared.unpersist()
-    return written
+    from ..operators.state import assert_primary_key, merge_partial, snapshot_replace
 
+    spark = df.sparkSession
+    rows, old = normalize_for_sink(df), _stored(spark, policy)
+    if policy.kind == "upsert":
+        new = assert_primary_key(rows, policy.keys) if old is None else merge_partial(old, rows, policy.keys).drop("_action")
+    else:
+        new = rows if old is None else snapshot_replace(rows, old)
+    staged = materialize(new, "staged")
+    path = f"{location.rstrip('/')}/{policy.table}-{uuid.uuid4().hex}" if location else None
+    write_replace(staged, policy.table, path)
 
-class SnapshotTable:
-    """A table replaced as a whole: readers see the old or the new version, never a mix.
 
-    Each version is a folder; a small pointer file names the current one and is
-    swapped by a rename that overwrites, on whatever file system holds it.
-    """
+def write_output(df: DataFrame, name: str, targets: Sequence[Target], prefix: str, overrides: dict[str, str] | None = None) -> dict[str, str]:
+    """Write one output to every target by its policy and tell where it went.
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        jvm = spark._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        conf = spark._jsc.hadoopConfiguration()
-        root = self._Path(self.path)
-        self._fs = root.getFileSystem(conf)
-        self._context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(root.toUri(), conf)
-
-    def _pointer(self, suffix: str = ""):
-        return self._Path(f"{self.path}/CURRENT{suffix}")
-
-    def current(self) -> str | None:
-        if not self._fs.exists(self._pointer()):
-            return None
-        stream = self._fs.open(self._pointer())
-        try:
-            return stream.readUTF()
-        finally:
-            stream.close()
-
-    def read(self) -> DataFrame | None:
-        version = self.current()
-        return None if version is None else self.spark.read.parquet(f"{self.path}/{version}")
-
-    def replace(self, new: DataFrame) -> DataFrame:
-        from ..operators.state import snapshot_replace
-
-        old = self.read()
-        aligned = new if old is None else snapshot_replace(new, old)
-        version = f"v{int((self.current() or 'v0')[1:]) + 1:08d}"
-        aligned.write.mode("overwrite").parquet(f"{self.path}/{version}")
-        staged = self._pointer(f".{version}")
-        stream = self._fs.create(staged, True)
-        try:
-            stream.writeUTF(version)
-        finally:
-            stream.close()
-        rename = self.spark._jvm.org.apache.hadoop.fs.Options.Rename
-        options = self.spark.sparkContext._gateway.new_array(rename, 1)
-        options[0] = rename.OVERWRITE
-        self._context.rename(staged, self._pointer(), options)
-        return self.spark.read.parquet(f"{self.path}/{version}")
+    With several targets the frame is written once to the shared folder
+    instead of being computed again.
+    """
+    policy = policy_for(name, prefix, overrides)
+    shared = materialize(df, "output") if len(targets) > 1 else df
+    written: dict[str, str] = {}
+    for target in targets:
+        if target.kind == "csv":
+            path = f"{target.location.rstrip('/')}/{sanitize_name(name)}"
+            write_csv(shared, path)
+            written["csv"] = path
+        elif target.kind == "table":
+            if policy.kind == "skip":
+                continue
+            write_table(shared, policy, target.location)
+            written["table"] = policy.table
+        elif target.kind == "jdbc":
+            if policy.kind == "skip":
+                continue
+            normalize_for_sink(shared).write.format("jdbc").options(**(target.options | {"dbtable": policy.table, "truncate": "true"})).mode("overwrite").save()
+            written["jdbc"] = policy.table
+        else:
+            raise ValueError(f"unknown target {target.kind!r}")
+    return written

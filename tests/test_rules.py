@@ -192,3 +192,43 @@ def test_links_stop_at_late_tickets(spark):
     allowed = spark.createDataFrame([(k, late if k == "L" else at) for k in "ABCDEL"], "key string, event_at timestamp_ntz")
     got = {(r.key, r.depth, r.found_from) for r in E.expand_links(seeds, edges, allowed).collect()}
     assert got == {("A", 0, None), ("B", 1, "A"), ("C", 2, "B")}
+
+
+def test_sums_lose_nothing(spark):
+    from gaugeworks.functions.coerce import exact_sum
+
+    def total(values):
+        return spark.createDataFrame([(v,) for v in values], "v double").agg(exact_sum("v")).first()[0]
+
+    assert total([1e23, 1.0]) == 1e23 + 1.0 and total([1e30, 1e30]) == 2e30
+    assert total([0.1] * 10) == 1.0 and total([1e-9] * 3) == 3e-9
+    assert total([None, None]) == 0.0 and total([]) == 0.0
+    assert total([9e25] * 3) == 2.7e26
+
+
+def test_long_lists_lose_nothing(spark):
+    from gaugeworks.operators import investigate as V
+    from gaugeworks.operators import notify as N
+    from gaugeworks.operators.relational import CONTINUED, text_of_lines, text_parts
+
+    lines = spark.range(1200).select(F.lit("k").alias("k"), F.format_string("%04d", "id").alias("line")).union(spark.createDataFrame([("s", "one"), (None, "two")], "k string, line string"))
+    parts = text_parts(lines, ["k"], ["line"], "line").collect()
+    whole = "\n".join(p.text for p in sorted((p for p in parts if p.k == "k"), key=lambda p: p.part))
+    assert whole.split("\n") == [f"{i:04d}" for i in range(1200)]
+    assert sorted((p.k or "", p.part, p.text) for p in parts if p.k != "k") == [("", 0, "two"), ("s", 0, "one")]
+    first = {r.k: r.t for r in text_of_lines(lines, ["k"], ["line"], "line", "t").collect()}
+    assert first["k"].split("\n")[998:] == ["0998", CONTINUED] and first["s"] == "one"
+
+    runs = spark.range(1200).select(F.lit("d").alias("dataset"), F.col("id").alias("run"))
+    found = V.persistence(spark.createDataFrame([("d", "b")], "dataset string, break_key string"), runs, runs.withColumn("key", F.lit("b")), "run", [F.col("run")]).first()
+    assert found.persist_cnt == 1200 == len(found.persist_runs.split(", ")) == len(found.checked_runs.split(", "))
+
+    tickets = spark.createDataFrame([("d", "r", 50.0, "title", "High")], "dataset string, runId string, score double, suggested_title string, suggested_priority string")
+    breaks = spark.range(1200).select(F.lit("d").alias("dataset"), F.lit("r").alias("runId"), F.format_string("b%d__NULL", "id").alias("key"), F.lit("null").alias("type"))
+    none = spark.createDataFrame([], "dataset string")
+    alerts = V.high_score_alerts(tickets, breaks, none).withColumn("break_key", F.lit(None).cast("string")).withColumn("ord", F.lit(1))
+    told = V.alert_breaks(tickets, breaks, none)
+    assert told.count() == 1200
+    unpacked = N.unpack_breaks(alerts, ["ord"], told)
+    assert unpacked.count() == 1200 and unpacked.filter("break_key = 'title'").count() == 0
+    assert sum(len(p.text.split("\n")) for p in N.message_parts(unpacked).collect()) == 1200

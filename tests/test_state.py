@@ -1,5 +1,7 @@
 """Keyed merges, sinks and snapshots."""
 
+import uuid
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -78,16 +80,45 @@ def test_sync(spark):
     assert S.sync_check(a, b, ["k"]).count() == 0
 
 
-def test_snapshot_versions(spark):
-    table = W.SnapshotTable(spark, scratch_path(spark, "test-snapshot"))
-    assert table.read() is None
-    table.replace(spark.createDataFrame([("ds_one", "2024-01-01")], "dataset string, run_date string"))
-    held = table.read()
-    table.replace(spark.createDataFrame([("ds_two", 5)], "dataset string, extra int"))
-    assert rows(table.read(), "dataset", "run_date", "extra") == [("ds_two", None, 5)]
-    assert rows(held, "dataset", "run_date") == [("ds_one", "2024-01-01")]
-    table.replace(table.read().filter(F.lit(False)))
-    assert table.read().count() == 0 and table.current() == "v00000003"
+def test_snapshot_is_staged_then_replaced(spark):
+    policy = W.WritePolicy("snapshot", f"t_{uuid.uuid4().hex}")
+    W.write_table(spark.createDataFrame([("ds_one", "2024-01-01")], "dataset string, run_date string"), policy)
+    W.write_table(spark.createDataFrame([("ds_two", 5)], "dataset string, extra int"), policy)
+    assert rows(spark.read.table(policy.table), "dataset", "run_date", "extra") == [("ds_two", None, 5)]
+    failing = spark.createDataFrame([("x",)], "dataset string").withColumn("extra", F.raise_error(F.lit("broken")).cast("int"))
+    with pytest.raises(Exception, match="broken"):
+        W.write_table(failing, policy)
+    assert rows(spark.read.table(policy.table), "dataset", "extra") == [("ds_two", 5)]
+    W.write_table(spark.read.table(policy.table).filter(F.lit(False)), policy)
+    assert spark.read.table(policy.table).count() == 0
+
+
+def test_partial_upsert_keeps_other_columns_and_rows(spark):
+    prefix = f"t_{uuid.uuid4().hex}_"
+    first = spark.createDataFrame([("a", "r1", "u1"), ("b", "r2", "u2")], "dataset string, region string, business_unit string")
+    where = W.write_output(first, "business_unit_mapping", [W.Target("table")], prefix)
+    W.write_output(spark.createDataFrame([("a", "new"), ("c", "r3")], "dataset string, region string"), "business_unit_mapping", [W.Target("table")], prefix)
+    got = rows(spark.read.table(where["table"]), "dataset", "region", "business_unit")
+    assert got == [("a", "new", "u1"), ("b", "r2", "u2"), ("c", "r3", None)]
+    for bad in ([(None, "x")], [("a", "x"), ("a", "y")]):
+        with pytest.raises(Exception, match="null or occurs twice"):
+            W.write_output(spark.createDataFrame(bad, "dataset string, region string"), "business_unit_mapping", [W.Target("table")], prefix)
+
+
+def test_null_keys_raise_on_both_sides(spark):
+    good, bad = spark.createDataFrame([(1, "x")], "k int, v string"), spark.createDataFrame([(None, "x")], "k int, v string")
+    with pytest.raises(Exception, match="null"):
+        S.merge_upsert(good, bad, ["k"]).collect()
+    with pytest.raises(Exception, match="stored key is null"):
+        S.merge_upsert(bad, good, ["k"]).collect()
+
+
+def test_csv_keeps_line_breaks(spark):
+    texts = ["a\nb", "\r\n", "back\\nslash \\\\", ' "quoted", ', "", None, "\\", "x\ty"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    path = scratch_path(spark, "test-csv")
+    W.write_csv(df, path)
+    assert [t for _, t in sorted(tuple(r) for r in R.read_csv(spark, path, df.schema).collect())] == texts
 
 
 def test_duplicate_columns_are_refused(spark):
@@ -97,13 +128,13 @@ def test_duplicate_columns_are_refused(spark):
 
 
 def test_write_dispatch(spark):
-    assert W.policy_for("business_unit_mapping") == W.WritePolicy("upsert", "dqm_auto_business_unit_mapping", ("dataset",))
-    assert W.policy_for("dataset_definitions").kind == "skip"
-    assert W.policy_for("New Ticket-List").table == "dqm_auto_new_ticket_list"
-    assert W.policy_for("x", {"x": "other.table"}).table == "other.table"
+    assert W.policy_for("business_unit_mapping", "auto_") == W.WritePolicy("upsert", "auto_business_unit_mapping", ("dataset",))
+    assert W.policy_for("dataset_definitions", "").kind == "skip"
+    assert W.policy_for("New Ticket-List", "auto_").table == "auto_new_ticket_list"
+    assert W.policy_for("x", "auto_", {"x": "other.table"}).table == "other.table"
     df = spark.createDataFrame([("ds_one", ["a"])], "dataset string, tags array<string>")
     root = scratch_path(spark, "test-output")
-    where = W.write_output(df, "dataset_definitions", [W.Target("csv", root), W.Target("table", root)])
+    where = W.write_output(df, "dataset_definitions", [W.Target("csv", root), W.Target("table", root)], "t_")
     assert set(where) == {"csv"}
     back = R.read_csv(spark, where["csv"], StructType.fromDDL("dataset string, tags string"))
     assert rows(back, "dataset", "tags") == [("ds_one", '["a"]')]
@@ -118,6 +149,8 @@ def test_source_order(spark):
     with pytest.raises(AnalysisException):
         R.read_first_available(spark, [missing])
     assert R.read_or_empty(spark, missing, schema).count() == 0
+    with pytest.raises(Exception, match="no_such_format"):
+        R.read_or_empty(spark, R.Source(fmt="no_such_format", options={"path": path}), schema)
 
 
 def test_override_and_missing_columns(spark):
