@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,15 +33,41 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter("u <> v").distinct()
 
 
+def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The edges of a task, replaced by one from every node to the least node it is tied to within the task."""
+    up: dict = {}
+
+    def top(x):
+        while up.setdefault(x, x) != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    kind = None
+    for batch in batches:
+        kind = batch.column("u").type
+        for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist()):
+            a, b = top(u), top(v)
+            if a != b:
+                up[max(a, b)] = min(a, b)
+    if up:
+        nodes = [(x, top(x)) for x in up]
+        nodes = [(x, y) for x, y in nodes if x != y]
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in nodes], kind), pa.array([y for _, y in nodes], kind)], ["u", "v"])
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, root): every node that has an edge to another, with the least node reachable from it.
+    """(node, root): every node with an edge, but for the roots, and the least node reachable from it.
 
-    Null ends and loops are left out.  Each round is written to the shared
+    Tasks first contract the edges they hold, which takes away most of the
+    length of paths.  Null ends and loops are left out.  Each round is written to the shared
     folder, and rounds end when one changes nothing; their number grows with
     the logarithm of the longest path.
     """
     plain = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b")
-    held = materialize(plain.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    kind = dict(plain.dtypes)["a"]
+    once = plain.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    held = materialize(once.mapInArrow(contract, f"u {kind}, v {kind}"), "edges")
 
     def state(e: DataFrame):
         return e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
