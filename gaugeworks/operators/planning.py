@@ -78,9 +78,9 @@ SAMPLE_ENSURED = ("linkId",)
 NO_SAMPLE = "_No sample breaking records returned._"
 
 
-def _cell(value: Column, max_len: int) -> Column:
+def _cell(value: Column, max_len: int | None) -> Column:
     text = F.trim(F.replace(F.coalesce(value, F.lit("None")), F.lit("\n"), F.lit(" ")))
-    cut = F.when(F.length(text) > max_len, F.concat(F.substring(text, 1, max_len - 3), F.lit("..."))).otherwise(text)
+    cut = text if max_len is None else F.when(F.length(text) > max_len, F.concat(F.substring(text, 1, max_len - 3), F.lit("..."))).otherwise(text)
     return F.replace(cut, F.lit("|"), F.lit("\\|"))
 
 
@@ -88,13 +88,15 @@ def sample_records(
     records: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[Column | str],
+    max_rows: int,
     break_columns: str | None = None,
-    max_rows: int = 6,
-    max_cols: int = 10,
-    max_cell_len: int = 80,
+    max_cols: int | None = None,
+    max_cell_len: int | None = None,
     output: str = "table",
 ) -> DataFrame:
-    """Text sample of the first records of each key, as a table or as bullets.
+    """Text sample of the first ``max_rows`` records of each key, as a table or as bullets.
+
+    All columns and whole cells are shown unless the caller limits them.
 
     ``records`` carries ``record``, an ordered map of column to text.  With
     ``break_columns``, a column of ``records`` naming the broken column, that
@@ -109,7 +111,8 @@ def sample_records(
     head = F.col("rows")[0]
     hidden = F.array(*[F.lit(c) for c in SAMPLE_DROPPED])
     names = F.transform(head["entries"], lambda e: e["key"])
-    dynamic = F.slice(F.filter(names, lambda c: ~F.array_contains(head["shown"], c) & ~F.array_contains(hidden, c)), 1, max_cols)
+    dynamic = F.filter(names, lambda c: ~F.array_contains(head["shown"], c) & ~F.array_contains(hidden, c))
+    dynamic = dynamic if max_cols is None else F.slice(dynamic, 1, max_cols)
     staged = held.withColumns({"cols": F.concat(head["shown"], dynamic), "broken": head["broken"]})
 
     def value(row: Column, column: Column) -> Column:

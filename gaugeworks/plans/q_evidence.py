@@ -78,7 +78,7 @@ def _search_inputs(t):
 
 @query("i03_search_evidence", SEARCH_SQL)
 def search_evidence(t):
-    return E.search_evidence(*_search_inputs(t))
+    return E.search_evidence(*_search_inputs(t), limit=500)
 
 
 EVENT = "coalesce(dev_at, updated)"
@@ -123,7 +123,7 @@ def expand_links(t):
     at = F.lit("2024-01-10").cast("timestamp_ntz")
     seeds = t.fx_turn.filter("turn = 0").select(F.col("conv_id").alias("incident"), "key", F.lit(1).alias("rank"), at.alias("latest_at"))
     allowed = t.fx_turn.select("key", F.when(F.col("late"), at + F.expr("INTERVAL 1 DAY")).otherwise(at).alias("event_at"))
-    return E.expand_links(seeds, t.fx_link.withColumn("position", F.lit(0)), allowed)
+    return E.expand_links(seeds, t.fx_link.withColumn("position", F.lit(0)), allowed, cap=50, first=3)
 
 
 RANK_SQL = f"""
@@ -154,7 +154,7 @@ def redact_limited(t):
 @query("i10_evidence_text", f"""
     SELECT incident, string_agg(concat('Key: ', key, chr(10), 'Type: ', issue_type, chr(10), 'Summary: ', summary, chr(10), 'Status: ', status, chr(10), 'Created: ', coalesce(strftime(created, '%Y-%m-%d %H:%M:%S'), ''), chr(10),
         'Updated: ', strftime(updated, '%Y-%m-%d %H:%M:%S'), chr(10), 'Development Latest: ', coalesce(strftime(dev_at, '%Y-%m-%d %H:%M:%S'), ''), chr(10), 'Relevance Score: ', CAST(CAST(round(score, 3) AS DOUBLE) AS VARCHAR), chr(10),
-        'Description: ', body, chr(10), 'Comments:', chr(10), 'c'), chr(10) || chr(10) ORDER BY rank) AS evidence FROM ({RANK_SQL}) z WHERE rank <= 12 GROUP BY incident""")
+        'Description: ', body, chr(10), 'Comments:', chr(10), 'c'), chr(10) || chr(10) ORDER BY rank) AS evidence FROM ({RANK_SQL}) z GROUP BY incident""")
 def evidence_text(t):
     ranked = E.rank_evidence(_scored(t)).withColumns({"description": F.col("body"), "comments_text": F.lit("c")})
     return E.evidence_text(ranked)

@@ -436,7 +436,7 @@ def _sample_input(t):
       string_agg(concat('| ', CAST(n AS VARCHAR), ' | ', l_returnflag, chr(92), '|', l_linestatus, ' | ', CAST(l_orderkey AS VARCHAR), ' | ', CAST(l_linenumber AS VARCHAR), ' | ', CAST(l_partkey AS VARCHAR), ' | ',
         repeat(l_returnflag, 77), '... |'), chr(10) ORDER BY n)) AS sample FROM s WHERE n <= 6 GROUP BY l_suppkey""")
 def sample_records(t):
-    return P.sample_records(_sample_input(t), ["l_suppkey"], ["l_orderkey", "l_linenumber", "l_partkey"], break_columns="broken")
+    return P.sample_records(_sample_input(t), ["l_suppkey"], ["l_orderkey", "l_linenumber", "l_partkey"], max_rows=6, break_columns="broken", max_cols=10, max_cell_len=80)
 
 
 @query("g06_sample_bullets", """
@@ -445,7 +445,7 @@ def sample_records(t):
     FROM s WHERE n <= 6 GROUP BY l_suppkey""")
 def sample_bullets(t):
     order = ["l_orderkey", "l_linenumber", "l_partkey"]
-    return P.sample_records(_sample_input(t), ["l_suppkey"], order, max_cols=2, output="bullets")
+    return P.sample_records(_sample_input(t), ["l_suppkey"], order, max_rows=6, max_cols=2, output="bullets")
 
 
 @query("g07_break_summary", """
