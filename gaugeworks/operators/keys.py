@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from itertools import combinations
-from math import prod
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,33 +11,23 @@ from pyspark.sql import functions as F
 def candidate_keys(df: DataFrame, max_width: int = 2) -> DataFrame:
     """Minimal column sets, up to a width, that are never null and never repeat.
 
-    One pass per width estimates distinct values.  Sets far below the row count
-    are dropped, as are wider ones whose columns could not reach it even if
-    independent; the rest are proved by an exact grouped count.  Only these
-    few statistics reach the driver, never rows.
+    One job per width counts the distinct values of all its sets exactly; sets
+    that hold a shorter key are left out.  The counts are combined within the
+    tasks first, and only they reach the driver, one number per set.
     """
     columns = df.columns
-    stats = df.agg(
-        F.count("*").alias("n"),
-        *[F.count(F.col(f"`{c}`")).alias(f"full:{c}") for c in columns],
-    ).first()
+    stats = df.agg(F.count("*").alias("n"), *[F.count(F.col(f"`{c}`")).alias(f"full:{c}") for c in columns]).first()
     total = stats["n"]
     usable = [c for c in columns if stats[f"full:{c}"] == total]
     found: list[tuple[str, ...]] = []
-    single: dict[str, int] = {}
     for width in range(1, max_width + 1):
         sets = [s for s in combinations(usable, width) if not any(set(k) <= set(s) for k in found)]
-        if width > 1:
-            sets = [s for s in sets if prod(single[c] for c in s) >= 0.5 * total]
         if not sets or total == 0:
             continue
-        guess = df.agg(*[F.approx_count_distinct(F.struct(*[F.col(f"`{c}`") for c in s])).alias(str(i)) for i, s in enumerate(sets)]).first()
-        if width == 1:
-            single = {s[0]: guess[str(i)] for i, s in enumerate(sets)}
-        likely = [s for i, s in enumerate(sets) if guess[str(i)] >= 0.5 * total]
-        for s in likely:
-            repeats = df.groupBy(*[F.col(f"`{c}`") for c in s]).count().filter("count > 1")
-            if repeats.isEmpty():
-                found.append(s)
+        # One row per set and value; groups are (set, value), so no task holds a whole set.
+        values = F.array(*[F.struct(F.lit(i).alias("set"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in s])).alias("value")) for i, s in enumerate(sets)])
+        repeated = df.select(F.explode(values).alias("x")).groupBy("x.set", "x.value").count().filter("count > 1").select("set").distinct()
+        broken = {r[0] for r in repeated.collect()}
+        found += [s for i, s in enumerate(sets) if i not in broken]
     rows = [(",".join(s), len(s)) for s in found]
     return df.sparkSession.createDataFrame(rows, "columns string, width int")

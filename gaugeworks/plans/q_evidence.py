@@ -200,9 +200,9 @@ def _key_sql(table: str, columns: list[str]) -> str:
     return f"{singles} UNION ALL {pairs}"
 
 
-_ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
+_ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
 @query("k01_candidate_keys", _key_sql("orders", _ORDER_COLUMNS))
 def candidate_keys(t):
-    return Y.candidate_keys(t.orders.select(*_ORDER_COLUMNS), 2)
+    return Y.candidate_keys(t.orders, 2)

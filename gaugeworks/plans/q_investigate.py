@@ -165,13 +165,13 @@ def invalidation_list(t):
 
 
 @query("h12_pick_ticket", """
-    WITH c AS (SELECT parent_summary AS dataset, CASE WHEN status = 'Closed' THEN 1 ELSE 0 END AS tier, date_updated AS at_date, key, lpad(CAST(ord AS VARCHAR), 12, '0') AS tie FROM fx_ticket WHERE issue_type = 'Sub-task' AND parent_summary LIKE '%7'
+    WITH c AS (SELECT parent_summary AS dataset, CASE WHEN status = 'Closed' THEN 1 ELSE 0 END AS tier, date_updated AS at_date, key, lpad(CAST(ord AS VARCHAR), 12, '0') AS tie FROM fx_ticket WHERE issue_type = 'Sub-task'
       UNION ALL SELECT dataset, 2, NULL, concat('N-', dataset), concat('N-', dataset) FROM fx_bu WHERE business_unit LIKE '% - cde'),
     p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY tier, at_date DESC NULLS LAST, tie) AS rn FROM c) q WHERE rn = 1)
     SELECT b.dataset, p.key AS issue_key FROM fx_bu b LEFT JOIN p ON p.dataset = b.dataset""")
 def pick_ticket(t):
     logged = t.fx_bu.filter("business_unit LIKE '% - cde'").select("dataset", F.concat(F.lit("N-"), "dataset").alias("SUBTASK"))
-    tickets = t.fx_ticket.filter("issue_type = 'Task' OR parent_summary LIKE '%7'").withColumn("tie", F.format_string("%012d", "ord"))
+    tickets = t.fx_ticket.withColumn("tie", F.format_string("%012d", "ord"))
     return T.pick_ticket(t.fx_bu, tickets, logged, "tie")
 
 
@@ -188,12 +188,12 @@ def breaks_in_text(t):
 
 
 @query("h14_outstanding", """
-    WITH f AS (SELECT issue_key, break_key, bool_or(source < 'src2') AS r, bool_or(source > 'src6') AS a, bool_or(source BETWEEN 'src3' AND 'src4') AS n FROM fx_raised WHERE source < 'src2' OR source > 'src6' OR source BETWEEN 'src3' AND 'src4' GROUP BY 1, 2)
+    WITH f AS (SELECT issue_key, break_key, TRUE AS r, bool_or(source > 'src6') AS a, bool_or(source BETWEEN 'src3' AND 'src4') AS n FROM fx_raised GROUP BY 1, 2)
     SELECT issue_key, count(*) FILTER (r) AS raised_breaks_cnt, count(*) FILTER (a) AS already_invalidated_cnt, count(*) FILTER (n) AS newly_invalidated_cnt, count(*) FILTER (r AND NOT a AND NOT n) AS outstanding_cnt,
            count(*) FILTER (r) > 0 AND count(*) FILTER (r AND NOT a AND NOT n) = 0 AS should_close FROM f GROUP BY 1""")
 def outstanding(t):
     df = t.fx_raised
-    return V.outstanding(df.filter("source < 'src2'"), df.filter("source > 'src6'"), df.filter("source BETWEEN 'src3' AND 'src4'"))
+    return V.outstanding(df, df.filter("source > 'src6'"), df.filter("source BETWEEN 'src3' AND 'src4'"))
 
 
 ALERT_SQL = """

@@ -8,6 +8,7 @@ from pyspark.sql.types import StructType
 from ..functions import coerce as K
 from ..operators import history as H
 from ..operators import report as R
+from ..operators.relational import union_all
 from .fixtures import add_views
 from .registry import query
 
@@ -93,13 +94,11 @@ def explode_domains(t):
     return _domains(t)
 
 
-@query("d09_split_by_domain", f"""
-    SELECT CASE "Domain" WHEN 'Furniture' THEN 'out_a' ELSE 'out_b' END AS output, "Name", count(*) AS n FROM ({DOMAIN_SQL}) q
-    WHERE "Domain" IN ('Furniture', 'XX') GROUP BY 1, 2""")
+@query("d09_split_by_domain", f'SELECT concat(\'out_\', lower("Domain")) AS output, "Name", count(*) AS n FROM ({DOMAIN_SQL}) q GROUP BY 1, 2')
 def split_by_domain(t):
-    parts = R.split_by_domain(_domains(t), {"out_a": "Furniture", "out_b": "XX"})
+    parts = R.split_by_domain(_domains(t), {f"out_{d.lower()}": d for d in ("Furniture", "Machinery", "Tools", "Automobile", "XX")})
     frames = [df.groupBy("Name").agg(F.count("*").alias("n")).withColumn("output", F.lit(name)) for name, df in parts.items()]
-    return frames[0].unionByName(frames[1])
+    return union_all(frames)
 
 
 @query("e01_normalize_history", """

@@ -311,16 +311,15 @@ def adaptive_candidates(t):
 
 
 def _records(t):
-    """Two records per observation that has details: an odd one and a usual one."""
+    """Two records per observation: an odd one and a usual one."""
     odd = F.create_map(F.lit("qty"), F.col("owlRank").cast("string"), F.lit("occurs"), F.lit("2"), F.lit("flag"), F.substring("obs", -2, 2))
     usual = F.create_map(F.lit("qty"), F.lit("0"), F.lit("occurs"), F.lit("2"), F.lit("line"), F.col("line").cast("string"))
     pairs = F.posexplode(F.array(odd, usual)).alias("at", "record")
-    df = t.fx_obs.filter("line <> 6 AND l_shipdate >= TIMESTAMP '1996-01-01 00:00:00'").select("dataset", "runId", "obsKey", pairs)
+    df = t.fx_obs.select("dataset", "runId", "obsKey", pairs)
     return df.withColumn("ord", F.concat("obsKey", F.lit("#"), F.col("at").cast("string"))).drop("at")
 
 
 _SCHEDULED = "fx_obs WHERE \"jobSchedule\" = 'TRUE'"
-_DETAILED = "line <> 6 AND l_shipdate >= TIMESTAMP '1996-01-01 00:00:00'"
 _HEAD = """'*Dataset:* ', h.dataset, chr(10), '*DataTable:* ', chr(10), '*RunId (runDate):* ', h."runId", chr(10), '*Total {label} score impact:* ', printf('%.2f', h.score), '%', chr(10)"""
 
 
@@ -328,7 +327,7 @@ _HEAD = """'*Dataset:* ', h.dataset, chr(10), '*DataTable:* ', chr(10), '*RunId
     WITH p AS (SELECT *, substr(obs, 10) AS pattern FROM {_SCHEDULED} AND line <> 7),
     h AS (SELECT dataset, "runId", pattern, CAST(sum(CAST("obsScore" AS DECIMAL(28,6))) AS DOUBLE) AS score FROM p GROUP BY 1, 2, 3),
     s AS (SELECT dataset, "runId", pattern, string_agg(concat(chr(10), '| PatternCount | qty | occurs | flag |', chr(10), '| ', CAST("owlRank" AS VARCHAR), ' | ', CAST("owlRank" AS VARCHAR), ' | 2 | ', substr(obs, 10), ' |', chr(10),
-            '| Majority Pattern | 0 | 2 | ', CAST(line AS VARCHAR), ' |'), chr(10) ORDER BY "obsKey") AS samples FROM p WHERE {_DETAILED} GROUP BY 1, 2, 3)
+            '| Majority Pattern | 0 | 2 | ', CAST(line AS VARCHAR), ' |'), chr(10) ORDER BY "obsKey") AS samples FROM p GROUP BY 1, 2, 3)
     SELECT h.dataset, CAST(NULL AS VARCHAR) AS table_name, h."runId", CAST(NULL AS VARCHAR) AS business_unit, concat('Anti-Pattern: ', h.pattern) AS suggested_title,
            CASE WHEN h.score >= 20 THEN 'Critical' WHEN h.score >= 10 THEN 'High' ELSE 'Medium' END AS suggested_priority, 'dq|pattern|end-users' AS suggested_labels, CAST(round(h.score, 6) AS DOUBLE) AS score,
            concat({_HEAD.format(label="pattern")}, chr(10), '*Pattern: ', h.pattern, '*', coalesce(chr(10) || s.samples, '')) AS jira_description
@@ -341,8 +340,8 @@ def pattern_candidates(t):
 @query("f20_duplicate_candidates", f"""
     WITH p AS (SELECT * FROM {_SCHEDULED}),
     h AS (SELECT dataset, "runId", CAST(sum("owlRank") AS DOUBLE) AS score, string_agg("obsKey", ', ' ORDER BY "obsKey") AS keys FROM p GROUP BY 1, 2),
-    r AS (SELECT dataset, "runId", concat('| ', CAST("owlRank" AS VARCHAR), ' | ', substr(obs, length(obs) - 1), ' | nan | 2 |') AS line, "obsKey" || '#0' AS ord FROM p WHERE {_DETAILED}
-          UNION ALL SELECT dataset, "runId", concat('| 0 | nan | ', CAST(line AS VARCHAR), ' | 2 |'), "obsKey" || '#1' FROM p WHERE {_DETAILED}),
+    r AS (SELECT dataset, "runId", concat('| ', CAST("owlRank" AS VARCHAR), ' | ', substr(obs, length(obs) - 1), ' | nan | 2 |') AS line, "obsKey" || '#0' AS ord FROM p
+          UNION ALL SELECT dataset, "runId", concat('| 0 | nan | ', CAST(line AS VARCHAR), ' | 2 |'), "obsKey" || '#1' FROM p),
     d AS (SELECT dataset, "runId", line, min(ord) AS ord FROM r GROUP BY 1, 2, 3),
     s AS (SELECT dataset, "runId", string_agg(line, chr(10) ORDER BY ord) AS samples FROM d GROUP BY 1, 2)
     SELECT h.dataset, CAST(NULL AS VARCHAR) AS table_name, h."runId", CAST(NULL AS VARCHAR) AS business_unit,
