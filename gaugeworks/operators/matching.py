@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +15,9 @@ from ..functions.text import squeeze
 from ..session import materialize
 from .relational import first_row
 
+# The token-set ratio runs in Python workers; sent by value, it needs no copy of this package there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Weights of the blend, sizes of the grams.
 WEIGHTS = {"char": 0.35, "word": 0.35, "tokens": 0.20, "columns": 0.10}
 CHAR_SIZES = (3, 4, 5)

@@ -147,9 +147,43 @@ def _open_titles(t):
     return T.active_subtasks(t.fx_ticket).select(F.col("parent_summary").alias("dataset"), "title", "ord")
 
 
-@query("f08_match_titles")
+LCS = """list_last(list_reduce(string_split({a}, ''), lambda d, ch: list_reduce(range(1, length({b}) + 1), lambda acc, j: list_append(acc,
+    CASE WHEN substr({b}, j, 1) = ch THEN d[j] + 1 ELSE greatest(acc[j], d[j + 1]) END), [CAST(0 AS BIGINT)]), list_resize([CAST(0 AS BIGINT)], length({b}) + 1, 0)))"""
+
+# Two TF-IDF cosines fitted on a dataset's open titles, the token-set ratio, and the share of column names.
+MATCH_SQL = f"""
+    WITH cand AS (SELECT DISTINCT dataset, concat(substr(rule_nm, 4, 5), {DIM_TITLE}) AS title FROM fx_rule WHERE break_msg = 'BREAKING' AND perc > 0),
+    tick AS (SELECT parent_summary AS dataset, title, count(*) AS copies, min(ord) AS ord FROM fx_ticket WHERE issue_type = 'Sub-task' AND status IN {ACTIVE} AND trim(title) <> '' GROUP BY 1, 2),
+    names AS (SELECT DISTINCT title, lower(trim(regexp_replace(title, '\\s+', ' ', 'g'))) AS norm FROM (SELECT title FROM cand UNION SELECT title FROM tick) u),
+    ws AS (SELECT title, regexp_extract_all(norm, '\\w+') AS w, list_filter(string_split(norm, ' '), lambda x: x <> '') AS parts FROM names),
+    grams AS (
+      SELECT title, 'w' AS space, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: concat(w[i], ' ', w[i + 1])))) AS term FROM ws
+      UNION ALL SELECT title, 'c', substr(p, CAST(i AS INTEGER), size) FROM (SELECT title, p, size, unnest(range(1, length(p) - size + 2)) AS i
+        FROM (SELECT title, concat(' ', unnest(parts), ' ') AS p FROM ws) x, (VALUES (3), (4), (5)) s(size) WHERE length(p) >= size) y),
+    tf AS (SELECT title, space, term, count(*) AS tf FROM grams GROUP BY 1, 2, 3),
+    total AS (SELECT dataset, sum(copies) AS n FROM tick GROUP BY 1),
+    idf AS (SELECT k.dataset, space, term, ln(CAST(1 + max(n) AS DOUBLE) / CAST(1 + sum(copies) AS DOUBLE)) + 1 AS idf FROM tick k JOIN tf USING (title) JOIN total o ON o.dataset = k.dataset GROUP BY 1, 2, 3),
+    vec AS (SELECT i.dataset, s.title, space, term, tf * idf AS w FROM (SELECT dataset, title FROM cand UNION SELECT dataset, title FROM tick) s JOIN tf USING (title) JOIN idf i USING (space, term) WHERE i.dataset = s.dataset),
+    unit AS (SELECT dataset, title, space, term, w / sqrt(sum(w * w) OVER (PARTITION BY dataset, title, space)) AS u FROM vec),
+    cosine AS (SELECT a.dataset, a.title AS c, b.title AS t, sum(0.35 * a.u * b.u) AS cosines FROM unit a JOIN unit b USING (dataset, space, term) GROUP BY 1, 2, 3),
+    pair AS (SELECT c.dataset, c.title AS c, k.title AS t, k.ord, coalesce(x.cosines, 0) AS cosines FROM cand c JOIN tick k ON k.dataset = c.dataset LEFT JOIN cosine x ON x.dataset = c.dataset AND x.c = c.title AND x.t = k.title),
+    texts AS (SELECT DISTINCT c, t, list_distinct(list_filter(string_split(c, ' '), lambda x: x <> '')) AS x, list_distinct(list_filter(string_split(t, ' '), lambda x: x <> '')) AS y,
+        list_distinct(list_filter(regexp_extract_all(lower(c), '[a-z0-9_]+'), lambda x: contains(x, '_') OR ends_with(x, 'id') OR ends_with(x, 'code'))) AS cc,
+        list_distinct(list_filter(regexp_extract_all(lower(t), '[a-z0-9_]+'), lambda x: contains(x, '_') OR ends_with(x, 'id') OR ends_with(x, 'code'))) AS tc FROM pair),
+    cut AS (SELECT c, t, len(cc) AS n_cols, len(list_intersect(cc, tc)) AS shared_cols, array_to_string(list_sort(list_intersect(x, y)), ' ') AS s,
+        array_to_string(list_sort(list_filter(x, lambda e: NOT list_contains(y, e))), ' ') AS l, array_to_string(list_sort(list_filter(y, lambda e: NOT list_contains(x, e))), ' ') AS r FROM texts),
+    sized AS (SELECT *, length(s) AS base, CASE WHEN s <> '' THEN 1 ELSE 0 END AS gap, CASE WHEN l = '' OR r = '' THEN 0 ELSE {LCS.format(a="l", b="r")} END AS common FROM cut),
+    ratio AS (SELECT *, CASE WHEN s <> '' AND (l = '' OR r = '') THEN 1.0 ELSE greatest(
+        1 - CAST(length(l) + length(r) - 2 * common AS DOUBLE) / (2 * (base + gap) + length(l) + length(r)),
+        CASE WHEN s <> '' THEN 1 - CAST(gap + length(l) AS DOUBLE) / (2 * base + gap + length(l)) ELSE 0 END,
+        CASE WHEN s <> '' THEN 1 - CAST(gap + length(r) AS DOUBLE) / (2 * base + gap + length(r)) ELSE 0 END) END AS tokens FROM sized),
+    scored AS (SELECT p.dataset, p.c, p.t, p.ord, round(cosines + 0.2 * tokens + 0.1 * CASE WHEN shared_cols = 0 THEN 0.0 WHEN shared_cols = n_cols THEN 1.0
+        ELSE CAST(shared_cols AS DOUBLE) / max(shared_cols) OVER (PARTITION BY p.dataset, p.c) END, 12) AS score FROM pair p JOIN ratio q ON q.c = p.c AND q.t = p.t)
+    SELECT dataset, title, matched_title, CAST(score AS DOUBLE) AS score FROM (SELECT dataset, c AS title, t AS matched_title, score, row_number() OVER (PARTITION BY dataset, c ORDER BY score DESC, ord) AS rn FROM scored WHERE score >= 0.72) b WHERE rn = 1"""
+
+
+@query("f08_match_titles", MATCH_SQL)
 def match_titles(t):
-    """No SQL twin: the token-set ratio needs a longest common subsequence. Checked against brute force in the tests."""
     return M.match_titles(_rule_titles(t), _open_titles(t))
 
 
@@ -179,7 +213,9 @@ def custom_candidates(t):
     return C.ordered_candidates(_custom(t, closed)).withColumn("suggested_labels", F.array_join("suggested_labels", "|"))
 
 
-@query("f09_custom_candidates_matched")
+@query("f09_custom_candidates_matched", f"""
+    WITH all_of AS ({CUSTOM_SQL}), matched AS ({MATCH_SQL.replace("WITH cand AS", "SELECT * FROM (WITH cand AS") + ")"})
+    SELECT a.* FROM all_of a WHERE NOT EXISTS (SELECT 1 FROM matched m WHERE m.dataset = a.dataset AND m.title = a.suggested_title)""")
 def custom_candidates_matched(t):
     """Against all tickets: near-equal open titles remove candidates."""
     return C.ordered_candidates(_custom(t, t.fx_ticket)).withColumn("suggested_labels", F.array_join("suggested_labels", "|"))

@@ -9,8 +9,8 @@ from tests.oracle import compare, connect
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, ORACLES = load_all()
-# Only the query-text parser and the token-set ratio run in Python workers.
-PYTHON = ("c18", "c23", "f08", "f09")
+# Only the token-set ratio runs in Python workers.
+PYTHON = ("f08", "f09")
 
 
 @pytest.fixture(scope="module")
