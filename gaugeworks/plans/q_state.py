@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators import state as S
+from ..operators.relational import union_all
 from ..session import scratch_path
 from ..sources import readers as R
 from ..sources import writers as W
+from ..sources.schemas import managed
 from .registry import query
 
 
@@ -214,6 +216,35 @@ def managed_schema(t):
     return S.conform(t.orders, schema, ["o_orderkey"])
 
 
+@query("a17_managed_tables", """
+    SELECT 'mapping' AS what, dataset AS k1, CAST(NULL AS VARCHAR) AS k2, region, CAST(NULL AS DOUBLE) AS score, CAST(14 AS INTEGER) AS width FROM fx_bu
+    UNION ALL SELECT 'rules', dataset, concat(CAST(run_id AS VARCHAR), '/', rule_nm), NULL, min(score), 26 FROM fx_rule GROUP BY 2, 3
+    UNION ALL SELECT 'history', dataset, strftime(run_date, '%Y-%m-%d'), NULL, CAST(max(row_cnt) AS DOUBLE), 32 FROM fx_run GROUP BY 2, 3
+    UNION ALL SELECT 'definitions', dataset, rule_nm, NULL, NULL, 33 FROM fx_rule GROUP BY 2, 3
+    UNION ALL SELECT 'position', c_mktsegment, NULL, NULL, CAST(CAST(avg(CAST(c_custkey AS DOUBLE)) AS DECIMAL(10,2)) AS DOUBLE), 9 FROM customer GROUP BY 2""")
+def managed_tables(t):
+    """Each of the five managed tables filled from a view, shaped and checked for its key."""
+    rules = t.fx_rule.groupBy("dataset", F.concat(F.col("run_id").cast("string"), F.lit("/"), "rule_nm").alias("ruleNm")).agg(F.min("score").alias("score"))
+    days = t.fx_run.groupBy("dataset", F.date_trunc("day", "run_date").alias("runId")).agg(F.max("row_cnt").alias("rows"))
+    segments = t.customer.groupBy(F.col("c_mktsegment").alias("sector")).agg(F.avg("c_custkey").alias("dq_capability"))
+    filled = {
+        "business_unit_mapping": ("mapping", t.fx_bu.drop("ord"), "dataset", None, "region", None),
+        "custom_rule_details": ("rules", rules.withColumn("runId", F.lit("2024-01-01").cast("timestamp")), "dataset", "ruleNm", None, "score"),
+        "dashboard_history": ("history", days, "dataset", "runId", None, "rows"),
+        "dataset_definitions": ("definitions", t.fx_rule.select("dataset", F.col("rule_nm").alias("col_name")).distinct(), "dataset", "col_name", None, None),
+        "global_position": ("position", segments, "sector", None, None, "dq_capability"),
+    }
+    out = []
+    for name, (what, df, k1, k2, region, score) in filled.items():
+        shaped = managed(df, name)
+        second = F.lit(None).cast("string") if k2 is None else F.date_format(k2, "yyyy-MM-dd") if what == "history" else F.col(k2)
+        out.append(shaped.select(
+            F.lit(what).alias("what"), F.col(k1).alias("k1"), second.alias("k2"), (F.lit(None).cast("string") if region is None else F.col(region)).alias("region"),
+            (F.lit(None) if score is None else F.col(score)).cast("double").alias("score"), F.lit(len(shaped.columns)).alias("width"),
+        ))
+    return union_all(out)
+
+
 @query("a18_seed_reference", """
     SELECT coalesce(a.sector, b.sector) AS sector, coalesce(b.n, a.n) AS n
     FROM (SELECT c_mktsegment AS sector, count(*) AS n FROM customer GROUP BY 1) a
