@@ -61,18 +61,21 @@ def persistence(breaks: DataFrame, runs: DataFrame, keys_by_run: DataFrame, run_
     ).drop("__n")
 
 
-def any_in_group(df: DataFrame, keys: Sequence[str], flag: str, out: str) -> DataFrame:
-    """Whether the flag is set anywhere in the group; counted before the join, so a large group stays spread out."""
-    groups = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.bool_or(flag).alias(out))
+def any_in_group(df: DataFrame, keys: Sequence[str], flag: str, out: str, source: DataFrame | None = None) -> DataFrame:
+    """Whether the flag is set anywhere in the group; counted before the join, so a large group stays spread out.
+
+    ``source`` holds the same rows before other columns were joined to them, so that those joins are not computed twice.
+    """
+    groups = (df if source is None else source).dropna(subset=list(keys)).groupBy(*keys).agg(F.bool_or(flag).alias(out))
     return join_null_safe(df, groups, keys, "left")
 
 
-def row_change(breaks: DataFrame, history: DataFrame, tie: Sequence[str]) -> DataFrame:
+def row_change(breaks: DataFrame, history: DataFrame, tie: Sequence[str], source: DataFrame | None = None) -> DataFrame:
     """Row change per break: the first row-count break of its dataset decides, else the run in history.
 
-    ``history`` has dataset, run_key, row_pct_change, row_cnt and rows_prev, one row per run day.
+    ``history`` has dataset, run_key, row_pct_change, row_cnt and rows_prev, one row per run day; ``source`` is as in ``any_in_group``.
     """
-    counted = first_row(breaks.filter(F.upper("type") == "ROW_COUNT"), ["dataset"], list(tie)).select(
+    counted = first_row((breaks if source is None else source).filter(F.upper("type") == "ROW_COUNT"), ["dataset"], list(tie)).select(
         "dataset", F.lit(True).alias("__found"), F.col("perChange").alias("__p"), F.col("value").alias("__v"), F.col("mean").alias("__m")
     )
     past = history.filter(F.col("run_key").isNotNull()).select(

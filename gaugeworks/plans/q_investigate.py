@@ -11,7 +11,7 @@ from ..operators import history as H
 from ..operators import investigate as V
 from ..operators import notify as N
 from ..operators import tickets as T
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources.readers import Source
 from .fixtures import add_views
 from .q_report import CHANGE_SQL
@@ -117,10 +117,13 @@ def row_change(t):
 
 
 def investigated(t) -> DataFrame:
-    """Breaks with assignments, persistence, row changes and the decision."""
-    df = V.parse_assignment(_persisted(t), "assignmentId").withColumn("run_key", K.run_key("run_date"))
-    df = V.any_in_group(df, ["dataset", "runId"], "is_row_count", "has_row_count_break")
-    return V.heuristics(V.row_change(df, _row_history(t), ["run_id", "seq", "seq2", "value"]))
+    """Breaks with assignments, persistence, row changes and the decision; the findings are read once."""
+    seen = materialize(t.fx_seen.filter("status = 'Breaking'"), "breaks")
+    breaks = V.parse_assignment(seen, "assignmentId").withColumn("run_key", K.run_key("run_date"))
+    runs = H.newest_runs(t.fx_run, 3, "dataset", "run_date", "run_id").select("dataset", "run_id", "run_date")
+    df = V.persistence(breaks, runs, V.breaking_keys(seen, "run_id"), "run_id", [F.desc("run_date"), F.desc("run_id")])
+    df = V.any_in_group(df, ["dataset", "runId"], "is_row_count", "has_row_count_break", breaks)
+    return V.heuristics(V.row_change(df, _row_history(t), ["run_id", "seq", "seq2", "value"], breaks))
 
 
 INVESTIGATED_SQL = f"""
