@@ -74,10 +74,10 @@ class Words:
         """The row of every word."""
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
-    def hashes(self, lower: bool = False) -> np.ndarray:
+    def hashes(self, lower: bool = False, seed: int = 7) -> np.ndarray:
         """A 64-bit hash of every word; ``lower`` reads A-Z as a-z."""
         out = np.empty(len(self.starts), np.uint64)
-        values = byte_values(7)[LOWER] if lower else byte_values(7)
+        values = byte_values(seed)[LOWER] if lower else byte_values(seed)
         a = 0
         while a < len(self.starts):
             base = int(self.starts[a])
