@@ -17,11 +17,13 @@ QUERIES = {
     "op10_substring_dedup": substrings.query,
 }
 
-# Random cuts, set joins in a tree, a trained field, token ids, template slots
-# and runs of words are beyond SQL; tests/llm holds them against brute force.
+# Random cuts, a trained field, token ids and template slots are beyond SQL;
+# tests/llm holds them against brute force.
 ORACLES = {
     "op1_line_dedup": lines.oracle(),
     "op2_quality_rules": quality.oracle(),
+    "op4_ngram_jaccard": jaccard.oracle(),
     "op5_url_filter": urls.oracle(),
     "op9_token_counts": rollups.oracle(),
+    "op10_substring_dedup": substrings.oracle(),
 }

@@ -249,3 +249,18 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its words, the words removed and a checksum of what is kept."""
     return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def oracle() -> str:
+    w = WINDOW
+    return f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+places AS (SELECT doc_id, ws, unnest(range(1, len(ws) - {w} + 2)) AS i FROM w WHERE len(ws) >= {w}),
+keyed AS (SELECT doc_id, i, md5(array_to_string(list_slice(ws, i, i + {w} - 1), ' ')) AS k FROM places),
+twice AS (SELECT doc_id, i FROM keyed QUALIFY count(*) OVER (PARTITION BY k) > 1),
+gone AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + {w})) AS p FROM twice)),
+counted AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
+word AS (SELECT doc_id, unnest(ws) AS x, generate_subscripts(ws, 1) AS p FROM w),
+kept AS (SELECT word.doc_id, string_agg(x, ' ' ORDER BY word.p) AS t FROM word LEFT JOIN gone ON gone.doc_id = word.doc_id AND gone.p = word.p WHERE gone.p IS NULL GROUP BY word.doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN counted ON counted.doc_id = w.doc_id LEFT JOIN kept ON kept.doc_id = w.doc_id"""
