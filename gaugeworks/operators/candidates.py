@@ -200,6 +200,8 @@ def adaptive_candidates(
     history: DataFrame,
     reference: DataFrame,
     tie: Sequence[str],
+    zone: str,
+    zone_label: str,
     time_col: str = "run_date",
     history_tie: str = "run_id",
     rows: str = "row_cnt",
@@ -230,7 +232,7 @@ def adaptive_candidates(
     titles = suggest_titles(breaks, keys, list(tie))
     texts = render_breaks(breaks, keys, list(tie))
     uncounted = runs.filter(~F.col("__counted")).select(*keys, "__at")
-    past = row_history(history, uncounted, "dataset", time_col, history_tie, rows, "__at").drop("__at")
+    past = row_history(history, uncounted, "dataset", time_col, history_tie, rows, "__at", zone, zone_label).drop("__at")
     joined = runs.join(titles, keys).join(texts, keys).join(past, keys, "left")
     joined = joined.withColumn("dataset_norm", squeeze("dataset")).join(stable_titles(tickets), "dataset_norm", "left")
     table = composite_id("__first.db_nm", "__first.table_nm")

@@ -129,13 +129,15 @@ def row_history(
     tie: str,
     rows: str,
     at: str,
+    zone: str,
+    label: str,
     scores: Sequence[str] = ("behaviorScore", "DQScore"),
     n: int = 7,
-    zone: str = "Asia/Singapore",
-    label: str = "SGT",
 ) -> DataFrame:
     """Row counts at each wanted (dataset, time): current, previous, change, and a history table.
 
+    The table shows times in ``zone`` with ``label`` behind them.
+
     Without a run at that time the latest run answers.  At most ``n`` runs per
     dataset are kept together.
     """

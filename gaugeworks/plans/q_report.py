@@ -12,6 +12,7 @@ from ..operators.relational import union_all
 from .fixtures import add_views
 from .registry import query
 
+ZONE = ("Asia/Singapore", "SGT")
 AS_OF = "DATE '2001-06-01'"
 DOMAINS = {"FURN": "Furniture", "MACH": "Machinery,Tools", "HOUSE": "", "AUTO": "Automobile"}
 
@@ -188,7 +189,7 @@ def last_n_runs(t):
     FROM cur JOIN texts ON cur.dataset = texts.dataset LEFT JOIN prev ON prev.at_id = cur.at_id AND prev.rn = CASE WHEN cur.matched THEN 1 ELSE 2 END""")
 def row_history(t):
     wanted = t.fx_run.select("dataset", "run_id", "run_date")
-    return H.row_history(t.fx_hist, wanted, "dataset", "run_date", "run_id", "row_cnt", "run_date")
+    return H.row_history(t.fx_hist, wanted, "dataset", "run_date", "run_id", "row_cnt", "run_date", *ZONE)
 
 
 CHANGE_SQL = """

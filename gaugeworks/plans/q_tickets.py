@@ -11,6 +11,7 @@ from ..operators import matching as M
 from ..operators import planning as P
 from ..operators import tickets as T
 from .fixtures import add_views
+from .q_report import ZONE
 from .registry import query
 
 NAME_RULES = [("col_7_", "{}: invalid id", "id: invalid"), ("pair", "pair: mismatch", "pair: mismatch")]
@@ -338,7 +339,7 @@ ADAPTIVE_SQL = f"""
 
 
 def _adaptive(t):
-    return C.adaptive_candidates(t.fx_find, t.fx_ticket.withColumn("key", F.format_string("%012d", "ord")), t.fx_hist, _reference(t), TIE)
+    return C.adaptive_candidates(t.fx_find, t.fx_ticket.withColumn("key", F.format_string("%012d", "ord")), t.fx_hist, _reference(t), TIE, *ZONE)
 
 
 @query("f18_adaptive_candidates", ADAPTIVE_SQL.replace("@SUGGEST@", SUGGEST_SQL.strip()))

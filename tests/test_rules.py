@@ -116,7 +116,7 @@ def runs(spark, rows):
 
 def test_padded_and_plain_change(spark):
     df = runs(spark, [(1, 1), (2, None), (3, 4)]).withColumns({"behaviorScore": F.lit(1), "DQScore": F.lit(2)})
-    got = H.row_history(df, df.select("dataset", "run_date"), "dataset", "run_date", "run_id", "row_cnt", "run_date")
+    got = H.row_history(df, df.select("dataset", "run_date"), "dataset", "run_date", "run_id", "row_cnt", "run_date", "Asia/Singapore", "SGT")
     by_day = {r.run_date.day: r for r in got.collect()}
     assert [by_day[d].rows_pct_change_vs_prev for d in (1, 2, 3)] == [None, 0.0, 300.0]
     assert by_day[3].rows_prev is None and by_day[3].rows_current == 4
