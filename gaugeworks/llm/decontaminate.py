@@ -3,11 +3,13 @@
 Method.  Words are canonicalised: numbers, names and units become typed
 placeholders, other words lose case and outer punctuation, and bare
 punctuation drops out.  The windows of the benchmark's templates are hashed
-and looked up from every window of every document.  A hit fixes where an item
-would lie in the document; there the slots are compared: within one item one
-value must always be replaced by one value, and back.  A document is
-contaminated by an item when consistent hits on one alignment cover
-``LEAST_RUN`` template words in a row, or the whole item if it is shorter.
+and looked up from every window of every document; a window with fewer than
+``LEAST_WORDS`` plain words is looked up with the values in its slots.  A hit
+fixes where an item would lie in the document, and there all its words are
+compared.  A document is contaminated by an item when on one alignment a
+stretch of ``LEAST_RUN`` template words, or the whole item if it is shorter,
+agrees and either has a window of ``LEAST_WORDS`` plain words and consistent
+slots (one value always replaced by one value, and back) or is verbatim.
 
 A name is a capitalised word that does not begin a sentence or a line.  A text
 in capitals has no names; its words count in lower case.
@@ -17,8 +19,8 @@ The benchmark's windows are the only thing sent to the tasks, at most
 documents each time, so nothing is left out and the size sent is bounded.
 
 Defined results: a null, empty or blank text or item matches nothing.  An item
-of fewer than ``LEAST_ITEM`` template words, or with placeholders only, is too
-plain to be told from chance and matches nothing.  Ids may be null or
+of fewer than ``LEAST_ITEM`` template words is too plain to be told from chance
+and matches nothing; one with placeholders only matches verbatim copies.  Ids may be null or
 repeated; rows are judged one by one.  Other columns are not read.  Empty
 tables give an empty result.
 """
@@ -29,6 +31,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from hashlib import blake2b
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +43,7 @@ from .words import by_size, runs
 WINDOW = 8
 LEAST_RUN = 13
 LEAST_ITEM = 5
-LEAST_WORDS = 3  # plain words a window needs besides placeholders
+LEAST_WORDS = 3  # plain words a window needs besides placeholders unless its values are the same
 INDEX_WINDOWS = 1 << 20
 BATCH_BYTES = 2 << 20
 CACHE_WORDS = 300_000
@@ -59,25 +62,40 @@ DROP, PLAIN, NUM, UNIT, QUANTITY = range(5)
 PLACEHOLDERS = {NUM: 11, UNIT: 12, QUANTITY: 13, "name": 14}
 
 
-def word_code(word: str) -> tuple[int, int, bool, bool, str]:
-    """(kind, hash of the lower-case form, capitalised, ends a sentence, value of the slot)."""
+def hashed(value: str) -> int:
+    return int.from_bytes(blake2b(value.encode(), digest_size=8).digest(), "little")
+
+
+def word_code(word: str) -> tuple[int, int, bool, bool, int]:
+    """(kind, hash of the lower-case form, capitalised, ends a sentence, hash of the slot's value)."""
     if word == LINE:
-        return DROP, 0, False, True, ""
+        return DROP, 0, False, True, 0
     core = OUTER.sub("", word)
     ends = bool(core) and any(c in ".!?:;" for c in word[word.rfind(core) + len(core) :])
     if not core or core == "_":
         if word in UNITS:
-            return UNIT, 0, False, False, word
-        return DROP, 0, False, any(c in ".!?|" for c in word), ""
+            return UNIT, 0, False, False, hashed(word)
+        return DROP, 0, False, any(c in ".!?|" for c in word), 0
     low = core.lower()
     if NUMBER.fullmatch(core):
-        return NUM, 0, False, ends, core.rstrip(".,:/")
+        return NUM, 0, False, ends, hashed(core.rstrip(".,:/"))
     if (m := NUMBER_UNIT.fullmatch(low)) and (m[1] or not m[3] or m[3] in UNITS):
-        return QUANTITY, 0, False, ends, low
+        return QUANTITY, 0, False, ends, hashed(low)
     if low in UNITS and len(low) > 1:
-        return UNIT, 0, False, ends, low
-    value = int.from_bytes(blake2b(low.encode(), digest_size=8).digest(), "little")
-    return PLAIN, value, core[0].isupper() and not (len(core) > 1 and core.isupper()), ends, low
+        return UNIT, 0, False, ends, hashed(low)
+    value = hashed(low)
+    return PLAIN, value, core[0].isupper() and not (len(core) > 1 and core.isupper()), ends, value
+
+
+class Coded(NamedTuple):
+    """Kept words: template codes, codes of the values, whether each is a slot; ``of`` adds the first word of each text."""
+
+    code: np.ndarray
+    value: np.ndarray
+    slot: np.ndarray
+
+    def part(self, a: int, b: int) -> Coded:
+        return Coded(*(x[a:b] for x in self))
 
 
 class Templates:
@@ -90,11 +108,11 @@ class Templates:
         self.ids: dict[str, int] = {}
         self.kind, self.code, self.cap, self.ends, self.value = [], [], [], [], []
 
-    def of(self, texts: list[str | None]):
-        """Per kept word its code, whether it is a slot and its value's number; first word of each text."""
+    def of(self, texts: list[str | None]) -> tuple[Coded, np.ndarray]:
+        """The kept words of all texts, and the first word of each text (one more at the end)."""
         if len(self.ids) > CACHE_WORDS:
             self.reset()
-        ids, rows = self.ids, []
+        ids = self.ids
         split = [(text or "").replace("\n", f" {LINE} ").split() for text in texts]
         for word in set().union(*split) - ids.keys():
             ids[word] = len(ids)
@@ -121,29 +139,30 @@ class Templates:
         for k, held in PLACEHOLDERS.items():
             code[name if k == "name" else kind == k] = held
         slot = name | (kind > PLAIN)
-        return code[solid], slot[solid], flat[solid], np.concatenate([[0], np.cumsum(solid)])[first]
-
-    def values(self, ids) -> list[str]:
-        return [self.value[i] for i in ids]
+        value = np.array(self.value, np.uint64)[flat]
+        return Coded(code[solid], value[solid], slot[solid]), np.concatenate([[0], np.cumsum(solid)])[first]
 
 
 def item_windows(items: list[tuple[int, str]], window: int):
     """Templates of the items and their windows: hash, item's place in the list, offset, length."""
-    templates = Templates()
-    code, slot, ids, first = templates.of([text for _, text in items])
+    words, first = Templates().of([text for _, text in items])
     held, found = [], defaultdict(list)
     for i, (item, _) in enumerate(items):
-        a, b = int(first[i]), int(first[i + 1])
-        held.append((item, code[a:b], slot[a:b], templates.values(ids[a:b].tolist())))
-        n = b - a
+        own = words.part(int(first[i]), int(first[i + 1]))
+        held.append((item, own))
+        n = len(own.code)
         if n < LEAST_ITEM:
             continue
         w = min(window, n)
-        plain = np.concatenate([[0], np.cumsum(~slot[a:b])])
-        for at, h in enumerate(runs(code[a:b], w).tolist()):
-            if plain[at + w] - plain[at] >= min(LEAST_WORDS, w):
-                found[w].append((h, i, at))
-    return held, {w: x for w, x in found.items()}
+        thick = sums(~own.slot, w) >= min(LEAST_WORDS, w)
+        found[w] += [(h, i, at) for at, h in enumerate(np.where(thick, runs(own.code, w), runs(own.value, w)).tolist())]
+    return held, dict(found)
+
+
+def sums(flags: np.ndarray, w: int) -> np.ndarray:
+    """How many flags each run of w holds."""
+    total = np.concatenate([[0], np.cumsum(flags)])
+    return total[w:] - total[: len(total) - w]
 
 
 class Index:
@@ -165,24 +184,41 @@ class Index:
         at = np.minimum(np.searchsorted(self.hash, hashes[near]), len(self.hash) - 1)
         return near[self.hash[at] == hashes[near]]
 
-    def places(self, h) -> range:
-        return range(int(np.searchsorted(self.hash, h)), int(np.searchsorted(self.hash, h, side="right")))
+    def alignments(self, hashes: np.ndarray, w: int, first: np.ndarray) -> set[tuple[int, int, int]]:
+        """(row, item, place of the item's first word) of every hit of a window within its row."""
+        hits = self.find(hashes)
+        rows = np.searchsorted(first, hits, side="right") - 1
+        inside = hits + w <= first[rows + 1]
+        hits, rows = hits[inside], rows[inside]
+        low, high = (np.searchsorted(self.hash, hashes[hits], side=side) for side in ("left", "right"))
+        n = high - low
+        place = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return set(zip(np.repeat(rows, n).tolist(), self.item[place].tolist(), (np.repeat(hits, n) - self.at[place]).tolist()))
 
 
-def consistent(ours: list[str], theirs: list[str]) -> bool:
+def consistent(ours: np.ndarray, theirs: np.ndarray) -> bool:
     """Whether one value always stands for one value, both ways."""
     there, back = {}, {}
-    return all(there.setdefault(a, b) == b and back.setdefault(b, a) == a for a, b in zip(ours, theirs))
+    return all(there.setdefault(a, b) == b and back.setdefault(b, a) == a for a, b in zip(ours.tolist(), theirs.tolist()))
+
+
+def stretches(flags: np.ndarray) -> list[list[int]]:
+    """Start and end of every stretch of set flags."""
+    return np.flatnonzero(np.diff(np.concatenate([[False], flags, [False]]))).reshape(-1, 2).tolist()
 
 
-def longest(held: list[int], w: int) -> tuple[int, int]:
-    """Start and length in words of the longest stretch covered by consecutive windows of w words."""
-    best, start = (0, 0), held[0]
-    for i, at in enumerate(held):
-        if i and at != held[i - 1] + 1:
-            start = at
-        best = max(best, (at - start + w, -start))
-    return -best[1], best[0]
+def copied(own: Coded, theirs: Coded, w: int, least: int) -> int:
+    """Length of the longest stretch of at least ``least`` words that is a template copy or verbatim; 0 for none."""
+    same, fixed, best = own.code == theirs.code, ~own.slot, 0
+    for a, b in stretches(same):
+        if b - a >= max(least, best + 1) and (sums(fixed[a:b], w) >= min(LEAST_WORDS, w)).any():
+            slots = a + np.flatnonzero(own.slot[a:b])
+            if consistent(own.value[slots], theirs.value[slots]):
+                best = b - a
+    for a, b in stretches(own.value == theirs.value):
+        if b - a >= max(least, best + 1):
+            best = b - a
+    return best
 
 
 def match_rows(items: list[tuple[int, str]], window: int, least_run: int):
@@ -191,28 +227,16 @@ def match_rows(items: list[tuple[int, str]], window: int, least_run: int):
         indexes = {w: Index(rows) for w, rows in found.items()}
         templates = Templates()
         for batch in by_size(batches, "text", BATCH_BYTES):
-            code, slot, ids, first = templates.of(batch.column("text").to_pylist())
+            words, first = templates.of(batch.column("text").to_pylist())
             matched: dict[tuple[int, int], int] = {}
             for w, index in indexes.items():
-                if len(code) < w:
-                    continue
-                hashes = runs(code, w)
-                hits = index.find(hashes)
-                rows = np.searchsorted(first, hits, side="right") - 1
-                inside = hits + w <= first[rows + 1]
-                lines: dict[tuple[int, int, int], set[int]] = defaultdict(set)
-                for p, row in zip(hits[inside].tolist(), rows[inside].tolist()):
-                    for place in index.places(hashes[p]):
-                        item, at = int(index.item[place]), int(index.at[place])
-                        lines[row, item, p - at].add(at)
-                for (row, item, shift), places in lines.items():
-                    _, own, own_slot, own_values = held[item]
-                    start, length = longest(sorted(places), w)
-                    if length < min(least_run, len(own)) or length <= matched.get((row, item), 0):
-                        continue
-                    slots = [i for i in range(start, start + length) if own_slot[i]]
-                    theirs = templates.values([int(ids[i + shift]) for i in slots])
-                    if consistent([own_values[i] for i in slots], theirs):
+                lines = index.alignments(runs(words.code, w), w, first) | index.alignments(runs(words.value, w), w, first)
+                for row, item, start in lines:
+                    own = held[item][1]
+                    n = len(own.code)
+                    a, b = max(0, int(first[row]) - start), min(n, int(first[row + 1]) - start)
+                    length = copied(own.part(a, b), words.part(start + a, start + b), w, min(least_run, n))
+                    if length > matched.get((row, item), 0):
                         matched[row, item] = length
             keys = sorted(matched)
             yield pa.RecordBatch.from_arrays(
@@ -220,7 +244,7 @@ def match_rows(items: list[tuple[int, str]], window: int, least_run: int):
                     batch.column("doc_id").take(pa.array([r for r, _ in keys], pa.int64())),
                     pa.array([held[i][0] for _, i in keys], pa.int64()),
                     pa.array([matched[k] for k in keys], pa.int64()),
-                    pa.array([len(held[i][1]) for _, i in keys], pa.int64()),
+                    pa.array([len(held[i][1].code) for _, i in keys], pa.int64()),
                 ],
                 ["doc_id", "item_id", "n_matched", "n_item"],
             )

@@ -132,6 +132,24 @@ def test_templates(spark):
     assert decontaminate.contaminated(frame(spark, []).limit(0), bench).collect() == []
 
 
+def found_pairs(spark, items, texts):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = decontaminate.matches(frame(spark, list(enumerate(texts))), bench).collect()
+    return {(r.doc_id, r.item_id) for r in got}
+
+
+def test_templates_dense_in_slots(spark):
+    items = [
+        "What is the sum of 12 15 18 21 24 27 30 and 33?",
+        "Order these: 3 km 40 m 7 ft 9 mi 12 cm 8 in 6 yd",
+        "Winners were Anna Bob Carl Dora Emil Fred Gina Hans Ida Jon Karl Lena Mia",
+        "11 22 33 44 55 66",
+    ]
+    texts = [f"We ask here. {item} Then more." for item in items]
+    texts += ["we ask: what is the sum of 1 2 3 4 5 6 7 and 8?", "Order these: 4 km 41 m 8 ft 10 mi 13 cm 9 in 7 yd", "11 22 33 44 55 67", None]
+    assert found_pairs(spark, items, texts) == {(0, 0), (1, 1), (2, 2), (3, 3), (4, 0), (5, 1)}
+
+
 def test_benchmark_passages_of_given_documents(spark):
     bench, docs = table("benchmark", "item_id, text"), table("documents", "doc_id, text")
     runs = {}
