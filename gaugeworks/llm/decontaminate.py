@@ -9,7 +9,9 @@ fixes where an item would lie in the document, and there all its words are
 compared.  A document is contaminated by an item when on one alignment a
 stretch of ``LEAST_RUN`` template words, or the whole item if it is shorter,
 agrees and either has a window of ``LEAST_WORDS`` plain words and consistent
-slots (one value always replaced by one value, and back) or is verbatim.
+slots or is verbatim.  Slots are consistent when no value is replaced by two
+other values; a value that stays, or two values replaced by one, is no conflict.
+A stretch with a conflict is not cut at it: only its verbatim parts count.
 
 A name is a capitalised word that does not begin a sentence or a line.  A text
 in capitals has no names; its words count in lower case.
@@ -197,9 +199,9 @@ class Index:
 
 
 def consistent(ours: np.ndarray, theirs: np.ndarray) -> bool:
-    """Whether one value always stands for one value, both ways."""
-    there, back = {}, {}
-    return all(there.setdefault(a, b) == b and back.setdefault(b, a) == a for a, b in zip(ours.tolist(), theirs.tolist()))
+    """Whether no value is replaced by two other values."""
+    there = {}
+    return all(there.setdefault(a, b) == b for a, b in zip(ours.tolist(), theirs.tolist()) if a != b)
 
 
 def stretches(flags: np.ndarray) -> list[list[int]]:

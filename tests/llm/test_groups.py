@@ -150,6 +150,17 @@ def test_templates_dense_in_slots(spark):
     assert found_pairs(spark, items, texts) == {(0, 0), (1, 1), (2, 2), (3, 3), (4, 0), (5, 1)}
 
 
+def test_templates_with_merged_or_kept_values(spark):
+    item = "How many pieces of fruit are left when you take 3 apples and 5 pears out of a box of 3 melons?"
+    texts = [
+        item.replace("3", "4").replace("5", "4"), item.replace("3", "5"), item.replace("3 apples", "8 apples"),
+        item.replace("3 apples", "8 apples").replace("3 melons", "9 melons"),
+    ]
+    assert found_pairs(spark, [item], texts) == {(0, 0), (1, 0), (2, 0)}
+    long = "Mary said that " + item.replace("?", " and Mary agreed with Mary")
+    assert found_pairs(spark, [long], ["Yes, " + long[11:].replace("Mary agreed", "Anna agreed").replace("with Mary", "with Eve")]) == {(0, 0)}
+
+
 def test_benchmark_passages_of_given_documents(spark):
     bench, docs = table("benchmark", "item_id, text"), table("documents", "doc_id, text")
     runs = {}
