@@ -3,10 +3,12 @@
 Method.  Words are canonicalised: numbers, names and units become typed
 placeholders, other words lose case and outer punctuation, and bare
 punctuation drops out.  The windows of the benchmark's templates are hashed
-and looked up from every window of every document; a window with fewer than
-``LEAST_WORDS`` plain words is looked up with the values in its slots.  A hit
-fixes where an item would lie in the document, and there all its words are
-compared.  A document is contaminated by an item when on one alignment a
+and looked up from every window of every document, and once more with names as
+plain lower-case words, since letter case and place decide what is a name.  A
+window that even then has fewer than ``LEAST_WORDS`` plain words is looked up
+with the values in its slots.  A hit fixes where an item would lie in the
+document, and there all its words are compared; two words agree as templates or
+in lower case.  A document is contaminated by an item when on one alignment a
 stretch of ``LEAST_RUN`` template words, or the whole item if it is shorter,
 agrees and either has a window of ``LEAST_WORDS`` plain words and consistent
 slots or is verbatim.  Slots are consistent when no value is replaced by two
@@ -90,11 +92,13 @@ def word_code(word: str) -> tuple[int, int, bool, bool, int]:
 
 
 class Coded(NamedTuple):
-    """Kept words: template codes, codes of the values, whether each is a slot; ``of`` adds the first word of each text."""
+    """Kept words: template codes, the same without names, codes of the values, and whether each is a slot in either form."""
 
     code: np.ndarray
+    lower: np.ndarray
     value: np.ndarray
     slot: np.ndarray
+    typed: np.ndarray
 
     def part(self, a: int, b: int) -> Coded:
         return Coded(*(x[a:b] for x in self))
@@ -108,7 +112,7 @@ class Templates:
 
     def reset(self):
         self.ids: dict[str, int] = {}
-        self.kind, self.code, self.cap, self.ends, self.value = [], [], [], [], []
+        self.kind, self.code, self.cap, self.ends, self.value = (np.zeros(0, t) for t in (np.int8, np.uint64, bool, bool, np.uint64))
 
     def of(self, texts: list[str | None]) -> tuple[Coded, np.ndarray]:
         """The kept words of all texts, and the first word of each text (one more at the end)."""
@@ -116,33 +120,34 @@ class Templates:
             self.reset()
         ids = self.ids
         split = [(text or "").replace("\n", f" {LINE} ").split() for text in texts]
-        for word in set().union(*split) - ids.keys():
-            ids[word] = len(ids)
-            kind, code, cap, ends, value = word_code(word)
-            self.kind.append(kind)
-            self.code.append(code)
-            self.cap.append(cap)
-            self.ends.append(ends)
-            self.value.append(value)
+        new = list(set().union(*split) - ids.keys())
+        if new:
+            ids.update(zip(new, range(len(ids), len(ids) + len(new))))
+            columns = zip(("kind", "code", "cap", "ends", "value"), zip(*map(word_code, new)))
+            for name, column in columns:
+                held = getattr(self, name)
+                setattr(self, name, np.concatenate([held, np.array(column, held.dtype)]))
         flat = np.fromiter((ids[w] for words in split for w in words), np.int64, sum(map(len, split)))
         lens = np.array([len(words) for words in split], np.int64)
         first = np.concatenate([[0], np.cumsum(lens)])
-        kind, code = np.array(self.kind, np.int8)[flat], np.array(self.code, np.uint64)[flat]
+        kind, code = self.kind[flat], self.code[flat]
         begins = np.ones(len(flat), bool)
         if len(flat):
-            begins[1:] = np.array(self.ends, bool)[flat][:-1]
+            begins[1:] = self.ends[flat][:-1]
             begins[first[:-1][lens > 0]] = True
         # A dropped mark between words passes on whether a sentence begins.
         solid = kind != DROP
         since = np.maximum.accumulate(np.where(solid | begins, np.arange(len(flat)), 0)) if len(flat) else flat
         passed = np.zeros(len(flat), bool)
         passed[1:] = ~solid[:-1] & begins[since[:-1]] if len(flat) else passed[1:]
-        name = (kind == PLAIN) & np.array(self.cap, bool)[flat] & ~begins & ~passed
-        for k, held in PLACEHOLDERS.items():
-            code[name if k == "name" else kind == k] = held
-        slot = name | (kind > PLAIN)
-        value = np.array(self.value, np.uint64)[flat]
-        return Coded(code[solid], value[solid], slot[solid]), np.concatenate([[0], np.cumsum(solid)])[first]
+        name = (kind == PLAIN) & self.cap[flat] & ~begins & ~passed
+        for k in (NUM, UNIT, QUANTITY):
+            code[kind == k] = PLACEHOLDERS[k]
+        lower, typed = code.copy(), kind > PLAIN
+        code[name] = PLACEHOLDERS["name"]
+        value = self.value[flat]
+        kept = Coded(*(x[solid] for x in (code, lower, value, name | typed, typed)))
+        return kept, np.concatenate([[0], np.cumsum(solid)])[first]
 
 
 def item_windows(items: list[tuple[int, str]], window: int):
@@ -155,16 +160,28 @@ def item_windows(items: list[tuple[int, str]], window: int):
         n = len(own.code)
         if n < LEAST_ITEM:
             continue
-        w = min(window, n)
-        thick = sums(~own.slot, w) >= min(LEAST_WORDS, w)
-        found[w] += [(h, i, at) for at, h in enumerate(np.where(thick, runs(own.code, w), runs(own.value, w)).tolist())]
+        # A short item must agree as a whole, so a window less long leaves a word to be compared in either form.
+        w = min(window, n - 1)
+        for hashes, asked in look_ups(own, w):
+            found[w] += [(int(hashes[at]), i, at) for at in np.flatnonzero(asked).tolist()]
     return held, dict(found)
 
 
+def look_ups(words: Coded, w: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Hashes of the windows as templates, without names and with values, each with the windows it is for."""
+    least, named = min(LEAST_WORDS, w), sums(words.slot & ~words.typed, w)
+    plain = sums(~words.typed, w)
+    return [
+        (runs(words.code, w), plain - named >= least),
+        (runs(words.lower, w), (plain >= least) & (named > 0)),
+        (runs(words.value, w), plain < least),
+    ]
+
+
 def sums(flags: np.ndarray, w: int) -> np.ndarray:
     """How many flags each run of w holds."""
     total = np.concatenate([[0], np.cumsum(flags)])
-    return total[w:] - total[: len(total) - w]
+    return total[w:] - total[: max(0, len(total) - w)]
 
 
 class Index:
@@ -180,15 +197,15 @@ class Index:
         self.maybe = np.zeros(1 << self.BITS, bool)
         self.maybe[(self.hash >> np.uint64(64 - self.BITS)).astype(np.int64)] = True
 
-    def find(self, hashes: np.ndarray) -> np.ndarray:
-        """Positions whose hash is in the index."""
-        near = np.flatnonzero(self.maybe[(hashes >> np.uint64(64 - self.BITS)).astype(np.int64)])
+    def find(self, hashes: np.ndarray, asked: np.ndarray) -> np.ndarray:
+        """Positions asked for whose hash is in the index."""
+        near = np.flatnonzero(asked & self.maybe[(hashes >> np.uint64(64 - self.BITS)).astype(np.int64)])
         at = np.minimum(np.searchsorted(self.hash, hashes[near]), len(self.hash) - 1)
         return near[self.hash[at] == hashes[near]]
 
-    def alignments(self, hashes: np.ndarray, w: int, first: np.ndarray) -> set[tuple[int, int, int]]:
-        """(row, item, place of the item's first word) of every hit of a window within its row."""
-        hits = self.find(hashes)
+    def alignments(self, hashes: np.ndarray, asked: np.ndarray, w: int, first: np.ndarray) -> set[tuple[int, int, int]]:
+        """(row, item, place of the item's first word) of every hit of a window asked for within its row."""
+        hits = self.find(hashes, asked)
         rows = np.searchsorted(first, hits, side="right") - 1
         inside = hits + w <= first[rows + 1]
         hits, rows = hits[inside], rows[inside]
@@ -211,7 +228,8 @@ def stretches(flags: np.ndarray) -> list[list[int]]:
 
 def copied(own: Coded, theirs: Coded, w: int, least: int) -> int:
     """Length of the longest stretch of at least ``least`` words that is a template copy or verbatim; 0 for none."""
-    same, fixed, best = own.code == theirs.code, ~own.slot, 0
+    word = own.lower == theirs.lower
+    same, fixed, best = (own.code == theirs.code) | word, word & ~own.typed, 0
     for a, b in stretches(same):
         if b - a >= max(least, best + 1) and (sums(fixed[a:b], w) >= min(LEAST_WORDS, w)).any():
             slots = a + np.flatnonzero(own.slot[a:b])
@@ -232,7 +250,9 @@ def match_rows(items: list[tuple[int, str]], window: int, least_run: int):
             words, first = templates.of(batch.column("text").to_pylist())
             matched: dict[tuple[int, int], int] = {}
             for w, index in indexes.items():
-                lines = index.alignments(runs(words.code, w), w, first) | index.alignments(runs(words.value, w), w, first)
+                if len(words.code) < w:
+                    continue
+                lines = set().union(*(index.alignments(hashes, asked, w, first) for hashes, asked in look_ups(words, w)))
                 for row, item, start in lines:
                     own = held[item][1]
                     n = len(own.code)

@@ -161,6 +161,18 @@ def test_templates_with_merged_or_kept_values(spark):
     assert found_pairs(spark, [long], ["Yes, " + long[11:].replace("Mary agreed", "Anna agreed").replace("with Mary", "with Eve")]) == {(0, 0)}
 
 
+def test_templates_in_other_letters_and_places(spark):
+    items = [
+        "When Mary met John and Eve in Rome she gave Mary and John and Eve some bread",
+        "How many apples does Mary have?",
+        "Tom and Mary bought 12 apples",
+    ]
+    texts = [form(item) for item in items for form in (str.lower, str.upper, str.title)]
+    texts += ["5) How many apples does Mary have?", "2) How many apples does Anna have?", "see, Tom and Mary bought 3 apples", "how many pears does mary have?"]
+    want = {(i, i // 3) for i in range(9)} | {(9, 1), (10, 1), (11, 2)}
+    assert found_pairs(spark, items, texts) == want
+
+
 def test_benchmark_passages_of_given_documents(spark):
     bench, docs = table("benchmark", "item_id, text"), table("documents", "doc_id, text")
     runs = {}
