@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from gaugeworks.llm import components, decontaminate, jaccard, lines, mixing, rollups, substrings
 from tests.llm.helpers import Groups, near_groups, plain, table, without_repeats
 
@@ -79,6 +80,18 @@ def test_near_groups_edges_and_blocks(spark):
     assert jaccard.near_groups(frame(spark, []).limit(0)).collect() == []
 
 
+def test_one_row_of_each_group(spark):
+    text = [f"w{i}" for i in range(454)]
+    near = [f"x{i}" if i % 45 == 10 and i < 450 else w for i, w in enumerate(text)]
+    assert sum(a != b for a, b in zip(text, near)) == 10
+    rows = [(1, " ".join(text)), (2, " ".join(near)), (3, "one two three four five six"), (3, "one two three four five six"), (4, "other words of id four here")]
+    rows += [(4, "and another text of id four"), (None, "no id a b c d"), (None, "no id a b c d"), (None, "NO id a b c d"), (5, None), (5, None), (None, "")]
+    kept = corpus_pipeline.ngram_join(spark, frame(spark, rows), "")
+    assert kept.dtypes == frame(spark, rows).dtypes
+    got = Counter((r.doc_id, r.text and r.text.lower()) for r in kept.collect())
+    assert got == Counter([rows[0], rows[2], rows[4], rows[5], (None, "no id a b c d"), (5, None), (5, None), (None, "")])
+
+
 def test_repeats_of_given_documents(spark):
     rows = table("documents", "doc_id, text")
     assert plain(substrings.remove_repeats(frame(spark, rows))) == without_repeats(rows)
