@@ -64,11 +64,16 @@ def key_of(after: Column) -> Column:
     return F.concat(host_of(after), path_of(after), F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise(F.lit("")))
 
 
-def target_of(html: Column, host: Column, path: Column) -> Column:
-    """The rest of the address a page redirects to or names as canonical; empty for none."""
+def targets_of(html: Column, host: Column, path: Column) -> Column:
+    """The rests of the addresses a page redirects to and names as canonical; empty for none."""
     link = F.regexp_extract(F.regexp_extract(html, CANONICAL, 0), HREF, 1)
     moved = F.regexp_extract(F.regexp_extract(html, REFRESH, 0), GOES_TO, 1)
-    to = F.replace(F.coalesce(F.nullif(moved, F.lit("")), F.nullif(link, F.lit("")), F.lit("")), F.lit("&amp;"), F.lit("&"))
+    return F.array(*[key_of(target_of(F.coalesce(to, F.lit("")), host, path)) for to in (moved, link)])
+
+
+def target_of(written: Column, host: Column, path: Column) -> Column:
+    """The rest of the address that a page's link means; empty for none."""
+    to = F.replace(written, F.lit("&amp;"), F.lit("&"))
     return (
         F.when(to == "", F.lit(""))
         .when(to.contains("://"), rest(to))
@@ -119,8 +124,8 @@ def judge(pages: DataFrame, rules: DataFrame | None = None) -> DataFrame:
     rules = pages.sparkSession.createDataFrame(list(RULES), RULE_SCHEMA) if rules is None else rules
     after = pages.select(F.col("page_id"), "html", rest(F.col("url")).alias("after"))
     placed = after.select("page_id", "html", host_of(F.col("after")).alias("host"), path_of(F.col("after")).alias("path"), key_of(F.col("after")).alias("key"))
-    known = materialize(placed.select("page_id", "host", "path", "key", key_of(target_of(F.col("html"), F.col("host"), F.col("path"))).alias("target")), "addresses")
-    links = known.filter("key <> '' and target <> '' and key <> target").select("key", "target").distinct()
+    known = materialize(placed.select("page_id", "host", "path", "key", targets_of(F.col("html"), F.col("host"), F.col("path")).alias("targets")), "addresses")
+    links = known.select("key", F.explode("targets").alias("target")).filter("key <> '' and target <> '' and key <> target").distinct()
     carried = alias_verdicts(links, rules)
     own = ruled(known, rules)
     joined = own.join(carried, F.col("key") == F.col("alias"), "left")

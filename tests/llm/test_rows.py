@@ -116,6 +116,17 @@ def test_url_rules_and_aliases(spark):
     assert urls.judge(pages, spark.createDataFrame([], urls.RULE_SCHEMA)).filter("verdict = 'allow'").count() == len(rows)
 
 
+def test_url_redirect_and_canonical_of_one_page(spark):
+    html = '<meta http-equiv="refresh" content="0; url={}"><link rel="canonical" href="{}">'
+    rows = [
+        (1, "http://a.net/x", html.format("http://a.net/x", "http://example.org/es/1")),
+        (2, "http://b.net/x", html.format("http://c.net/x", "http://example.org/es/2")),
+        (3, "http://c.net/x", ""), (4, "http://d.net/x", html.format("", "")), (5, "http://e.net/x", None),
+    ]
+    got = {r.page_id: r.verdict for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow"}
+
+
 def test_token_files_round_trip(spark):
     from tokenizers import Tokenizer
 
