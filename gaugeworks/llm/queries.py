@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, extraction, jaccard, lines, mixing, quality, rollups, substrings, token_files, urls
+from . import decontaminate, extraction, jaccard, lines, mixing, phrases, quality, rollups, substrings, token_files, urls
 
 QUERIES = {
     "op1_line_dedup": lines.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_decontaminate": decontaminate.query,
     "op9_token_counts": rollups.query,
     "op10_substring_dedup": substrings.query,
+    "op11_phrase_collocations": phrases.query,
 }
 
 # Random cuts, a trained field, token ids and template slots are beyond SQL;
@@ -26,4 +27,5 @@ ORACLES = {
     "op5_url_filter": urls.oracle(),
     "op9_token_counts": rollups.oracle(),
     "op10_substring_dedup": substrings.oracle(),
+    "op11_phrase_collocations": phrases.oracle(),
 }
