@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, extraction, jaccard, lines, mixing, phrases, quality, rollups, substrings, token_files, urls
+from . import decontaminate, extraction, jaccard, lines, mixing, periodic, phrases, prefix_bpe, quality, rollups, substrings, token_files, urls
 
 QUERIES = {
     "op1_line_dedup": lines.query,
@@ -16,6 +16,8 @@ QUERIES = {
     "op9_token_counts": rollups.query,
     "op10_substring_dedup": substrings.query,
     "op11_phrase_collocations": phrases.query,
+    "op12_prefix_bpe": prefix_bpe.query,
+    "op13_periodic_runs": periodic.query,
 }
 
 # Random cuts, a trained field, token ids and template slots are beyond SQL;
