@@ -7,14 +7,14 @@ of k - 1 words reach the least count.  A bucket never counts less than a
 phrase in it, so every frequent phrase is a candidate.  Distinct candidates
 and their single words are dealt into blocks of a fixed number of phrases, and
 each block becomes a double-array trie over the digits of its own word
-numbers, built by a task.  One block at a time is broadcast.  In each task
+numbers, built by a task.  A few blocks at a time are broadcast.  In each task
 numpy moves the states of all text positions at once, digit by digit and word
 by word, counts the accepting states by ``bincount``, and the counts of all
 tasks are summed.
 
 What is sent to tasks: one bit per bucket, at most ``MOST_BUCKETS / 8`` bytes,
-and one trie of at most ``BLOCK`` phrases.  Both sizes are fixed whatever the
-input; a corpus with more candidates takes more blocks, each a pass over the
+and ``AT_ONCE`` tries of about ``BLOCK`` phrases.  These sizes are fixed
+whatever the input; a corpus with more candidates takes more passes over the
 texts.  An overfull sketch only lets more candidates through.
 
 Words are known by 64-bit hashes that include the language.  Defined results:
@@ -41,12 +41,14 @@ LEAST = 10
 MOST_WORDS = 3
 TOP = 2000
 PERCENT = 50
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 FEWEST_BUCKETS = 1 << 18
 MOST_BUCKETS = 1 << 28
 RANGE_BITS = 16
-BLOCK = 1_000_000
-HELD = 8 << 20  # entries a task holds before it sends them
+BLOCK = 250_000
+AT_ONCE = 4  # tries per pass
+HELD = 1 << 20  # buckets a task holds before it sends them
+SEEN = 2 << 20  # hashes of phrases a task remembers to have sent
 SALTS = 64
 
 BREAK = np.zeros(256, bool)
@@ -155,7 +157,7 @@ def count_buckets(k: int, log: int, least: int, sent: list):
             for level, _, hashed in Positions(batch).levels(k, tests):
                 if level == k and len(hashed):
                     keys, counts = np.unique((hashed >> np.uint64(64 - log)).astype(np.uint32), return_counts=True)
-                    held.append((keys, np.minimum(counts, least)))
+                    held.append((keys, np.minimum(counts, least).astype(np.uint32)))
                     size += len(keys)
             if size > HELD:
                 yield flush()
@@ -206,9 +208,11 @@ def distinct_phrases(most: int, log: int, sent: list):
             for k, at, hashed in positions.levels(most, tests):
                 ok = tests[k - 2](hashed)
                 hashed, first = np.unique(hashed[ok], return_index=True)
-                new = seen[np.minimum(np.searchsorted(seen, hashed), len(seen) - 1)] != hashed if len(seen) else np.ones(len(hashed), bool)
+                seen = seen if len(seen) < SEEN else seen[:0]
+                place = np.searchsorted(seen, hashed)
+                new = seen[np.minimum(place, len(seen) - 1)] != hashed if len(seen) else np.ones(len(hashed), bool)
                 at = at[ok][first[new]]
-                seen = np.sort(np.concatenate([seen if len(seen) < HELD // 4 else seen[:0], hashed[new]]))
+                seen = np.insert(seen, place[new], hashed[new])
                 if len(at):
                     langs = [positions.langs[r] for r in positions.row[at].tolist()]
                     yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(positions.phrases(at, k), pa.string())], ["lang", "phrase"])
@@ -378,20 +382,31 @@ def build_tries(table: pa.Table) -> pa.Table:
     return pa.table({"block": table.column("block").slice(0, 1), "n": pa.array([table.num_rows], pa.int32()), "trie": pa.array([trie.packed()], pa.binary())})
 
 
-def count_phrases(sent, n: int, with_totals: bool):
-    """Per task: how often each phrase of the trie occurs, and on demand all words per language under idx -1."""
+COUNTED = "of_block int, idx int, of_lang string, n long"
+
+
+def count_phrases(sent: list, with_totals: bool):
+    """Per task: how often each phrase of the tries occurs, and on demand all words per language under idx -1.
+
+    ``sent`` holds (number of the block, its phrases, its trie as a broadcast).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, counts, totals = Trie.unpacked(sent.value), np.zeros(n, np.int64), {}
+        tries = [(block, Trie.unpacked(held.value), np.zeros(n, np.int64)) for block, n, held in sent]
+        totals: dict[str, int] = {}
         for batch in by_size(batches, "text", BATCH_BYTES):
             positions = Positions(batch)
-            trie.count(positions.codes, positions.link, counts)
+            for _, trie, counts in tries:
+                trie.count(positions.codes, positions.link, counts)
             for lang, m in positions.totals().items() if with_totals else ():
                 totals[lang] = totals.get(lang, 0) + m
-        found = np.flatnonzero(counts)
-        idx = np.concatenate([found, np.full(len(totals), -1)]).astype(np.int32)
-        langs = pa.concat_arrays([pa.nulls(len(found), pa.string()), pa.array(list(totals), pa.string())])
-        yield pa.RecordBatch.from_arrays([pa.array(idx), langs, pa.array(np.concatenate([counts[found], np.array(list(totals.values()), np.int64)]))], ["idx", "of_lang", "n"])
+        names = ["of_block", "idx", "of_lang", "n"]
+        for block, _, counts in tries:
+            found = np.flatnonzero(counts)
+            columns = [pa.array(np.full(len(found), block, np.int32)), pa.array(found.astype(np.int32)), pa.nulls(len(found), pa.string()), pa.array(counts[found])]
+            yield pa.RecordBatch.from_arrays(columns, names)
+        none = pa.array([-1] * len(totals), pa.int32())
+        yield pa.RecordBatch.from_arrays([none, none, pa.array(list(totals), pa.string()), pa.array(list(totals.values()), pa.int64())], names)
 
     return run
 
@@ -411,15 +426,14 @@ def counted_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", lea
     numbered = materialize(dealt.withColumn("idx", order), "phrase_blocks")
     tries = materialize(numbered.groupBy("block").applyInArrow(build_tries, "block int, n int, trie binary"), "tries")
     parts = []
-    for b in range(blocks):
-        row = tries.filter(F.col("block") == b).first()
-        if row is None:
-            continue
-        sent = spark.sparkContext.broadcast(bytes(row.trie))
-        counted = texts.mapInArrow(count_phrases(sent, row.n, not parts), "idx int, of_lang string, n long")
-        sums = counted.groupBy("idx", "of_lang").agg(F.sum("n").alias("f")).withColumn("of_block", F.lit(b))
-        parts.append(materialize(sums, "phrase_counts"))
-        sent.unpersist()
+    for b in range(0, blocks, AT_ONCE):
+        sent = []
+        for row in tries.filter(F.col("block").between(b, b + AT_ONCE - 1)).toLocalIterator():
+            sent.append((row.block, row.n, spark.sparkContext.broadcast(bytes(row.trie))))
+        counted = texts.mapInArrow(count_phrases(sent, not parts), COUNTED)
+        parts.append(materialize(counted.groupBy("of_block", "idx", "of_lang").agg(F.sum("n").alias("f")), "phrase_counts"))
+        for _, _, held in sent:
+            held.unpersist()
     sums = parts[0]
     for part in parts[1:]:
         sums = sums.unionByName(part)
