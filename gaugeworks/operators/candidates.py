@@ -381,6 +381,13 @@ def duplicate_lines(dupes: DataFrame, observations: DataFrame) -> tuple[DataFram
     return headers, rows.select(*run, "ord", F.concat(F.lit("| "), F.array_join("cells", " | "), F.lit(" |")).alias("line"))
 
 
+def unseen_keys(dupes: DataFrame, headers: DataFrame, tie: Sequence[str]) -> DataFrame:
+    """The keys of runs without any sample record, one row each."""
+    run = ["dataset", "runId"]
+    listed = first_row(dupes.filter(F.col("obsKey").isNotNull()), [*run, "obsKey"], list(tie))
+    return listed.join(headers.select(*run), run, "left_anti")
+
+
 def duplicate_candidates(
     dupes: DataFrame,
     observations: DataFrame,
@@ -398,9 +405,7 @@ def duplicate_candidates(
     heads = _heads(scheduled, run, "owlRank", tie)
     headers, lines = duplicate_lines(scheduled, observations)
     texts = text_of_lines(lines, run, ["ord", "line"], "line", "samples")
-    listed = first_row(scheduled.filter(F.col("obsKey").isNotNull()), [*run, "obsKey"], list(tie))
-    missing = listed.join(headers.select(*run), run, "left_anti")
-    unseen = text_of_lines(missing, run, list(tie), "obsKey", "unseen", ", ")
+    unseen = text_of_lines(unseen_keys(scheduled, headers, tie), run, list(tie), "obsKey", "unseen", ", ")
     joined = heads.join(headers, run, "left").join(texts, run, "left").join(unseen, run, "left").join(include_keys, "dataset", "left")
     found = F.col("names").isNotNull()
     key_columns = F.when(found, F.filter("names", lambda n: n != "occurs")).otherwise(F.coalesce("columns", F.array().cast("array<string>")))
@@ -410,8 +415,14 @@ def duplicate_candidates(
     return _source_row(joined, F.concat(F.lit("Dupes: "), F.array_join(key_columns, ",")), labels, description)
 
 
-def duplicate_parts(dupes: DataFrame, observations: DataFrame, part_lines: int = PART_LINES) -> DataFrame:
-    """All sample records of every run's duplicates in numbered parts."""
+def duplicate_parts(dupes: DataFrame, observations: DataFrame, tie: Sequence[str], part_lines: int = PART_LINES) -> DataFrame:
+    """All sample records of every run's duplicates in numbered parts, and all keys of runs without any record.
+
+    ``kind`` is ``samples`` or ``unseen``.
+    """
     run = ["dataset", "runId"]
-    _, lines = duplicate_lines(_scheduled(dupes).dropna(subset=run), observations)
-    return text_parts(lines, run, ["ord", "line"], "line", part_lines=part_lines)
+    scheduled = _scheduled(dupes).dropna(subset=run)
+    headers, lines = duplicate_lines(scheduled, observations)
+    samples = text_parts(lines, run, ["ord", "line"], "line", part_lines=part_lines)
+    unseen = text_parts(unseen_keys(scheduled, headers, tie), run, list(tie), "obsKey", ", ", part_lines)
+    return samples.withColumn("kind", F.lit("samples")).unionByName(unseen.withColumn("kind", F.lit("unseen")))

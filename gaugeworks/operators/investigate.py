@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.coerce import fmt_significant, safe_double
 from ..functions.text import break_type, noted_breaks, raised_breaks
-from .relational import first_row, join_null_safe, text_of_lines, union_all
+from .relational import PART_LINES, first_row, join_null_safe, list_rows, union_all
 
 # Runs a break must persist, tolerated row change, types that count as profile breaks.
 PERSIST_RUNS = 3
@@ -172,25 +172,27 @@ def alert_breaks(tickets: DataFrame, breaks: DataFrame, invalidated: DataFrame,
     return named.select(*keys, F.col("key").alias("break_key")).filter(F.col("break_key").isNotNull()).distinct()
 
 
-def high_score_alerts(tickets: DataFrame, breaks: DataFrame, invalidated: DataFrame, threshold: float = 10.0) -> DataFrame:
+def high_score_alerts(tickets: DataFrame, breaks: DataFrame, invalidated: DataFrame, threshold: float = 10.0, part_lines: int = PART_LINES) -> DataFrame:
     """High-scoring new tickets of datasets without invalidations, with the break names of their run.
 
-    The two name cells hold the first part of a long list; ``alert_breaks`` has all of it.
+    A row holds up to ``part_lines`` names; a longer list goes on in rows of the
+    same ticket with a higher ``part``.  ``alert_breaks`` has one row per name.
     """
     high = _high(tickets, invalidated, threshold)
     keys = ["dataset", "runId"]
     named = join_null_safe(breaks, high.select(*keys), keys, "left_semi").select(
         *keys, F.col("key").alias("detected_breaks"), F.nullif(break_type("type", "key"), F.lit("")).alias("break_types")
     )
-    joined = high
+    lists = None
     for column in ("detected_breaks", "break_types"):
         values = named.select(*keys, column).filter(F.col(column).isNotNull()).distinct()
-        texts = text_of_lines(values, keys, [column], column, "__text", " | ").withColumnRenamed("__text", column)
-        joined = join_null_safe(joined, texts, keys, "left")
+        texts = list_rows(values, keys, [column], column, "__text", " | ", part_lines).withColumnRenamed("__text", column)
+        lists = texts if lists is None else join_null_safe(lists, texts, [*keys, "part"], "left")  # no more types than names
+    joined = join_null_safe(high, lists, keys, "left").withColumn("part", F.coalesce("part", F.lit(0)))
     issue = F.col("SUBTASK") if "SUBTASK" in tickets.columns else F.lit(None).cast("string")
     extra = [c for c in ("business_unit", "rows_current", "rows_prev", "rows_pct_change_vs_prev") if c in tickets.columns]
     return joined.select(
-        *keys, "score", "suggested_title", "suggested_priority", "detected_breaks", "break_types",
+        *keys, "part", "score", "suggested_title", "suggested_priority", "detected_breaks", "break_types",
         F.lit("high_score_ticket").alias("notification_type"),
         F.lit("High-Scoring Tickets Requiring Attention").alias("notification_title"),
         issue.alias("issue_key"), *extra,

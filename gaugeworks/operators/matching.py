@@ -2,25 +2,17 @@
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.text import squeeze
 from ..session import materialize
 from .relational import first_row
 
-# The token-set ratio runs in Python workers; sent by value, it needs no copy of this package there.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 # Weights of the blend, sizes of the grams.
 WEIGHTS = {"char": 0.35, "word": 0.35, "tokens": 0.20, "columns": 0.10}
 CHAR_SIZES = (3, 4, 5)
+BITS = 62  # places of a text that one number holds; sums of two stay below 2**63
 
 
 def word_grams(text: Column) -> Column:
@@ -57,41 +49,108 @@ def column_tokens(text: Column) -> Column:
     return F.array_distinct(F.filter(tokens, lambda t: t.contains("_") | t.endswith("id") | t.endswith("code")))
 
 
-def _common_length(a: str, b: str) -> int:
-    """Length of the longest common subsequence, one machine-word row at a time."""
-    places: dict[str, int] = {}
-    for i, ch in enumerate(a):
-        places[ch] = places.get(ch, 0) | (1 << i)
-    full = (1 << len(a)) - 1
-    row = full
-    for ch in b:
-        hit = row & places.get(ch, 0)
-        row = ((row + hit) | (row - hit)) & full
-    return len(a) - row.bit_count()
-
-
-def _token_set(a: str, b: str) -> float:
-    x, y = set(a.split()), set(b.split())
-    if not x or not y:
-        return 0.0
-    shared, left, right = " ".join(sorted(x & y)), " ".join(sorted(x - y)), " ".join(sorted(y - x))
-    if shared and (not left or not right):
-        return 1.0
-    gap = 1 if shared else 0
-    base = len(shared)
-    n_left, n_right = base + gap + len(left), base + gap + len(right)
-    distance = len(left) + len(right) - 2 * _common_length(left, right)
-    best = 1 - distance / (n_left + n_right)
-    if shared:
-        best = max(best, 1 - (gap + len(left)) / (base + n_left), 1 - (gap + len(right)) / (base + n_right))
-    return best
-
-
-@F.pandas_udf(T.DoubleType())
-def token_set_ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """Similarity of two titles as sets of words, 0 to 1."""
-    for a, b in batches:
-        yield pd.Series([_token_set(x, y) for x, y in zip(a, b)], dtype="float64")
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once per row."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _powers(n: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), n)
+
+
+def _places(chars: Column) -> Column:
+    """For every character the places it has, as bits of a number."""
+
+    def bits(ch: Column) -> Column:
+        return F.aggregate(F.transform(chars, lambda x, i: F.when(x == ch, _powers(i)).otherwise(F.lit(0).cast("bigint"))), F.lit(0).cast("bigint"), lambda s, x: s + x)
+
+    return F.map_from_entries(F.transform(F.array_distinct(chars), lambda ch: F.struct(ch.alias("ch"), bits(ch).alias("at"))))
+
+
+def _one_number(short: Column, long: Column) -> Column:
+    """Common subsequence length; the rows of the usual table are kept as the bits of one number."""
+
+    def walk(held: Column) -> Column:
+        def step(row: Column, ch: Column) -> Column:
+            hit = row.bitwiseAND(F.coalesce(F.try_element_at(held["places"], ch), F.lit(0).cast("bigint")))
+            return (row + hit).bitwiseOR(row - hit).bitwiseAND(held["full"])
+
+        return F.size(short) - F.bit_count(F.aggregate(long, held["full"], step))
+
+    return bound(F.struct(_places(short).alias("places"), (_powers(F.size(short)) - 1).alias("full")), walk)
+
+
+def _several_numbers(short: Column, long: Column) -> Column:
+    """The same with as many numbers as the shorter text needs; sums carry from one to the next."""
+    count = F.ceil(F.size(short) / BITS).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), count - 1), lambda w: F.slice(short, w * BITS + 1, F.lit(BITS)))
+    held = F.transform(blocks, lambda b: F.struct(_places(b).alias("places"), (_powers(F.size(b)) - 1).alias("full")))
+    empty = F.array().cast("array<bigint>")
+
+    def walk(parts: Column) -> Column:
+        def step(rows: Column, ch: Column) -> Column:
+            def add(acc: Column, w: Column) -> Column:
+                part, row = F.get(parts, w), F.get(rows, w)
+                hit = row.bitwiseAND(F.coalesce(F.try_element_at(part["places"], ch), F.lit(0).cast("bigint")))
+                total = row + hit + acc["carry"]
+                new = total.bitwiseOR(row - hit).bitwiseAND(part["full"])
+                return F.struct(F.concat(acc["rows"], F.array(new)).alias("rows"), F.call_function("shiftright", total, F.lit(BITS)).alias("carry"))
+
+            start = F.struct(empty.alias("rows"), F.lit(0).cast("bigint").alias("carry"))
+            return F.aggregate(F.sequence(F.lit(0), F.size(parts) - 1), start, add)["rows"]
+
+        rows = F.aggregate(long, F.transform(parts, lambda p: p["full"]), step)
+        return F.size(short) - F.aggregate(rows, F.lit(0), lambda s, x: s + F.bit_count(x))
+
+    return bound(held, walk)
+
+
+def common_length(a: Column, b: Column) -> Column:
+    """Length of the longest common subsequence of two texts."""
+
+    def of(pair: Column) -> Column:
+        first = F.size(pair["a"]) <= F.size(pair["b"])
+        ordered = F.struct(F.when(first, pair["a"]).otherwise(pair["b"]).alias("short"), F.when(first, pair["b"]).otherwise(pair["a"]).alias("long"))
+
+        def chosen(o: Column) -> Column:
+            return F.when(F.size(o["short"]) == 0, 0).when(F.size(o["short"]) <= BITS, _one_number(o["short"], o["long"])).otherwise(_several_numbers(o["short"], o["long"]))
+
+        return bound(ordered, chosen)
+
+    return bound(F.struct(F.split(a, "").alias("a"), F.split(b, "").alias("b")), of)
+
+
+def title_words(title: Column) -> Column:
+    """Distinct words of a title in order."""
+    return F.array_sort(F.array_distinct(F.filter(F.split(title, r"(?U)[\s\x1c-\x1f]+"), lambda w: w != "")))
+
+
+def token_parts(x: Column, y: Column) -> Column:
+    """What two word sets share and have alone, as texts, with bounds of their similarity that need no comparison of characters."""
+    texts = F.struct(
+        F.array_join(F.array_intersect(x, y), " ").alias("shared"), F.array_join(F.array_except(x, y), " ").alias("left"), F.array_join(F.array_except(y, x), " ").alias("right")
+    )
+
+    def bounds(p: Column) -> Column:
+        gap = F.when(p["shared"] != "", 1).otherwise(0)
+        base, left, right = F.length(p["shared"]), F.length(p["left"]), F.length(p["right"])
+        n_left, n_right = base + gap + left, base + gap + right
+        nothing = (F.size(x) == 0) | (F.size(y) == 0)
+        within = (gap > 0) & ((left == 0) | (right == 0))
+        cheap = F.when(gap > 0, F.greatest(1 - (gap + left) / (base + n_left), 1 - (gap + right) / (base + n_right))).otherwise(0.0)
+        most = F.greatest(cheap, 1 - F.abs(left - right) / (n_left + n_right))
+        return F.struct(
+            p["left"].alias("left"), p["right"].alias("right"), (n_left + n_right).alias("both"),
+            F.when(nothing, 0.0).when(within, 1.0).otherwise(cheap).alias("low"), F.when(nothing, 0.0).when(within, 1.0).otherwise(most).alias("high"),
+        )
+
+    return bound(texts, bounds)
+
+
+def token_set_ratio(parts: Column) -> Column:
+    """Similarity of two titles as sets of words, 0 to 1, from their ``token_parts``."""
+    apart = F.length(parts["left"]) + F.length(parts["right"]) - 2 * common_length(parts["left"], parts["right"])
+    return F.when(parts["low"] == parts["high"], parts["low"]).otherwise(F.greatest(parts["low"], 1 - apart / parts["both"]))
 
 
 def _unit(terms: Column, space: str, norm: Column) -> Column:
@@ -103,10 +162,11 @@ def _unit(terms: Column, space: str, norm: Column) -> Column:
 def title_vectors(candidates: DataFrame, tickets: DataFrame) -> DataFrame:
     """Both sides as one table of distinct titles with their TF-IDF vectors.
 
-    Columns: dataset, title, side (c or t), ord, char and word (arrays of term
-    and weight).  The frequencies come from the ticket titles alone, copies
+    Columns: id, dataset, title, side (c or t), ord, char and word (arrays of
+    term and weight).  The frequencies come from the ticket titles alone, copies
     included; terms no ticket title has are dropped.  A vector holds the terms
-    of one title, so the lists stay as short as titles.
+    of one title, so the lists stay as short as titles.  Terms travel with
+    numbers in place of titles and datasets.
     """
     titles = tickets.filter(squeeze("title") != "").groupBy("dataset", "title").agg(F.count("*").alias("copies"), F.min("ord").alias("ord"))
     wanted = candidates.select("dataset", "title").filter(F.col("title").isNotNull()).distinct()
@@ -114,24 +174,21 @@ def title_vectors(candidates: DataFrame, tickets: DataFrame) -> DataFrame:
     both = titles.withColumn("side", F.lit("t")).unionByName(
         wanted.withColumns({"side": F.lit("c"), "copies": F.lit(0).cast("bigint"), "ord": F.lit(None).cast(titles.schema["ord"].dataType)})
     )
-    # A title grows some forty-fold here, so its partitions must not be merged by their input size.
-    both = both.repartition(int(tickets.sparkSession.conf.get("spark.sql.shuffle.partitions")), "dataset", "title")
-    terms = title_terms(both, ["dataset", "title", "side", "copies", "ord"])
-    total = titles.groupBy("dataset").agg(F.sum("copies").alias("n"))
-    frequency = terms.filter("side = 't'").groupBy("dataset", "term").agg(F.sum("copies").alias("df"))
-    idf = frequency.join(total, "dataset").select("dataset", "term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
-    weighed = terms.join(idf, ["dataset", "term"])
+    both = materialize(both.withColumns({"id": F.monotonically_increasing_id(), "ds": F.xxhash64("dataset")}), "distinct-titles")
+    terms = title_terms(both.repartition("id"), ["id", "ds", "side", "copies"])
+    total = both.filter("side = 't'").groupBy("ds").agg(F.sum("copies").alias("n"))
+    frequency = terms.filter("side = 't'").groupBy("ds", "term").agg(F.sum("copies").alias("df"))
+    idf = frequency.join(total, "ds").select("ds", "term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
+    weighed = terms.join(idf, ["ds", "term"])
     weighed = weighed.withColumn("w", F.col("tf") * F.col("idf"))
     entry = F.struct((-F.col("idf")).alias("rarity"), "space", "term", "w")
 
     def norm_of(space: str) -> Column:
         return F.sqrt(F.sum(F.when(F.col("space") == space, F.col("w") * F.col("w"))))
 
-    lists = weighed.groupBy("dataset", "title", "side", "ord").agg(
-        F.sort_array(F.collect_list(entry)).alias("terms"), norm_of("c").alias("char_norm"), norm_of("w").alias("word_norm")
-    )
-    return lists.select(
-        "dataset", "title", "side", "ord",
+    lists = weighed.groupBy("id").agg(F.sort_array(F.collect_list(entry)).alias("terms"), norm_of("c").alias("char_norm"), norm_of("w").alias("word_norm"))
+    return lists.join(both.select("id", "dataset", "ds", "title", "side", "ord"), "id").select(
+        "id", "ds", "dataset", "title", "side", "ord",
         _unit(F.col("terms"), "c", F.col("char_norm")).alias("char"),
         _unit(F.col("terms"), "w", F.col("word_norm")).alias("word"),
     )
@@ -184,10 +241,12 @@ def match_titles(candidates: DataFrame, tickets: DataFrame, threshold: float = 0
     A pair can reach the threshold only if one of its cosines reaches
     ``(threshold - 0.3) / 0.7``: only pairs that share one of the rarest terms
     needed for that are formed, so no dataset is compared all against all and
-    no pair that counts is missed.  Copies of a title are compared once.
+    no pair that counts is missed.  Copies of a title are compared once.  Of a
+    candidate's pairs only those whose upper bound reaches the best lower bound
+    are compared character by character.
     """
-    bound = (threshold - WEIGHTS["tokens"] - WEIGHTS["columns"]) / (WEIGHTS["char"] + WEIGHTS["word"])
-    if bound <= 0:
+    limit = (threshold - WEIGHTS["tokens"] - WEIGHTS["columns"]) / (WEIGHTS["char"] + WEIGHTS["word"])
+    if limit <= 0:
         raise ValueError("threshold must exceed 0.3 so that a shared term is required")
     vectors = materialize(title_vectors(candidates, tickets), "titles")
 
@@ -195,28 +254,29 @@ def match_titles(candidates: DataFrame, tickets: DataFrame, threshold: float = 0
         return vectors.filter(F.col("side") == name)
 
     def keyed(name: str) -> DataFrame:
-        leading = F.concat(_prefix(F.col("char"), bound), _prefix(F.col("word"), bound))
-        return side(name).select("dataset", F.col("title").alias(name), F.explode_outer(leading).alias("key"))
+        leading = F.concat(_prefix(F.col("char"), limit), _prefix(F.col("word"), limit))
+        return side(name).select("ds", F.col("id").alias(f"{name}_id"), F.explode(leading).alias("key"))
 
-    left = side("c").select("dataset", F.col("title").alias("c"), F.col("char").alias("c_char"), F.col("word").alias("c_word"))
+    left = side("c").select(F.col("id").alias("c_id"), "dataset", F.col("title").alias("c"), F.col("char").alias("c_char"), F.col("word").alias("c_word"))
     right = side("t").select(
-        "dataset", F.col("title").alias("t"), "ord", F.map_from_entries("char").alias("t_char"), F.map_from_entries("word").alias("t_word")
+        F.col("id").alias("t_id"), F.col("title").alias("t"), "ord", F.map_from_entries("char").alias("t_char"), F.map_from_entries("word").alias("t_word")
     )
-    pairs = keyed("c").join(keyed("t"), ["dataset", "key"]).select("dataset", "c", "t").distinct()
-    scored = pairs.join(left, ["dataset", "c"]).join(right, ["dataset", "t"]).select(
-        "dataset", "c", "t", "ord",
+    pairs = keyed("c").join(keyed("t"), ["ds", "key"]).select("c_id", "t_id").distinct()
+    scored = pairs.join(left, "c_id").join(right, "t_id").select(
+        "dataset", "c_id", "t_id", "c", "t", "ord",
         (WEIGHTS["char"] * _dot(F.col("c_char"), F.col("t_char")) + WEIGHTS["word"] * _dot(F.col("c_word"), F.col("t_word"))).alias("cosines"),
     )
-    near = materialize(
-        scored.filter(F.col("cosines") + WEIGHTS["tokens"] + WEIGHTS["columns"] >= threshold - 1e-9).withColumns(
-            {
-                "tokens": token_set_ratio("c", "t"),
-                "c_cols": F.array_sort(column_tokens(F.col("c"))),
-                "shared": F.size(F.array_intersect(column_tokens(F.col("c")), column_tokens(F.col("t")))),
-            }
-        ),
-        "near-titles",
+    near = scored.filter(F.col("cosines") + WEIGHTS["tokens"] + WEIGHTS["columns"] >= threshold - 1e-9).withColumns(
+        {
+            "parts": token_parts(title_words(F.col("c")), title_words(F.col("t"))),
+            "c_cols": F.array_sort(column_tokens(F.col("c"))),
+            "shared": F.size(F.array_intersect(column_tokens(F.col("c")), column_tokens(F.col("t")))),
+        }
     )
+    high = F.col("cosines") + WEIGHTS["tokens"] * F.col("parts.high") + F.when(F.col("shared") > 0, WEIGHTS["columns"]).otherwise(0.0)
+    near = materialize(near.withColumn("high", high).filter(F.col("high") >= threshold - 1e-9), "near-titles")
+    low = near.groupBy("c_id").agg(F.max(F.col("cosines") + WEIGHTS["tokens"] * F.col("parts.low")).alias("best_low"))
+    near = near.join(low, "c_id").filter(F.col("high") >= F.col("best_low") - 1e-9).withColumn("tokens", token_set_ratio(F.col("parts")))
     near = near.join(_best_overlap(near, side("t")), ["dataset", "c_cols"], "left")
     overlap = F.when(F.col("shared") == 0, 0.0).otherwise(F.col("shared") / F.coalesce("best_shared", F.size("c_cols")))
     blended = F.col("cosines") + WEIGHTS["tokens"] * F.col("tokens") + WEIGHTS["columns"] * overlap

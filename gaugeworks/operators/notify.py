@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import split_break_key, valid_email
 from ..sources.readers import Source, read_first_available
-from .relational import PART_LINES, first_row, text_of_lines, text_parts
+from .relational import PART_LINES, first_row, list_rows, text_parts
 
 
 def load_notifications(spark: SparkSession, primary: Source, legacy: Source) -> DataFrame:
@@ -48,20 +48,24 @@ def note_recipients(notes: DataFrame, by_ticket: DataFrame, distribution: Sequen
     return own.filter(valid_email("email", domains)).distinct()
 
 
-def group_notifications(notes: DataFrame, by_ticket: DataFrame, distribution: Sequence[str], domains: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """One notification per dataset with its type, tickets and sorted recipients; datasets without any are skipped.
+def group_notifications(
+    notes: DataFrame, by_ticket: DataFrame, distribution: Sequence[str], domains: Sequence[str], order_by: Sequence[str], part_lines: int = PART_LINES
+) -> DataFrame:
+    """Notifications per dataset with type, tickets and sorted recipients; datasets without recipients are skipped.
 
-    The two list cells hold the first part of a long list; ``note_recipients`` and
-    the notes have all of it, one row each.
+    A row holds up to ``part_lines`` tickets and recipients; longer lists go on
+    in rows of the same dataset with a higher ``part``.
     """
     heads = notes.filter(F.col("dataset").isNotNull()).groupBy("dataset").agg(
         F.min_by("notification_type", F.struct(*order_by)).alias("notification_type")
     )
     addresses = note_recipients(notes, by_ticket, distribution, domains)
-    emails = text_of_lines(addresses, ["dataset"], ["email"], "email", "recipients", ";")
+    emails = list_rows(addresses, ["dataset"], ["email"], "email", "recipients", ";", part_lines)
     keys = notes.select("dataset", F.trim("issue_key").alias("issue_key")).dropna().distinct()
-    issues = text_of_lines(keys, ["dataset"], ["issue_key"], "issue_key", "issue_keys", ";")
-    return heads.join(emails, "dataset").join(issues, "dataset", "left").select("dataset", "notification_type", "issue_keys", "recipients")
+    told = heads.join(addresses.select("dataset").distinct(), "dataset", "left_semi")
+    issues = list_rows(keys, ["dataset"], ["issue_key"], "issue_key", "issue_keys", ";", part_lines)
+    rows = emails.join(issues, ["dataset", "part"], "full")
+    return told.join(rows, "dataset").select("dataset", "part", "notification_type", "issue_keys", "recipients")
 
 
 def unpack_breaks(notes: DataFrame, order_by: Sequence[str], alert_breaks: DataFrame | None = None) -> DataFrame:
@@ -130,16 +134,19 @@ def message_parts(breaks: DataFrame, part_lines: int = PART_LINES) -> DataFrame:
     return text_parts(break_list(breaks), ["dataset"], ["break_key"], "line", part_lines=part_lines)
 
 
-def render_messages(grouped: DataFrame, breaks: DataFrame, statuses: DataFrame, link_base: str, ticket_base: str = "") -> DataFrame:
+def render_messages(grouped: DataFrame, breaks: DataFrame, statuses: DataFrame, link_base: str, ticket_base: str = "", part_lines: int = PART_LINES) -> DataFrame:
     """Subject and message per notification; the output is a table, nothing is sent.
 
-    A long break list is continued in ``message_parts``.
+    Lists too long for one row go on in messages of the same dataset with a
+    higher ``part``; a list that has ended says so there.
     """
-    broken = text_of_lines(break_list(breaks), ["dataset"], ["break_key"], "line", "break_text")
+    broken = list_rows(break_list(breaks), ["dataset"], ["break_key"], "line", "break_text", part_lines=part_lines)
     prefix = f"{ticket_base}/browse/" if ticket_base else ""
     logged = statuses.select("dataset", "issue_key", F.concat(F.lit(f"- {prefix}"), F.col("issue_key"), F.lit(" ("), F.col("status"), F.lit(")")).alias("line"))
-    issues = text_of_lines(logged, ["dataset"], ["issue_key"], "line", "issue_text")
-    joined = grouped.join(broken, "dataset", "left").join(issues, "dataset", "left")
+    issues = list_rows(logged, ["dataset"], ["issue_key"], "line", "issue_text", part_lines=part_lines)
+    kinds = grouped.select("dataset", F.col("notification_type").alias("kind")).distinct()
+    rows = grouped.join(broken, ["dataset", "part"], "full").join(issues, ["dataset", "part"], "full")
+    joined = rows.join(kinds, "dataset").withColumn("notification_type", F.col("kind"))
     alert = F.col("notification_type") == "high_score_ticket"
 
     def choose(texts: dict, index: int | None = None) -> Column:
@@ -148,7 +155,7 @@ def render_messages(grouped: DataFrame, breaks: DataFrame, statuses: DataFrame,
 
         return F.when(alert, get("high_score_ticket")).otherwise(get("invalidated_break"))
 
-    none = F.lit("- None")
+    none = F.when(F.col("part") == 0, "- None").otherwise("- None further")
     body = F.concat_ws(
         "\n",
         choose(OPENINGS, 0), F.lit(""), F.lit("Dataset:"), F.col("dataset"), F.concat(F.lit(f"- {link_base}"), F.col("dataset")), F.lit(""),
@@ -156,7 +163,7 @@ def render_messages(grouped: DataFrame, breaks: DataFrame, statuses: DataFrame,
         choose(CLOSINGS),
     )
     return joined.select(
-        "dataset", "notification_type", "recipients",
+        "dataset", "part", "notification_type", "recipients",
         F.concat(choose(SUBJECTS, 0), F.col("dataset"), choose(SUBJECTS, 1)).alias("subject"),
         body.alias("message"),
     )

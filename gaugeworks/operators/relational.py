@@ -92,6 +92,32 @@ def text_parts(
     return grouped.select(*keys, "part", F.array_join(F.transform("__lines", lambda x: x["t"]), separator).alias("text"))
 
 
+def list_rows(
+    lines: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[Column | str],
+    line: str,
+    out: str,
+    separator: str = "\n",
+    part_lines: int = PART_LINES,
+) -> DataFrame:
+    """The whole list of every key, over as many rows as it needs: keys, part (from 0), ``out``.
+
+    First parts come from a ranked window that Spark cuts before the shuffle;
+    only keys with more lines are numbered in full.
+    """
+    kept = top_n(lines, keys, order_by, part_lines + 1, rank=RANK)
+    cells = F.sort_array(F.collect_list(F.struct(F.col(RANK).alias("n"), F.col(line).alias("t"))))
+    grouped = materialize(kept.groupBy(*keys).agg(cells.alias("__lines")), "first-parts")
+    text = F.array_join(F.transform(F.slice("__lines", 1, part_lines), lambda x: x["t"]), separator)
+    first = grouped.select(*keys, F.lit(0).alias("part"), text.alias(out))
+    long = grouped.filter(F.size("__lines") > part_lines).select(*keys)
+    if long.isEmpty():
+        return first
+    rest = text_parts(join_null_safe(lines, long, keys, "left_semi"), keys, order_by, line, separator, part_lines)
+    return first.unionByName(rest.filter("part > 0").withColumnRenamed("text", out))
+
+
 CONTINUED = "(continued in further parts)"
 
 

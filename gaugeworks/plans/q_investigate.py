@@ -199,11 +199,17 @@ def outstanding(t):
     return V.outstanding(df, df.filter("source > 'src6'"), df.filter("source BETWEEN 'src3' AND 'src4'"))
 
 
-ALERT_SQL = """
-    SELECT c.dataset, c."runId", c.score, c.suggested_title, CASE WHEN c.score > 30 THEN 'Critical' ELSE 'High' END AS suggested_priority, x.keys AS detected_breaks, y.types AS break_types,
+def _part(keys: str, order: str) -> str:
+    """SQL for the row a line of a long list stands in."""
+    return f"CAST((row_number() OVER (PARTITION BY {keys} ORDER BY {order}) - 1) // 999 AS INTEGER) AS part"
+
+
+_RUN = 'dataset, "runId"'
+ALERT_SQL = f"""
+    SELECT c.dataset, c."runId", coalesce(x.part, 0) AS part, c.score, c.suggested_title, CASE WHEN c.score > 30 THEN 'Critical' ELSE 'High' END AS suggested_priority, x.keys AS detected_breaks, y.types AS break_types,
            'high_score_ticket' AS notification_type, 'High-Scoring Tickets Requiring Attention' AS notification_title, concat('S-', CAST(c.seq AS VARCHAR)) AS issue_key, c.business_unit
-    FROM fx_cand c LEFT JOIN (SELECT dataset, "runId", string_agg(key, ' | ' ORDER BY key) AS keys FROM (SELECT DISTINCT dataset, "runId", key FROM fx_seen) q GROUP BY 1, 2) x ON x.dataset = c.dataset AND x."runId" = c."runId"
-    LEFT JOIN (SELECT dataset, "runId", string_agg(break_type, ' | ' ORDER BY break_type) AS types FROM (SELECT DISTINCT dataset, "runId", break_type FROM fx_seen) q GROUP BY 1, 2) y ON y.dataset = c.dataset AND y."runId" = c."runId"
+    FROM fx_cand c LEFT JOIN (SELECT dataset, "runId", part, string_agg(key, ' | ' ORDER BY key) AS keys FROM (SELECT *, {_part(_RUN, "key")} FROM (SELECT DISTINCT dataset, "runId", key FROM fx_seen) d) q GROUP BY 1, 2, 3) x ON x.dataset = c.dataset AND x."runId" = c."runId"
+    LEFT JOIN (SELECT dataset, "runId", part, string_agg(break_type, ' | ' ORDER BY break_type) AS types FROM (SELECT *, {_part(_RUN, "break_type")} FROM (SELECT DISTINCT dataset, "runId", break_type FROM fx_seen) d) q GROUP BY 1, 2, 3) y ON y.dataset = c.dataset AND y."runId" = c."runId" AND y.part = x.part
     WHERE c.score > 10 AND c.dataset NOT IN (SELECT dataset FROM fx_bu WHERE business_unit LIKE '% - cde')"""
 
 
@@ -219,6 +225,13 @@ def high_score_alerts(t):
     return _alerts(t)
 
 
+@query("h15_alert_breaks", """
+    SELECT DISTINCT s.dataset, s."runId", s.key AS break_key FROM fx_seen s JOIN fx_cand c ON c.dataset = s.dataset AND c."runId" = s."runId"
+    WHERE c.score > 10 AND c.dataset NOT IN (SELECT dataset FROM fx_bu WHERE business_unit LIKE '% - cde')""")
+def alert_breaks(t):
+    return V.alert_breaks(t.fx_cand, t.fx_seen, t.fx_bu.filter("business_unit LIKE '% - cde'"))
+
+
 @query("h16_split_break_key", """
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_linenumber <> 3 THEN l_returnflag END AS item, CASE WHEN l_linenumber <> 3 THEN concat('B__', l_linestatus) END AS metric FROM lineitem""")
 def split_break_key(t):
@@ -271,10 +284,11 @@ def recipients(t):
 
 GROUP_SQL = f"""
     WITH a AS (SELECT DISTINCT n.dataset, r.email FROM fx_note n JOIN ({RECIPIENT_SQL}) r ON r.issue_key = n.issue_key UNION SELECT DISTINCT dataset, 'list@example.com' FROM fx_note)
-    SELECT h.dataset, h.notification_type, k.keys AS issue_keys, e.emails AS recipients
-    FROM (SELECT dataset, max(notification_type) AS notification_type FROM fx_note GROUP BY 1) h
-    JOIN (SELECT dataset, string_agg(email, ';' ORDER BY email) AS emails FROM a GROUP BY 1) e ON e.dataset = h.dataset
-    LEFT JOIN (SELECT dataset, string_agg(issue_key, ';' ORDER BY issue_key) AS keys FROM (SELECT DISTINCT dataset, issue_key FROM fx_note) q GROUP BY 1) k ON k.dataset = h.dataset"""
+    SELECT h.dataset, p.part, h.notification_type, p.keys AS issue_keys, p.emails AS recipients
+    FROM (SELECT dataset, max(notification_type) AS notification_type FROM fx_note WHERE dataset IN (SELECT dataset FROM a) GROUP BY 1) h
+    JOIN (SELECT * FROM (SELECT dataset, part, string_agg(email, ';' ORDER BY email) AS emails FROM (SELECT *, {_part("dataset", "email")} FROM a) d GROUP BY 1, 2) e
+          FULL JOIN (SELECT dataset, part, string_agg(issue_key, ';' ORDER BY issue_key) AS keys FROM (SELECT *, {_part("dataset", "issue_key")} FROM (SELECT DISTINCT dataset, issue_key FROM fx_note) u) q GROUP BY 1, 2) k
+          USING (dataset, part)) p ON p.dataset = h.dataset"""
 
 
 def _grouped(t) -> DataFrame:
@@ -286,6 +300,14 @@ def group_notifications(t):
     return _grouped(t)
 
 
+NOTE_RECIPIENT_SQL = f"SELECT DISTINCT n.dataset, r.email FROM fx_note n JOIN ({RECIPIENT_SQL}) r ON r.issue_key = n.issue_key UNION SELECT DISTINCT dataset, 'list@example.com' FROM fx_note"
+
+
+@query("j04_note_recipients", NOTE_RECIPIENT_SQL)
+def note_recipients(t):
+    return N.note_recipients(t.fx_note, _recipients(t), ["list@example.com", "no address"], DOMAINS)
+
+
 BREAK_SQL = """
     SELECT DISTINCT dataset, b.break_key FROM fx_note, LATERAL (SELECT unnest(['a__MIN', 'b__NULL']) AS break_key) b WHERE notification_type = 'high_score_ticket' AND detected_breaks IS NOT NULL
     UNION ALL SELECT DISTINCT dataset, break_key FROM fx_note WHERE notification_type = 'invalidated_break' AND break_key IS NOT NULL
@@ -307,18 +329,31 @@ def issue_status(t):
     return N.issue_status(t.fx_note)
 
 
+_LINE = "CASE WHEN strpos(break_key, '__') > 0 THEN concat('- ', substr(break_key, 1, strpos(break_key, '__') - 1), ' (', substr(break_key, strpos(break_key, '__') + 2), ')') ELSE concat('- ', break_key) END"
+
+
+@query("j07_message_parts", f"""
+    SELECT dataset, CAST((rn - 1) // 2 AS INTEGER) AS part, string_agg({_LINE}, chr(10) ORDER BY break_key) AS text
+    FROM (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY break_key) AS rn FROM ({BREAK_SQL}) b) q GROUP BY 1, 2""")
+def message_parts(t):
+    """All break lists, two breaks a part."""
+    return N.message_parts(N.unpack_breaks(t.fx_note, ["ord"]), part_lines=2)
+
+
 @query("j07_render_messages", f"""
     WITH g AS ({GROUP_SQL.replace("WITH a AS", "SELECT * FROM (WITH a AS")})),
-    b AS (SELECT dataset, string_agg(CASE WHEN strpos(break_key, '__') > 0 THEN concat('- ', substr(break_key, 1, strpos(break_key, '__') - 1), ' (', substr(break_key, strpos(break_key, '__') + 2), ')') ELSE concat('- ', break_key) END, chr(10) ORDER BY break_key) AS t FROM ({BREAK_SQL}) q GROUP BY 1),
-    s AS (SELECT dataset, string_agg(concat('- ', issue_key, ' (', status, ')'), chr(10) ORDER BY issue_key) AS t FROM ({STATUS_SQL}) q GROUP BY 1)
-    SELECT g.dataset, g.notification_type, g.recipients,
+    b AS (SELECT dataset, part, string_agg({_LINE}, chr(10) ORDER BY break_key) AS bt FROM (SELECT *, {_part("dataset", "break_key")} FROM ({BREAK_SQL}) d) q GROUP BY 1, 2),
+    s AS (SELECT dataset, part, string_agg(concat('- ', issue_key, ' (', status, ')'), chr(10) ORDER BY issue_key) AS st FROM (SELECT *, {_part("dataset", "issue_key")} FROM ({STATUS_SQL}) d) q GROUP BY 1, 2),
+    j AS (SELECT g.* EXCLUDE (notification_type), b.* EXCLUDE (dataset, part), s.* EXCLUDE (dataset, part), coalesce(g.dataset, b.dataset, s.dataset) AS ds, coalesce(g.part, b.part, s.part) AS pt
+          FROM g FULL JOIN b ON b.dataset = g.dataset AND b.part = g.part FULL JOIN s ON s.dataset = coalesce(g.dataset, b.dataset) AND s.part = coalesce(g.part, b.part))
+    SELECT g.dataset, g.pt AS part, g.notification_type, g.recipients,
       CASE WHEN g.notification_type = 'high_score_ticket' THEN concat('[Data Quality] High-score rule breaks detected - ', g.dataset, ' requires attention') ELSE concat('[Data Quality] Adaptive rule invalidated, no further action needed - ', g.dataset) END AS subject,
       concat(CASE WHEN g.notification_type = 'high_score_ticket' THEN 'High-score rule breaks detected and require attention.' ELSE 'Data quality rule breaks for Adaptive rules have been invalidated.' END, chr(10), chr(10),
         'Dataset:', chr(10), g.dataset, chr(10), '- /finding?dataset=', g.dataset, chr(10), chr(10), CASE WHEN g.notification_type = 'high_score_ticket' THEN 'Detected breaks:' ELSE 'Invalidated breaks:' END, chr(10),
-        coalesce(b.t, '- None'), chr(10), chr(10), 'Tickets:', chr(10), coalesce(s.t, '- None'), chr(10), chr(10),
+        coalesce(g.bt, CASE WHEN g.pt = 0 THEN '- None' ELSE '- None further' END), chr(10), chr(10), 'Tickets:', chr(10), coalesce(g.st, CASE WHEN g.pt = 0 THEN '- None' ELSE '- None further' END), chr(10), chr(10),
         CASE WHEN g.notification_type = 'high_score_ticket' THEN concat('Action Required:', chr(10), 'These high-score rule breaks have been detected with high confidence score (>10).', chr(10),
           'Please review the dataset changes and assess whether these represent genuine', chr(10), 'data quality issues that need to be addressed.')
         ELSE concat('Reason:', chr(10), 'DQ data profile changes persisted across multiple runs while row count', chr(10), 'remained within normal fluctuation.') END) AS message
-    FROM g LEFT JOIN b ON b.dataset = g.dataset LEFT JOIN s ON s.dataset = g.dataset""")
+    FROM (SELECT k.dataset, k.notification_type, j.pt, j.recipients, j.bt, j.st FROM j JOIN (SELECT DISTINCT dataset, notification_type FROM g) k ON k.dataset = j.ds) g""")
 def render_messages(t):
     return N.render_messages(_grouped(t), N.unpack_breaks(t.fx_note, ["ord"]), N.issue_status(t.fx_note), "/finding?dataset=")

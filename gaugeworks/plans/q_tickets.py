@@ -374,6 +374,33 @@ def pattern_candidates(t):
     return df.withColumns({"suggested_labels": F.array_join("suggested_labels", "|"), "score": F.round("score", 6)})
 
 
+_ODD = """concat(chr(10), '| PatternCount | qty | occurs | flag |', chr(10), '| ', CAST("owlRank" AS VARCHAR), ' | ', CAST("owlRank" AS VARCHAR), ' | 2 | ', substr(obs, 10), ' |')"""
+
+
+@query("f19_pattern_parts", f"""
+    WITH p AS (SELECT *, substr(obs, 10) AS pattern FROM {_SCHEDULED} AND line <> 7),
+    l AS (SELECT dataset, "runId", pattern, "obsKey", 0 AS place, {_ODD} AS line FROM p
+          UNION ALL SELECT dataset, "runId", pattern, "obsKey", 1, concat('| Majority Pattern | 0 | 2 | ', CAST(line AS VARCHAR), ' |') FROM p),
+    n AS (SELECT *, row_number() OVER (PARTITION BY dataset, "runId", pattern ORDER BY "obsKey", place) AS rn FROM l)
+    SELECT dataset, "runId", pattern, CAST((rn - 1) // 3 AS INTEGER) AS part, string_agg(line, chr(10) ORDER BY rn) AS text FROM n GROUP BY 1, 2, 3, 4""")
+def pattern_parts(t):
+    """All sample tables, three lines a part."""
+    return C.pattern_parts(t.fx_obs, _records(t), ["obsKey"], part_lines=3)
+
+
+@query("f20_duplicate_parts", f"""
+    WITH p AS (SELECT * FROM {_SCHEDULED}),
+    r AS (SELECT dataset, "runId", concat('| ', CAST("owlRank" AS VARCHAR), ' | ', substr(obs, length(obs) - 1), ' | nan | 2 |') AS line, "obsKey" || '#0' AS ord FROM p WHERE "runId" <> '1995'
+          UNION ALL SELECT dataset, "runId", concat('| 0 | nan | ', CAST(line AS VARCHAR), ' | 2 |'), "obsKey" || '#1' FROM p WHERE "runId" <> '1995'),
+    d AS (SELECT dataset, "runId", line, min(ord) AS ord FROM r GROUP BY 1, 2, 3),
+    n AS (SELECT dataset, "runId", 'samples' AS kind, line, row_number() OVER (PARTITION BY dataset, "runId" ORDER BY ord, line) AS rn FROM d
+          UNION ALL SELECT dataset, "runId", 'unseen', "obsKey", row_number() OVER (PARTITION BY dataset, "runId" ORDER BY "obsKey") FROM p WHERE "runId" = '1995')
+    SELECT dataset, "runId", kind, CAST((rn - 1) // 4 AS INTEGER) AS part, array_to_string(list(line ORDER BY rn), CASE kind WHEN 'samples' THEN chr(10) ELSE ', ' END) AS text FROM n GROUP BY 1, 2, 3, 4""")
+def duplicate_parts(t):
+    """All sample records, four a part, and all keys of the runs that have no record here."""
+    return C.duplicate_parts(t.fx_obs, _records(t).filter("runId <> '1995'"), ["obsKey"], part_lines=4)
+
+
 @query("f20_duplicate_candidates", f"""
     WITH p AS (SELECT * FROM {_SCHEDULED}),
     h AS (SELECT dataset, "runId", CAST(sum("owlRank") AS DOUBLE) AS score, string_agg("obsKey", ', ' ORDER BY "obsKey") AS keys FROM p GROUP BY 1, 2),

@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from gaugeworks.operators import matching as M
 
@@ -116,10 +117,36 @@ def test_matches_equal_all_pairs(spark, threshold):
         assert r.matched_title == match
 
 
-def test_token_set_against_definition():
+def token_sets(spark, pairs):
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
+    parts = M.token_parts(M.title_words(F.col("a")), M.title_words(F.col("b")))
+    df = df.withColumn("p", parts).select("i", M.token_set_ratio(F.col("p")).alias("s"), "p.low", "p.high")
+    return sorted(map(tuple, df.collect()))
+
+
+def test_token_set_against_definition(spark):
     rng = random.Random(3)
-    vocab = ["a", "bb", "ccc", "col_1:", "NULL", "Invalid"]
-    for _ in range(300):
-        a = " ".join(rng.choices(vocab, k=rng.randint(0, 4)))
-        b = " ".join(rng.choices(vocab, k=rng.randint(0, 4)))
-        assert M._token_set(a, b) == pytest.approx(token_set(a, b)), (a, b)
+    vocab = ["a", "bb", "ccc", "col_1:", "NULL", "Invalid", "é𝄞x"]
+    pairs = [(" ".join(rng.choices(vocab, k=rng.randint(0, 4))), " ".join(rng.choices(vocab, k=rng.randint(0, 4)))) for _ in range(300)]
+    pairs += [("a\u00a0b", "b a"), ("a\tb  ", "a"), ("", ""), ("x", "y")]
+    for (_, got, low, high), (a, b) in zip(token_sets(spark, pairs), pairs, strict=True):
+        assert got == pytest.approx(token_set(a, b)), (a, b)
+        assert low - 1e-12 <= got <= high + 1e-12
+
+
+def test_common_length_of_long_texts(spark):
+    rng = random.Random(5)
+    pairs = []
+    for n in (1, 30, 61, 62, 63, 64, 123, 124, 125, 186, 187, 400):
+        for m in (0, 40, 62, 130, 300):
+            pairs.append(("".join(rng.choices("abc é", k=n)), "".join(rng.choices("abc é", k=m))))
+    pairs += [("x" * 300, "x" * 200), ("ab" * 100, "ba" * 100)]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
+    got = sorted(map(tuple, df.select("i", M.common_length(F.col("a"), F.col("b"))).collect()))
+    assert got == [(i, lcs(a, b)) for i, (a, b) in enumerate(pairs)]
+
+
+def test_no_python_in_matching(spark):
+    rows = spark.createDataFrame([("d", "col_a: NULL", 1), ("d", "col_b: Invalid", 2)], "dataset string, title string, ord int")
+    plan = M.match_titles(rows.drop("ord"), rows)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "repartition(" not in plan.lower()

@@ -15,6 +15,7 @@ from gaugeworks.operators import evidence as E
 from gaugeworks.operators import history as H
 from gaugeworks.operators import investigate as V
 from gaugeworks.operators import keys as Y
+from gaugeworks.operators import notify as N
 from gaugeworks.operators import planning as P
 from gaugeworks.operators import report as R
 from gaugeworks.operators.relational import text_of_lines
@@ -207,8 +208,6 @@ def test_sums_lose_nothing(spark):
 
 
 def test_long_lists_lose_nothing(spark):
-    from gaugeworks.operators import investigate as V
-    from gaugeworks.operators import notify as N
     from gaugeworks.operators.relational import CONTINUED, text_of_lines, text_parts
 
     lines = spark.range(1200).select(F.lit("k").alias("k"), F.format_string("%04d", "id").alias("line")).union(spark.createDataFrame([("s", "one"), (None, "two")], "k string, line string"))
@@ -227,8 +226,40 @@ def test_long_lists_lose_nothing(spark):
     breaks = spark.range(1200).select(F.lit("d").alias("dataset"), F.lit("r").alias("runId"), F.format_string("b%d__NULL", "id").alias("key"), F.lit("null").alias("type"))
     none = spark.createDataFrame([], "dataset string")
     alerts = V.high_score_alerts(tickets, breaks, none).withColumn("break_key", F.lit(None).cast("string")).withColumn("ord", F.lit(1))
+    cells = {r.part: r.detected_breaks.split(" | ") for r in alerts.collect()}
+    assert {p: len(c) for p, c in cells.items()} == {0: 999, 1: 201} and sorted(cells[0] + cells[1]) == sorted(f"b{i}__NULL" for i in range(1200))
     told = V.alert_breaks(tickets, breaks, none)
     assert told.count() == 1200
-    unpacked = N.unpack_breaks(alerts, ["ord"], told)
-    assert unpacked.count() == 1200 and unpacked.filter("break_key = 'title'").count() == 0
+    for unpacked in (N.unpack_breaks(alerts, ["ord"], told), N.unpack_breaks(alerts, ["ord"])):
+        assert unpacked.count() == 1200 and unpacked.filter("break_key = 'title'").count() == 0
     assert sum(len(p.text.split("\n")) for p in N.message_parts(unpacked).collect()) == 1200
+
+
+def test_long_recipients_and_messages(spark):
+    """1,200 recipients and tickets of one dataset, 1,200 breaks, and a dataset with one of each."""
+    notes = spark.range(1200).select(
+        F.lit("d").alias("dataset"), F.format_string("T-%04d", "id").alias("issue_key"), F.lit("high_score_ticket").alias("notification_type"), F.lit(False).alias("should_close"), "id"
+    )
+    notes = notes.union(spark.createDataFrame([("e", "T-1", "invalidated_break", True, 7)], notes.schema))
+    by_ticket = notes.select("issue_key", F.concat(F.lower("issue_key"), F.lit("@example.com")).alias("email"))
+    grouped = N.group_notifications(notes, by_ticket, [], ["example.com"], ["id"])
+    rows = {(r.dataset, r.part): r for r in grouped.collect()}
+    assert sorted(rows) == [("d", 0), ("d", 1), ("e", 0)]
+    for column, name in (("recipients", "t-%04d@example.com"), ("issue_keys", "T-%04d")):
+        assert (rows["d", 0][column] + ";" + rows["d", 1][column]).split(";") == [name % i for i in range(1200)]
+    breaks = spark.range(2500).select(F.lit("d").alias("dataset"), F.format_string("c%04d__NULL", "id").alias("break_key"))
+    sent = {(r.dataset, r.part): r for r in N.render_messages(grouped, breaks, N.issue_status(notes), "/x=").collect()}
+    assert sorted(sent) == [("d", 0), ("d", 1), ("d", 2), ("e", 0)]
+    text = "\n".join(sent["d", p].message for p in range(3)).split("\n")
+    assert [x for x in text if x.startswith("- c")] == [f"- c{i:04d} (NULL)" for i in range(2500)]
+    assert [x for x in text if x.startswith("- T-")] == [f"- T-{i:04d} (Updated)" for i in range(1200)]
+    assert not any("further parts" in x for x in text) and text.count("- None further") == 1
+    assert sent["d", 2].recipients is None and "- None\n" in sent["e", 0].message and sent["e", 0].recipients == "t-1@example.com"
+
+
+def test_long_duplicates_keep_unseen_keys(spark):
+    dupes = spark.range(1200).select(F.lit("d").alias("dataset"), F.lit("r").alias("runId"), F.format_string("k%04d", "id").alias("obsKey"), F.lit(1.0).alias("owlRank"), F.lit("true").alias("jobSchedule"))
+    none = spark.createDataFrame([], "dataset string, runId string, obsKey string, ord int, record map<string,string>")
+    parts = sorted(map(tuple, C.duplicate_parts(dupes, none, ["obsKey"]).select("kind", "part", "text").collect()))
+    assert [p[:2] for p in parts] == [("unseen", 0), ("unseen", 1)]
+    assert ", ".join(p[2] for p in parts).split(", ") == [f"k{i:04d}" for i in range(1200)]
