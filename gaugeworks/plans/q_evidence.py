@@ -99,7 +99,11 @@ SCORE_SQL = """
 
 
 def _scored(t):
-    return E.relevance(t.fx_pair.withColumn("candidates", F.array("tbl")))
+    incidents = E.incident_names(t.fx_inc.withColumn("candidates", F.array("tbl")))
+    tickets = E.ticket_texts(t.fx_ev)
+    dev_at = F.when(F.col("prio") == "1-URGENT", F.col("updated").cast("date").cast("timestamp_ntz"))
+    pairs = incidents.drop("end_at").join(tickets.drop("unit"), "cust")
+    return E.relevance(pairs.withColumn("dev_at", dev_at))
 
 
 @query("i05_relevance", f"SELECT incident, key, CAST(round(score, 6) AS DOUBLE) AS score, excluded FROM ({SCORE_SQL}) q")

@@ -395,7 +395,7 @@ def pattern_parts(t):
     d AS (SELECT dataset, "runId", line, min(ord) AS ord FROM r GROUP BY 1, 2, 3),
     n AS (SELECT dataset, "runId", 'samples' AS kind, line, row_number() OVER (PARTITION BY dataset, "runId" ORDER BY ord, line) AS rn FROM d
           UNION ALL SELECT dataset, "runId", 'unseen', "obsKey", row_number() OVER (PARTITION BY dataset, "runId" ORDER BY "obsKey") FROM p WHERE "runId" = '1995')
-    SELECT dataset, "runId", kind, CAST((rn - 1) // 4 AS INTEGER) AS part, array_to_string(list(line ORDER BY rn), CASE kind WHEN 'samples' THEN chr(10) ELSE ', ' END) AS text FROM n GROUP BY 1, 2, 3, 4""")
+    SELECT dataset, "runId", kind, CAST((rn - 1) // 4 AS INTEGER) AS part, CASE kind WHEN 'samples' THEN string_agg(line, chr(10) ORDER BY rn) ELSE string_agg(line, ', ' ORDER BY rn) END AS text FROM n GROUP BY 1, 2, 3, 4""")
 def duplicate_parts(t):
     """All sample records, four a part, and all keys of the runs that have no record here."""
     return C.duplicate_parts(t.fx_obs, _records(t).filter("runId <> '1995'"), ["obsKey"], part_lines=4)

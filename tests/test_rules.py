@@ -263,3 +263,13 @@ def test_long_duplicates_keep_unseen_keys(spark):
     parts = sorted(map(tuple, C.duplicate_parts(dupes, none, ["obsKey"]).select("kind", "part", "text").collect()))
     assert [p[:2] for p in parts] == [("unseen", 0), ("unseen", 1)]
     assert ", ".join(p[2] for p in parts).split(", ") == [f"k{i:04d}" for i in range(1200)]
+
+
+def test_latest_date(spark):
+    texts = [
+        "merged 1990-01-01, again 2024-03-02", "at 2024-03-01 10:11:12 and 2024-03-01.", "2024-03-01T10:11:12.5Z", "(2024-03-01T10:11)", "2024-03-01, 23:00:00", "2024-13-01 2024-02-30", "x", "", None,
+        "v2024-01-05-2 build 2023-12-31 23:59:59", "2024-1-5 20240105 12:00:00",
+    ]
+    d = dt.datetime
+    want = [d(2024, 3, 2), d(2024, 3, 1, 10, 11, 12), d(2024, 3, 1, 10, 11, 12, 500000), d(2024, 3, 1), d(2024, 3, 1), None, None, None, None, d(2024, 1, 5), None]
+    assert one(spark, texts, "string", E.latest_date(F.col("v"))) == want
