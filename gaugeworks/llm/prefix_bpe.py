@@ -10,8 +10,8 @@ edit keeps the table before it and refills it from there until, for the length
 of the longest token, it agrees with the old table shifted.
 
 Texts are split into pieces by the tokenizer's pattern, and a piece that is a
-token as a whole is that token.  ``Encoder`` remembers pieces it has encoded,
-up to a fixed number.  ``append_ids`` encodes a text that has grown from the
+token as a whole is that token.  ``Tables`` fills the tables of all new pieces
+of a batch together, and ``Encoder`` remembers a fixed number of pieces.  ``append_ids`` encodes a text that has grown from the
 first piece that the new end can change.
 
 Rows are encoded one by one where they are read, nothing is shuffled.  The
@@ -26,19 +26,20 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .words import by_size
+from .phrases import Trie
+from .words import ONE, by_size, mix
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 BATCH_BYTES = 4 << 20
-HELD = 250_000  # pieces, words and token pairs that a worker remembers, each
-WHOLE = 1 << 22  # characters of a text that is split at once
+HELD = 500_000  # pieces and words that a worker remembers, besides those of one batch
+PAIRS = 1_000_000  # token pairs it remembers
+TOGETHER = 64  # bytes of the longest piece that is encoded together with others
 LOOK_AHEAD = 3  # characters from its start on that can decide how a piece ends
 
 
@@ -68,8 +69,10 @@ class Vocabulary:
         self.longest = max(map(len, ranks))
         self.pairs: dict[int, bool] = {}
         self.made_by: dict[int, list[tuple[int, bytes, bytes]]] = {}
-        # Only tokens that merging can make of their own bytes occur inside a piece.
-        self.made = {token: rank for token, rank in ranks.items() if self.merged(token) == [rank]}
+        self.sizes = {rank: len(token) for rank, token in self.tokens.items()}
+        # Only tokens that merging can make of their own bytes occur inside a piece; -1 stands for ends of such tokens.
+        made = {token: rank for token, rank in ranks.items() if self.merged(token) == [rank]}
+        self.ends = {token[i:]: -1 for token in made for i in range(1, len(token))} | made
 
     def merges(self, data: bytes) -> list[tuple[int, bytes, bytes]]:
         """Merge the neighbours of lowest rank, the first of equals, until none are left to merge; for short texts.
@@ -88,6 +91,8 @@ class Vocabulary:
         return steps
 
     def merged(self, data: bytes) -> list[int]:
+        if not data:
+            return []
         self.merges(data)
         return [self.ranks[p] for p in self.parts]
 
@@ -102,7 +107,7 @@ class Vocabulary:
         key = a << 32 | b
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= 4 * HELD:
+            if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
             known = self.pairs[key] = not self.crossed(self.steps(a), self.steps(b))
         return known
@@ -131,19 +136,32 @@ class Prefix:
         self.vocabulary, self.data, self.last = vocabulary, b"", [-1]
         self.append(data)
 
-    def last_token(self, end: int) -> int:
-        """The one token that ends at ``end`` and is compatible with what the prefix before it ends in."""
-        data, last, made, compatible = self.data, self.last, self.vocabulary.made, self.vocabulary.compatible
-        for start in range(max(0, end - self.vocabulary.longest), end):
-            token = made.get(data[start:end])
-            if token is not None and (start == 0 or compatible(last[start], token)):
-                return token
-        raise ValueError("the rank file lacks a single byte")
+    def fill(self, begin: int, stop: int, last: list[int]) -> list[int]:
+        """``last``, which holds the prefixes shorter than ``begin``, up to the prefix of length ``stop``.
+
+        The token that ends a prefix is the one that is compatible with what the
+        prefix before it ends in; ends are tried from the shortest on, as long as
+        a token has them.
+        """
+        data, ends, pairs, compatible = self.data, self.vocabulary.ends.get, self.vocabulary.pairs.get, self.vocabulary.compatible
+        for end in range(begin, stop + 1):
+            for start in range(end - 1, -1, -1):
+                token = ends(data[start:end])
+                if token is None:
+                    raise ValueError("the rank file lacks a single byte")
+                if token >= 0:
+                    if not start:
+                        break
+                    before = last[start]
+                    fits = pairs(before << 32 | token)
+                    if compatible(before, token) if fits is None else fits:
+                        break
+            last.append(token)
+        return last
 
     def append(self, data: bytes) -> None:
         begin, self.data = len(self.data) + 1, self.data + data
-        for end in range(begin, len(self.data) + 1):
-            self.last.append(self.last_token(end))
+        self.last = self.fill(begin, len(self.data), self.last)
 
     def edit(self, start: int, stop: int, data: bytes) -> int:
         """Put ``data`` in place of the bytes from ``start`` to ``stop``; how many entries were made anew."""
@@ -151,8 +169,7 @@ class Prefix:
         self.data = self.data[:start] + data + self.data[stop:]
         self.last, alike = old[: start + 1], 0
         for end in range(start + 1, len(self.data) + 1):
-            token = self.last_token(end)
-            self.last.append(token)
+            token = self.fill(end, end, self.last)[end]
             alike = alike + 1 if end - shift > stop and token == old[end - shift] else 0
             if alike > self.vocabulary.longest:  # all that later entries depend on is as before
                 self.last += old[end - shift + 1 :]
@@ -160,66 +177,166 @@ class Prefix:
         return len(self.data) - start
 
     def ids(self) -> list[int]:
-        out, end, tokens = [], len(self.data), self.vocabulary.tokens
+        out, end, last, sizes = [], len(self.data), self.last, self.vocabulary.sizes
         while end:
-            out.append(self.last[end])
-            end -= len(tokens[self.last[end]])
+            out.append(last[end])
+            end -= sizes[last[end]]
         return out[::-1]
 
 
-class NotPlain(Exception):
-    """A text with white space other than single spaces and line breaks inside words."""
-
-
-class Remembered(dict):
-    """A dictionary that makes what it lacks and starts over when it is full."""
-
-    def __init__(self, make):
-        self.make = make
-
-    def __missing__(self, key):
-        if len(self) >= HELD:
-            self.clear()
-        self[key] = out = self.make(key)
-        return out
+class Pairs:
+    """What is known of token pairs, in arrays: whether they are compatible."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        self.mask = np.uint64((1 << (2 * PAIRS).bit_length()) - 1)
+        self.clear()
+
+    def clear(self):
+        self.keys, self.fits, self.count = np.zeros(int(self.mask) + 1, np.uint64), np.zeros(int(self.mask) + 1, bool), 0
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        """Where each key is, or the free slot where it would be."""
+        slot, open_ = mix(keys) & self.mask, np.arange(len(keys))
+        while len(open_):
+            held = self.keys[slot[open_]]
+            open_ = open_[(held != 0) & (held != keys[open_])]
+            slot[open_] = (slot[open_] + ONE) & self.mask
+        return slot
+
+    def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        keys = (a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64)) + ONE
+        slot = self.slots(keys)
+        unseen = np.unique(keys[self.keys[slot] == 0])
+        if len(unseen):
+            if self.count + len(unseen) > PAIRS:
+                self.clear()
+                unseen = np.unique(keys)
+            steps, crossed = self.vocabulary.steps, self.vocabulary.crossed
+            fits = [not crossed(steps(key >> 32), steps(key & 0xFFFFFFFF)) for key in (unseen - ONE).tolist()]
+            fits, open_ = np.array(fits), np.arange(len(unseen))
+            while len(open_):
+                slot = self.slots(unseen[open_])
+                one = np.unique(slot, return_index=True)[1]
+                self.keys[slot[one]], self.fits[slot[one]] = unseen[open_[one]], fits[open_[one]]
+                open_ = np.delete(open_, one)
+            self.count += len(unseen)
+            slot = self.slots(keys)
+        return self.fits[slot]
+
+
+class Tables:
+    """The tables of last tokens of many pieces, filled together, one prefix length after the other."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        made = [token for token, rank in vocabulary.ends.items() if rank >= 0]
+        # Tokens from their last byte to the first: walking back from the end of a prefix meets all that end there.
+        codes = np.frombuffer(b"".join(token[::-1] for token in made), np.uint8).astype(np.uint64)
+        self.trie = Trie.of(codes, np.array([len(token) for token in made], np.int64))
+        self.rank = np.array([vocabulary.ranks[token] for token in made], np.int64)
+        self.size = np.zeros(int(self.rank.max()) + 1, np.int64)
+        self.size[self.rank] = [len(token) for token in made]
+        self.pairs = Pairs(vocabulary)
+
+    def last_tokens(self, data: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The last token of every prefix of pieces in descending order of size, at the place of the prefix's last byte."""
+        trie, last = self.trie, np.full(len(data), -1, np.int64)
+        for end in range(1, int(sizes[0]) + 1):
+            at = np.arange(int(np.searchsorted(-sizes, -end, side="right")))
+            state, size = np.full(len(at), trie.root, np.int32), 0
+            while len(at):
+                if size == end:
+                    raise ValueError("the rank file lacks a single byte")
+                size += 1
+                step = trie.base[state] + data[first[at] + end - size]
+                ok = trie.check[step] == state
+                at, state = at[ok], step[ok]
+                found = np.flatnonzero(trie.accept[state] >= 0)
+                token = self.rank[trie.accept[state[found]]]
+                if size < end and len(found):
+                    fits = self.pairs.compatible(last[first[at[found]] + end - size - 1], token)
+                    found, token = found[fits], token[fits]
+                last[first[at[found]] + end - 1] = token
+                left = np.ones(len(at), bool)
+                left[found] = False
+                at, state = at[left], state[left]
+        return last
+
+    def ids(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece as little-endian 32-bit integers; pieces in descending order of size."""
+        if not pieces:
+            return []
+        sizes = np.array([len(p) for p in pieces], np.int64)
+        first = np.cumsum(sizes) - sizes
+        last = self.last_tokens(np.frombuffer(b"".join(pieces), np.uint8).astype(np.int32), first, sizes)
+        begins, end, open_ = np.zeros(len(last), bool), sizes.copy(), np.arange(len(sizes))
+        while len(open_):  # read back from the end: each token's place is its last byte
+            place = first[open_] + end[open_] - 1
+            begins[place] = True
+            end[open_] -= self.size[last[place]]
+            open_ = open_[end[open_] > 0]
+        counts = np.add.reduceat(begins, first)
+        flat, edges = last[begins].astype("<u4").tobytes(), np.concatenate([[0], 4 * np.cumsum(counts)]).tolist()
+        return [flat[a:z] for a, z in zip(edges, edges[1:])]
 
 
 class Encoder:
-    """Ids of texts, as bytes of little-endian 32-bit integers."""
+    """Ids of texts, as bytes of little-endian 32-bit integers; pieces and words met before are remembered."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         import regex
 
         self.vocabulary = Vocabulary(ranks)
+        self.tables = Tables(self.vocabulary)
         self.pattern = regex.compile(pattern)
-        self.pieces = Remembered(self.piece)
-        self.words = Remembered(self.word)
-
-    def piece(self, piece: str) -> bytes:
-        data = piece.encode()
-        whole = self.vocabulary.ranks.get(data)
-        return np.array(Prefix(self.vocabulary, data).ids() if whole is None else [whole], "<u4").tobytes()
-
-    def word(self, word: str) -> bytes:
-        """A word with the one space before it; as the next also begins with a space, its pieces end here."""
-        if not word or word[0].isspace() or word[-1].isspace():
-            raise NotPlain
-        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(" " + word)))
-
-    def encode(self, text: str) -> bytes:
-        cut = text.find(" ", 1)
-        if 0 < cut < len(text) <= WHOLE and not text[cut - 1].isspace():
-            try:
-                rest = b"".join(map(self.words.__getitem__, text[cut + 1 :].split(" ")))
-                return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text[:cut]))) + rest
-            except NotPlain:
-                pass
-        if len(text) <= WHOLE:
-            return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
-        matches, out = self.pattern.finditer(text), []
-        while some := [m[0] for m in islice(matches, WHOLE // 8)]:
-            out.append(b"".join(map(self.pieces.__getitem__, some)))
-        return b"".join(out)
+        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def learn(self, pieces: set[str]) -> None:
+        """Encode new pieces: whole tokens, short ones together, long ones one by one."""
+        several = []
+        for piece in pieces:
+            data = piece.encode()
+            whole = self.vocabulary.ranks.get(data)
+            if whole is not None:
+                self.pieces[piece] = np.array([whole], "<u4").tobytes()
+            elif len(data) > TOGETHER:
+                self.pieces[piece] = np.array(Prefix(self.vocabulary, data).ids(), "<u4").tobytes()
+            else:
+                several.append((data, piece))
+        several.sort(key=lambda x: -len(x[0]))
+        self.pieces.update(zip([piece for _, piece in several], self.tables.ids([data for data, _ in several])))
+
+    def by_pieces(self, pieces: list[str]) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, pieces))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Texts whose words are parted by single spaces are looked up word by word, others piece by piece.
+
+        A word with the one space before it begins and ends with pieces of its
+        own if neither it nor the word before ends or begins with white space.
+        """
+        if len(self.words) > HELD:
+            self.words.clear()
+        if len(self.pieces) > HELD:
+            self.pieces.clear()
+            self.words.clear()
+        parts: list[tuple[str, list[str]]] = []
+        for text in texts:
+            cut = text.find(" ", 1)
+            plain = 0 < cut and not text[cut - 1].isspace()
+            parts.append((text[:cut], text[cut + 1 :].split(" ")) if plain else (text, []))
+        new = set().union(*(words for _, words in parts)) - self.words.keys()
+        odd = {w for w in new if not w or w[0].isspace() or w[-1].isspace()}
+        if odd:
+            parts = [(text, []) if not odd.isdisjoint(words) else part for text, part, words in zip(texts, parts, (w for _, w in parts))]
+            new -= odd
+        heads = [self.pattern.findall(head) for head, _ in parts]
+        of_word = {word: self.pattern.findall(" " + word) for word in new}
+        self.learn(set().union(*heads, *of_word.values()) - self.pieces.keys())
+        for word, pieces in of_word.items():
+            self.words[word] = self.by_pieces(pieces)
+        return [self.by_pieces(head) + b"".join(map(self.words.__getitem__, words)) for head, (_, words) in zip(heads, parts)]
 
     def append_ids(self, text: str, ids: list[int], tail: str) -> list[int]:
         """The ids of ``text + tail``; ``ids`` are those of ``text``."""
@@ -232,7 +349,7 @@ class Encoder:
         while size > 0:  # pieces begin where tokens do
             cut -= 1
             size -= len(self.vocabulary.tokens[ids[cut]])
-        return list(ids[:cut]) + np.frombuffer(self.encode(text[start:] + tail), "<u4").tolist()
+        return list(ids[:cut]) + np.frombuffer(self.encode([text[start:] + tail])[0], "<u4").tolist()
 
 
 def held_encoder(path: str, pattern: str) -> Encoder:
@@ -254,7 +371,7 @@ def encode_rows(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = held_encoder(path, pattern)
         for batch in by_size(batches, "text", BATCH_BYTES):
-            coded = [encoder.encode(text) if text else b"" for text in batch.column("text").to_pylist()]
+            coded = encoder.encode([text or "" for text in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), id_arrays(coded)], ["doc_id", "ids"])
 
     return run
