@@ -67,12 +67,32 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), BREAKS), lambda w: w != "")
 
 
+def run_codes(codes: Column, run: int) -> Column:
+    """One hash per ``run`` consecutive values, for arrays that are longer than that.
+
+    Hashes of neighbours are combined to pairs, pairs to fours and so on, so a
+    run of eight costs three steps.
+    """
+    if run & (run - 1):
+        return F.transform(F.sequence(F.lit(1), F.size(codes) - run + 1), lambda i: F.xxhash64(F.slice(codes, i, run)))
+
+    def doubled(x: Column, step: int) -> Column:
+        later = F.slice(x, F.lit(step + 1), F.greatest(F.size(x) - step, F.lit(0)))
+        return F.zip_with(x, later, lambda a, b: F.xxhash64(a, b))
+
+    out, step = codes, 1
+    while step < run:
+        out, step = bound(out, lambda x, step=step: doubled(x, step)), 2 * step
+    return F.slice(out, F.lit(1), F.size(codes) - run + 1)  # what follows lacks words
+
+
 def repeated_run_words(codes: Column, run: int = RUN) -> Column:
     """Words inside a run of ``run`` words that is found twice or more, the first one included.
 
-    ``codes`` holds one hash per word.  Runs are sorted by hash and position;
-    equal neighbours mark both positions; the marked positions in order then
-    cover ``min(run, distance to the next one)`` words each.
+    ``codes`` holds one hash per word.  Only where a run repeats at all are
+    runs sorted by hash and position; equal neighbours mark both positions; the
+    marked positions in order then cover ``min(run, distance to the next one)``
+    words each.
     """
 
     def marked(placed: Column) -> Column:
@@ -87,12 +107,11 @@ def repeated_run_words(codes: Column, run: int = RUN) -> Column:
         following = F.concat(F.slice(at, F.lit(2), F.greatest(F.size(at) - 1, F.lit(0))), F.array(F.lit(1 << 30)))
         return F.aggregate(F.zip_with(at, following, lambda a, b: F.least(b - a, F.lit(run))), F.lit(0), lambda total, x: total + x)
 
-    placed = F.transform(
-        F.sequence(F.lit(1), F.size(codes) - run + 1),
-        lambda i: F.struct(F.xxhash64(F.slice(codes, i, run)).alias("code"), i.alias("at")),
-    )
-    found = bound(bound(F.sort_array(placed), marked), lambda at: F.when(F.size(at) > 0, covered(at)).otherwise(0))
-    return F.when(F.size(codes) > run, found).otherwise(0)
+    def counted(held: Column) -> Column:
+        placed = F.transform(held, lambda code, i: F.struct(code.alias("code"), i.alias("at")))
+        return F.when(F.size(F.array_distinct(held)) < F.size(held), bound(bound(F.sort_array(placed), marked), covered)).otherwise(0)
+
+    return F.when(F.size(codes) > run, bound(run_codes(codes, run), counted)).otherwise(0)
 
 
 def line_counts(text: Column) -> Column:
@@ -103,7 +122,7 @@ def line_counts(text: Column) -> Column:
 
 def measures(text: Column, stop_words: dict[str, str] = STOP_WORDS) -> dict[str, Column]:
     """Every measure a rule may name, as a struct of word measures, one of line measures and plain counts."""
-    known = F.array(*[F.lit(w) for w in sorted({w for ws in stop_words.values() for w in ws.split()})])
+    known = sorted({w for ws in stop_words.values() for w in ws.split()})
     whole = F.coalesce(text, F.lit(""))
     letters = F.regexp_replace(whole, "[^\\p{L}]+", "")
     return {
@@ -112,7 +131,7 @@ def measures(text: Column, stop_words: dict[str, str] = STOP_WORDS) -> dict[str,
             lambda w: F.struct(
                 F.size(w).cast("long").alias("n_words"),
                 bound(F.transform(w, lambda x: F.xxhash64(x)), repeated_run_words).cast("long").alias("n_repeat_words"),
-                F.size(F.filter(w, lambda x: F.array_contains(known, F.rtrim(F.lower(x), F.lit(".,;:!?"))))).cast("long").alias("n_stop_words"),
+                F.size(F.filter(w, lambda x: F.rtrim(F.lower(x), F.lit(".,;:!?")).isin(*known))).cast("long").alias("n_stop_words"),
             ),
         ),
         "of_lines": line_counts(text),
