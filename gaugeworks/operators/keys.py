@@ -7,27 +7,68 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+ERROR = 0.02  # relative standard error of the estimates
+SURE = 0.8  # a key's estimate is ten standard errors above this share of the rows
+SETS_AT_ONCE = 200
+
 
 def candidate_keys(df: DataFrame, max_width: int = 2) -> DataFrame:
     """Minimal column sets, up to a width, that are never null and never repeat.
 
-    One job per width counts the distinct values of all its sets exactly; sets
-    that hold a shorter key are left out.  The counts are combined within the
-    tasks first, and only they reach the driver, one number per set.
+    Level by level.  One pass estimates the distinct values of all open sets of
+    a width by sketches of fixed size; sets that hold a shorter key are left
+    out, and so is a set whose column counts multiply to fewer values than there
+    are rows.  Only sets whose estimate comes near the number of rows are
+    verified, by one more pass over ``grouping sets`` that counts hashes of
+    their values and, where hashes meet, the values themselves.
     """
     columns = df.columns
-    stats = df.agg(F.count("*").alias("n"), *[F.count(F.col(f"`{c}`")).alias(f"full:{c}") for c in columns]).first()
+    stats = df.agg(
+        F.count("*").alias("n"),
+        *[F.count(F.col(f"`{c}`")).alias(f"full:{i}") for i, c in enumerate(columns)],
+        *[F.approx_count_distinct(F.col(f"`{c}`"), ERROR).alias(f"some:{i}") for i, c in enumerate(columns)],
+    ).first()
     total = stats["n"]
-    usable = [c for c in columns if stats[f"full:{c}"] == total]
+    some = {c: stats[f"some:{i}"] for i, c in enumerate(columns)}
+    usable = [c for i, c in enumerate(columns) if stats[f"full:{i}"] == total]
     found: list[tuple[str, ...]] = []
     for width in range(1, max_width + 1):
-        sets = [s for s in combinations(usable, width) if not any(set(k) <= set(s) for k in found)]
-        if not sets or total == 0:
-            continue
-        # One row per set and value; groups are (set, value), so no task holds a whole set.
-        values = F.array(*[F.struct(F.lit(i).alias("set"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in s])).alias("value")) for i, s in enumerate(sets)])
-        repeated = df.select(F.explode(values).alias("x")).groupBy("x.set", "x.value").count().filter("count > 1").select("set").distinct()
-        broken = {r[0] for r in repeated.collect()}
-        found += [s for i, s in enumerate(sets) if i not in broken]
+        open_ = [s for s in combinations(usable, width) if not any(set(k) <= set(s) for k in found)]
+        near = []
+        for i in range(0, len(open_) if total else 0, SETS_AT_ONCE):
+            sets = [s for s in open_[i : i + SETS_AT_ONCE] if _product(some[c] for c in s) >= SURE * total]
+            near += _near(df, sets, total, some) if sets else []
+        found += _exact(df, near) if near else []
     rows = [(",".join(s), len(s)) for s in found]
     return df.sparkSession.createDataFrame(rows, "columns string, width int")
+
+
+def _product(values) -> float:
+    out = 1.0
+    for v in values:
+        out *= v
+    return out
+
+
+def _near(df: DataFrame, sets: list[tuple[str, ...]], total: int, some: dict[str, int]) -> list[tuple[str, ...]]:
+    """The sets that may have as many values as there are rows."""
+    wide = [s for s in sets if len(s) > 1]
+    counts = df.agg(*[F.approx_count_distinct(F.xxhash64(*[F.col(f"`{c}`") for c in s]), ERROR) for s in wide]).first() if wide else []
+    estimate = {(c,): n for c, n in some.items()} | dict(zip(wide, counts))
+    return [s for s in sets if estimate[s] >= SURE * total]
+
+
+def _exact(df: DataFrame, sets: list[tuple[str, ...]]) -> list[tuple[str, ...]]:
+    """The sets of which no combination of values occurs twice."""
+    out = []
+    for i in range(0, len(sets), 60):  # a grouping number has 64 bits
+        some = sets[i : i + 60]
+        hashed = df.select(*[F.xxhash64(*[F.col(f"`{c}`") for c in s]).alias(f"h{j}") for j, s in enumerate(some)])
+        names = [f"h{j}" for j in range(len(some))]
+        grouped = hashed.groupingSets([[F.col(n)] for n in names], *names).agg(F.count("*").alias("n"), F.grouping_id().alias("set"))
+        met = {r["set"] for r in grouped.filter("n > 1").select("set").distinct().collect()}
+        for j, s in enumerate(some):
+            mark = ((1 << len(some)) - 1) ^ (1 << (len(some) - 1 - j))
+            if mark not in met or df.groupBy(*[F.col(f"`{c}`") for c in s]).count().filter("count > 1").isEmpty():
+                out.append(s)
+    return out

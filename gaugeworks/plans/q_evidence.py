@@ -207,6 +207,26 @@ def _key_sql(table: str, columns: list[str]) -> str:
 _ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
+def _wide_key_sql(table: str, columns: list[str], width: int) -> str:
+    """Every column set up to a width, whether its values are never null and never repeat, and the minimal ones of these."""
+    sets = [s for n in range(1, width + 1) for s in combinations(columns, n)]
+    checks = " UNION ALL ".join(
+        f"SELECT '{','.join(s)}' AS columns, {len(s)} AS width, (SELECT count(*) FROM (SELECT DISTINCT {', '.join(s)} FROM {table} WHERE {' AND '.join(f'{c} IS NOT NULL' for c in s)}) q) = (SELECT count(*) FROM {table}) AS ok"
+        for s in sets
+    )
+    return f"""WITH checked AS ({checks})
+    SELECT columns, width FROM checked a WHERE ok AND NOT EXISTS (SELECT 1 FROM checked b WHERE b.ok AND b.width < a.width AND list_has_all(string_split(a.columns, ','), string_split(b.columns, ',')))"""
+
+
+_LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag"]
+
+
+@query("k01_wide_keys", _wide_key_sql("lineitem", _LINE_COLUMNS, 3))
+def wide_keys(t):
+    """Minimal keys of up to three columns of the line items."""
+    return Y.candidate_keys(t.lineitem.select(*_LINE_COLUMNS), 3)
+
+
 @query("k01_candidate_keys", _key_sql("orders", _ORDER_COLUMNS))
 def candidate_keys(t):
     return Y.candidate_keys(t.orders, 2)

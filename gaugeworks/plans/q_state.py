@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators import state as S
+from ..operators.store import KeyedTable
 from ..operators.relational import union_all
 from ..session import scratch_path
 from ..sources import readers as R
@@ -153,6 +154,23 @@ def snapshot_versions(t):
     return R.read_table(t.spark, policy.table)
 
 
+@query("a10_version_switch", "SELECT k, status, 'before' AS seen FROM fx_target UNION ALL SELECT k, status, 'after' FROM fx_source")
+def version_switch(t):
+    """A reader that began before the switch, and one that began after it."""
+    name, place = own_name("versions"), scratch_path(t.spark, "versions")
+    W.write_version(t.fx_target, name, place)
+    before = R.read_table(t.spark, name)
+    W.write_version(t.fx_source, name, place)
+    after = R.read_table(t.spark, name)
+    return before.select("k", "status", F.lit("before").alias("seen")).unionByName(after.select("k", "status", F.lit("after").alias("seen")))
+
+
+def _keyed(t) -> KeyedTable:
+    table = KeyedTable(t.spark, scratch_path(t.spark, "keyed"), ["k"], parts=8)
+    table.create(t.fx_target)
+    return table
+
+
 INSERT_ONLY = """
     SELECT k, grp, status, rows_cnt, note FROM fx_target
     UNION ALL SELECT k, grp, status, rows_cnt, note FROM fx_source WHERE k NOT IN (SELECT k FROM fx_target)"""
@@ -184,6 +202,25 @@ def merge_upsert(t):
     return S.merge_upsert(t.fx_target, t.fx_source, ["k"], change_columns=["status"])
 
 
+@query("a13_partwise_upsert", """
+    SELECT k, grp, status, rows_cnt, note FROM fx_target WHERE k NOT IN (SELECT k FROM fx_source WHERE k % 100 = 1)
+    UNION ALL SELECT k, grp, status, rows_cnt, note FROM fx_source WHERE k % 100 = 1""")
+def partwise_upsert(t):
+    """The stored table after the merge of a delta, read back."""
+    table = _keyed(t)
+    table.upsert(t.fx_source.filter("k % 100 = 1"))
+    return table.read()
+
+
+@query("a14_partwise_partial", """
+    SELECT coalesce(x.k, s.k) AS k, x.grp, CASE WHEN s.k IS NOT NULL THEN s.status ELSE x.status END AS status, x.rows_cnt, x.note
+    FROM fx_target x FULL OUTER JOIN (SELECT k, status FROM fx_source WHERE k % 50 = 3) s ON x.k = s.k""")
+def partwise_partial(t):
+    table = _keyed(t)
+    table.upsert_partial(t.fx_source.filter("k % 50 = 3").select("k", "status"))
+    return table.read()
+
+
 @query("a14_merge_partial", """
     SELECT coalesce(x.k, s.k) AS k, x.grp, CASE WHEN s.k IS NOT NULL THEN s.status ELSE x.status END AS status, x.rows_cnt, x.note,
            CASE WHEN x.k IS NULL THEN 'insert' WHEN s.k IS NOT NULL AND s.status IS DISTINCT FROM x.status THEN 'update' ELSE 'keep' END AS _action
@@ -209,6 +246,16 @@ def prune_stale(t):
     return S.prune_stale(t.fx_target, t.fx_source.filter("status <> 'P'"), ["status"], ["k"])
 
 
+@query("a16_partwise_prune", """
+    SELECT k, grp, status, rows_cnt, note FROM fx_target x
+    WHERE grp NOT IN (SELECT grp FROM fx_target WHERE k % 40 = 0) OR k % 40 = 0""")
+def partwise_prune(t):
+    """Rows whose key left one of the groups that a delta covers."""
+    table = _keyed(t)
+    table.prune(t.fx_target.filter("k % 40 = 0"), ["grp"])
+    return table.read()
+
+
 @query("a17_managed_schema", """
     SELECT CAST(o_orderkey AS STRING) AS o_orderkey, CAST(o_custkey AS STRING) AS o_custkey, CAST(NULL AS STRING) AS remark FROM orders""")
 def managed_schema(t):
@@ -270,6 +317,13 @@ def sync_update(t):
     return S.sync_table(t.fx_source, t.fx_target, ["k"], update_existing=True)
 
 
+@query("a19_partwise_sync", INSERT_ONLY)
+def partwise_sync(t):
+    table = _keyed(t)
+    table.sync(t.fx_source, update_existing=False)
+    return table.read()
+
+
 @query("a20_schema_check", """
     SELECT 'status' AS "column", 'source_only' AS side, CAST(2 AS BIGINT) AS n
     UNION ALL SELECT 'rows_cnt', 'order', 3 UNION ALL SELECT 'note', 'order', 4 UNION ALL SELECT 'extra', 'target_only', 4

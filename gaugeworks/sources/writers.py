@@ -100,6 +100,49 @@ def write_replace(df: DataFrame, table: str, path: str | None = None) -> None:
     (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
+def write_version(df: DataFrame, name: str, location: str) -> str:
+    """Replace what readers of ``name`` see in one step, and tell the folder of the new version.
+
+    The rows are written to a folder of their own below ``location``; when they
+    are complete, the catalog's view of that name is switched to them.  A reader
+    that began before the switch keeps reading the old folder, which stays until
+    ``drop_versions``; a failing write leaves the view as it was.  A table of
+    that name must not exist.
+    """
+    spark = df.sparkSession
+    if "." in name:
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name.rsplit('.', 1)[0]}")
+    folder = f"{location.rstrip('/')}/{sanitize_name(name)}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(folder)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{folder}`")
+    return folder
+
+
+def current_version(spark: SparkSession, name: str) -> str | None:
+    """The folder that readers of ``name`` are sent to; null before the first version."""
+    if not spark.catalog.tableExists(name):
+        return None
+    text = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'View Text'").first()
+    return text.data_type.split("`")[1] if text else None
+
+
+def drop_versions(spark: SparkSession, name: str, location: str) -> list[str]:
+    """Delete the folders of ``name`` below ``location`` that no reader is sent to any more; call it when no query runs."""
+    current = current_version(spark, name)
+    if current is None:
+        return []
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(location)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    kept, prefix, gone = current.rsplit("/", 1)[1], f"{sanitize_name(name)}-", []
+    for entry in files.listStatus(root):
+        folder = entry.getPath().getName()
+        if folder != kept and folder.startswith(prefix) and len(folder) == len(prefix) + 32:
+            files.delete(entry.getPath(), True)
+            gone.append(folder)
+    return sorted(gone)
+
+
 @dataclass(frozen=True)
 class WritePolicy:
     """How an output reaches the database: ``snapshot``, ``upsert`` or ``skip``."""
@@ -141,9 +184,10 @@ def write_table(df: DataFrame, policy: WritePolicy, location: str = "") -> None:
     """Write one output to its catalog table by its policy.
 
     ``upsert`` merges by key and keeps the columns and rows the frame lacks;
-    ``snapshot`` replaces all rows under the columns of both.  The new content
-    is staged in the shared folder first, so a failing query leaves the table
-    as it was.
+    ``snapshot`` replaces all rows under the columns of both.  With a location
+    the new content becomes a version that readers see in one step.  Without
+    one it is staged in the shared folder first, so a failing query leaves the
+    table as it was, but readers may meet it half replaced.
     """
     from ..operators.state import assert_primary_key, merge_partial, snapshot_replace
 
@@ -153,6 +197,9 @@ def write_table(df: DataFrame, policy: WritePolicy, location: str = "") -> None:
         new = assert_primary_key(rows, policy.keys) if old is None else merge_partial(old, rows, policy.keys).drop("_action")
     else:
         new = rows if old is None else snapshot_replace(rows, old)
+    if location and (old is None or current_version(spark, policy.table)):
+        write_version(new, policy.table, location)
+        return
     staged = materialize(new, "staged")
     path = f"{location.rstrip('/')}/{policy.table}-{uuid.uuid4().hex}" if location else None
     write_replace(staged, policy.table, path)
@@ -180,6 +227,8 @@ def write_output(df: DataFrame, name: str, targets: Sequence[Target], prefix: st
         elif target.kind == "jdbc":
             if policy.kind == "skip":
                 continue
+            if policy.kind == "upsert":
+                raise ValueError(f"{policy.table} is merged by key, which a JDBC target cannot do; stage the rows in another table and merge them in the database")
             normalize_for_sink(shared).write.format("jdbc").options(**(target.options | {"dbtable": policy.table, "truncate": "true"})).mode("overwrite").save()
             written["jdbc"] = policy.table
         else:

@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 
 from gaugeworks.operators import findings as O
 from gaugeworks.operators import state as S
+from gaugeworks.operators.store import KeyedTable
 from gaugeworks.session import scratch_path
 from gaugeworks.sources import readers as R
 from gaugeworks.sources import writers as W
@@ -160,3 +161,87 @@ def test_override_and_missing_columns(spark):
     assert rows(got, "dataset", "x", "y") == [("a", "old", "new"), (None, "q", "n")]
     added = O.enrich_missing(left.drop("y"), right, "dataset", ["ord"])
     assert rows(added, "dataset", "x", "y") == [("a", "old", "new"), (None, "n", None)]
+
+
+def test_versions_switch_in_one_step(spark, tmp_path):
+    name, place = f"v_{uuid.uuid4().hex}", str(tmp_path / "versions")
+    assert W.current_version(spark, name) is None and W.drop_versions(spark, name, place) == []
+    first = W.write_version(frame(spark, [(1, "x", "y")]), name, place)
+    before = spark.read.table(name)
+    failing = spark.range(3).select(F.when(F.col("id") == 2, F.raise_error(F.lit("broken")).cast("int")).otherwise(1).alias("k"))
+    with pytest.raises(Exception, match="broken"):
+        W.write_version(failing, name, place)
+    assert W.current_version(spark, name) == first and rows(spark.read.table(name), "k") == [(1,)]
+    second = W.write_version(spark.createDataFrame([(2, 5.0)], "k int, c double"), name, place)
+    assert rows(before, "k", "a", "b") == [(1, "x", "y")]  # whole, though read after the switch
+    after = spark.read.table(name)
+    assert after.columns == ["k", "c"] and rows(after, "k", "c") == [(2, 5.0)] and W.current_version(spark, name) == second
+    gone = W.drop_versions(spark, name, place)
+    assert first.rsplit("/", 1)[1] in gone and second.rsplit("/", 1)[1] not in gone and rows(spark.read.table(name), "k") == [(2,)]
+    spark.sql(f"DROP VIEW {name}")
+
+
+def test_snapshot_with_a_location_is_a_version(spark, tmp_path):
+    policy = W.WritePolicy("snapshot", f"s_{uuid.uuid4().hex}")
+    W.write_table(frame(spark, [(1, "x", "y")]), policy, str(tmp_path))
+    reader = spark.read.table(policy.table)
+    W.write_table(spark.createDataFrame([(2, True)], "k int, extra boolean"), policy, str(tmp_path))
+    assert rows(reader, "k", "a") == [(1, "x")]
+    assert rows(spark.read.table(policy.table), "k", "a", "b", "extra") == [(2, None, None, True)]
+    merged = W.WritePolicy("upsert", policy.table, ("k",))
+    W.write_table(spark.createDataFrame([(2, "new"), (3, "n")], "k int, a string"), merged, str(tmp_path))
+    assert rows(spark.read.table(policy.table), "k", "a", "extra") == [(2, "new", True), (3, "n", None)]
+    spark.sql(f"DROP VIEW {policy.table}")
+
+
+def test_database_target_never_loses_rows_by_upsert(spark):
+    with pytest.raises(ValueError, match="merged by key"):
+        W.write_output(frame(spark, [(1, "x", "y")]), "business_unit_mapping", [W.Target("jdbc", options={"url": "jdbc:none:"})], "p_")
+
+
+def files_of(path):
+    return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+
+def changed_parts(before, after):
+    return {int(f.split("=")[1].split("/")[0]) for f, _ in set(before.items()) ^ set(after.items())}
+
+
+def test_merges_rewrite_only_what_changes(spark, tmp_path):
+    path = tmp_path / "keyed"
+    table = KeyedTable(spark, str(path), ["k"], parts=16)
+    table.create(spark.range(400).select(F.col("id").cast("int").alias("k"), F.lit("x").alias("a"), (F.col("id") % 5).cast("string").alias("b")))
+    before = files_of(path)
+    assert table.upsert(frame(spark, [(7, "x", "2"), (8, "x", "3")])) == [] and files_of(path) == before  # nothing differs
+    touched = table.upsert(frame(spark, [(7, "new", "2"), (8, "x", "3"), (1000, "in", None)]))
+    after = files_of(path)
+    assert changed_parts(before, after) == set(touched) == set(table.parts_of(frame(spark, [(7, "", ""), (1000, "", "")])))
+    assert len(touched) <= 2 and rows(table.read().filter("k in (7, 8, 1000)"), "k", "a", "b") == [(1000, "in", None), (7, "new", "2"), (8, "x", "3")]
+    assert table.read().count() == 401
+    plan = table.read([3, 5])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [key_part" in plan.replace("isnotnull(key_part", "key_part").replace("[key_part#", "[key_part") or "key_part" in plan.split("PartitionFilters")[1][:80]
+    assert table.insert_only(frame(spark, [(7, "no", "no"), (None, "n", "n")]), ["a"]) and table.insert_only(frame(spark, [(7, "no", "no"), (None, "m", "m")]), ["a"]) == []
+    assert table.read().count() == 402 and rows(table.read().filter("k is null"), "a") == [("n",)]
+    with pytest.raises(Exception, match="twice"):
+        table.upsert(frame(spark, [(1, "x", "a"), (1, "y", "b")]))
+    with pytest.raises(Exception, match="null"):
+        table.upsert(frame(spark, [(None, "x", "a")]))
+
+
+def test_prune_and_partial_by_parts(spark, tmp_path):
+    path = tmp_path / "keyed"
+    table = KeyedTable(spark, str(path), ["k"], parts=8)
+    data = [(i, "g" if i < 4 else "h", "kept") for i in range(40)]
+    table.create(frame(spark, data))
+    before = files_of(path)
+    source = frame(spark, [(0, "g", ""), (2, "g", "")])
+    touched = table.prune(source, ["a"])
+    assert changed_parts(before, files_of(path)) == set(touched) == set(table.parts_of(frame(spark, [(1, "", ""), (3, "", "")])))
+    assert rows(table.read(), "k", "a", "b") == sorted(((i, a, b) for i, a, b in data if i not in (1, 3)), key=str)
+    assert table.prune(source, ["a"]) == []
+    table.upsert_partial(spark.createDataFrame([(5, "z"), (99, "n")], "k int, a string"))
+    assert rows(table.read().filter("k in (5, 99)"), "k", "a", "b") == [(5, "z", "kept"), (99, "n", None)]
+    one = KeyedTable(spark, str(tmp_path / "one"), ["k"], parts=4)
+    one.create(frame(spark, [(1, "g", "x")]))
+    one.prune(frame(spark, [(2, "g", "")]), ["a"])
+    assert one.read().count() == 0 and one.upsert(frame(spark, [(1, "g", "y")])) and rows(one.read(), "k", "b") == [(1, "y")]
