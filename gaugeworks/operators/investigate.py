@@ -34,31 +34,57 @@ def breaking_keys(findings: DataFrame, run_col: str) -> DataFrame:
     return findings.filter(F.lower("status") == "breaking").select("dataset", run_col, "key").distinct()
 
 
-def persistence(breaks: DataFrame, runs: DataFrame, keys_by_run: DataFrame, run_col: str, run_order: Sequence[Column], min_runs: int = PERSIST_RUNS) -> DataFrame:
+BITS = 62  # runs that one number of a set holds
+
+
+def run_lists(runs: DataFrame, run_col: str, run_order: Sequence[Column]) -> DataFrame:
+    """The checked runs of each dataset in order: dataset, ``__runs``."""
+    numbered = runs.withColumn("__n", F.row_number().over(Window.partitionBy("dataset").orderBy(*run_order)))
+    entry = F.struct(F.col("__n").alias("n"), F.col(run_col).alias("run"))
+    return numbered.groupBy("dataset").agg(F.transform(F.sort_array(F.collect_list(entry)), lambda x: x["run"]).alias("__runs"))
+
+
+def persistence(
+    breaks: DataFrame, runs: DataFrame, keys_by_run: DataFrame, run_col: str, run_order: Sequence[Column], min_runs: int = PERSIST_RUNS, most_runs: int | None = None
+) -> DataFrame:
     """In how many of a dataset's checked runs each break's key breaks, and in which.
 
     ``runs`` holds the few checked runs of each dataset, so the lists are as
-    short as that; ``breaks`` carries ``break_key``.
+    short as that; ``breaks`` carries ``break_key``.  Each run of a dataset is
+    one bit; the runs in which a key breaks are one bitwise sum, so a key may
+    come any number of times per run.  Without ``most_runs``, the most runs of
+    any dataset, they are counted first.
     """
-    def listed(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-        numbered = df.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*run_order)))
-        entry = F.struct(F.col("__n").alias("n"), F.col(run_col).cast("string").alias("t"))
-        return numbered.groupBy(*keys).agg(F.array_join(F.transform(F.sort_array(F.collect_list(entry)), lambda x: x["t"]), ", ").alias(name))
-
-    hits = keys_by_run.join(runs, ["dataset", run_col]).withColumnRenamed("key", "break_key")
-    counts = hits.groupBy("dataset", "break_key").agg(F.count("*").cast("int").alias("__n"))
-    joined = breaks.join(counts, ["dataset", "break_key"], "left")
-    joined = joined.join(listed(hits, ["dataset", "break_key"], "persist_runs"), ["dataset", "break_key"], "left")
-    joined = joined.join(listed(runs, ["dataset"], "checked_runs"), "dataset", "left")
-    count = F.coalesce("__n", F.lit(0))
+    lists = run_lists(runs, run_col, run_order)
+    most = most_runs or lists.agg(F.max(F.size("__runs"))).first()[0] or 1
+    words = list(range(-(-most // BITS)))
+    one = F.lit(1).cast("bigint")
+    hits = keys_by_run.join(lists, "dataset").withColumn("__at", (F.array_position("__runs", F.col(run_col)) - 1).cast("int")).filter("__at >= 0")
+    bits = [F.bit_or(F.when(F.floor(F.col("__at") / BITS) == w, F.call_function("shiftleft", one, F.col("__at") % BITS))).alias(f"__w{w}") for w in words]
+    sets = hits.groupBy("dataset", F.col("key").alias("break_key")).agg(*bits)
+    joined = breaks.join(sets, ["dataset", "break_key"], "left").join(lists, "dataset", "left")
+
+    def held(w: int) -> Column:
+        return F.coalesce(f"__w{w}", F.lit(0).cast("bigint"))
+
+    def broke(run: Column, i: Column) -> Column:
+        found = F.lit(False)
+        for w in words:
+            found = F.when(F.floor(i / BITS) == w, F.call_function("shiftright", held(w), i - w * BITS).bitwiseAND(one) == 1).otherwise(found)
+        return found
+
+    def listed(names: Column) -> Column:
+        return F.coalesce(F.array_join(F.transform(names, lambda x: x.cast("string")), ", "), F.lit(""))
+
+    count = sum((F.bit_count(held(w)) for w in words[1:]), F.bit_count(held(0)))
     return joined.withColumns(
         {
             "persist_cnt": count,
             "persist_ok": count >= min_runs,
-            "persist_runs": F.coalesce("persist_runs", F.lit("")),
-            "checked_runs": F.coalesce("checked_runs", F.lit("")),
+            "persist_runs": listed(F.filter("__runs", broke)),
+            "checked_runs": listed(F.col("__runs")),
         }
-    ).drop("__n")
+    ).drop("__runs", *[f"__w{w}" for w in words])
 
 
 def any_in_group(df: DataFrame, keys: Sequence[str], flag: str, out: str, source: DataFrame | None = None) -> DataFrame:

@@ -121,7 +121,7 @@ def investigated(t) -> DataFrame:
     seen = materialize(t.fx_seen.filter("status = 'Breaking'"), "breaks")
     breaks = V.parse_assignment(seen, "assignmentId").withColumn("run_key", K.run_key("run_date"))
     runs = H.newest_runs(t.fx_run, 3, "dataset", "run_date", "run_id").select("dataset", "run_id", "run_date")
-    df = V.persistence(breaks, runs, V.breaking_keys(seen, "run_id"), "run_id", [F.desc("run_date"), F.desc("run_id")])
+    df = V.persistence(breaks, runs, seen.select("dataset", "run_id", "key"), "run_id", [F.desc("run_date"), F.desc("run_id")], most_runs=3)
     df = V.any_in_group(df, ["dataset", "runId"], "is_row_count", "has_row_count_break", breaks)
     return V.heuristics(V.row_change(df, _row_history(t), ["run_id", "seq", "seq2", "value"], breaks))
 
