@@ -41,14 +41,14 @@ LEAST = 10
 MOST_WORDS = 3
 TOP = 2000
 PERCENT = 50
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 FEWEST_BUCKETS = 1 << 18
 MOST_BUCKETS = 1 << 28
 RANGE_BITS = 16
-BLOCK = 250_000
-AT_ONCE = 4  # tries per pass
+BLOCK = 450_000
+AT_ONCE = 2  # tries per pass
 HELD = 1 << 20  # buckets a task holds before it sends them
-SEEN = 2 << 20  # hashes of phrases a task remembers to have sent
+SEEN = 1 << 20  # hashes of phrases a task remembers to have sent
 SALTS = 64
 
 BREAK = np.zeros(256, bool)
