@@ -175,7 +175,10 @@ def title_vectors(candidates: DataFrame, tickets: DataFrame) -> DataFrame:
         wanted.withColumns({"side": F.lit("c"), "copies": F.lit(0).cast("bigint"), "ord": F.lit(None).cast(titles.schema["ord"].dataType)})
     )
     both = materialize(both.withColumns({"id": F.monotonically_increasing_id(), "ds": F.xxhash64("dataset")}), "distinct-titles")
-    terms = title_terms(both.repartition("id"), ["id", "ds", "side", "copies"])
+    # One text is the title of many datasets: it is cut into terms once.
+    texts = title_terms(both.select("title").distinct(), ["title"]).groupBy("title").agg(F.collect_list(F.struct("space", "term", "tf")).alias("terms"))
+    held = both.join(texts, "title").select("id", "ds", "side", "copies", F.explode("terms").alias("t"))
+    terms = held.select("id", "ds", "side", "copies", "t.space", "t.term", "t.tf")
     total = both.filter("side = 't'").groupBy("ds").agg(F.sum("copies").alias("n"))
     frequency = terms.filter("side = 't'").groupBy("ds", "term").agg(F.sum("copies").alias("df"))
     idf = frequency.join(total, "ds").select("ds", "term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
