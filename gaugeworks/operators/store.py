@@ -36,7 +36,10 @@ class KeyedTable:
         dealt.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(self.path)
 
     def create(self, df: DataFrame) -> None:
-        self._write(df.withColumn(PART, self.part()), "errorifexists")
+        if df.isEmpty():  # a file without rows keeps the columns
+            df.limit(0).write.mode("errorifexists").parquet(f"{self.path}/{PART}=0")
+        else:
+            self._write(df.withColumn(PART, self.part()), "errorifexists")
 
     def read(self, parts: Sequence[int] | None = None) -> DataFrame:
         """The rows, of the given parts only if any are given."""
@@ -90,3 +93,65 @@ class KeyedTable:
         gone = before.join(after.withColumnRenamed("n", "left"), PART, "left").filter("n > coalesce(left, 0)")
         changed = sorted(r[0] for r in gone.select(PART).collect())
         return self._replace(prune_stale(self.read(changed), source, group_columns, self.keys), changed) if changed else []
+
+    def merge_latest(self, delta: DataFrame, order_by: Sequence[str]) -> list[int]:
+        """Keep the newest row of each key: the greatest in ``order_by``, nulls lowest; of equals the stored one, then any.
+
+        The table is the state of all earlier deltas, so a run reads its own
+        delta and the parts it touches and never the history.
+        """
+        order = F.struct(*[F.col(f"`{c}`") for c in order_by])
+        columns = self.read().columns
+        whole = F.struct(*[F.col(f"`{c}`") for c in columns])
+        newest = delta.groupBy(*self.keys).agg(F.max_by(whole, order).alias("row")).select("row.*")
+        held = self.read(self.parts_of(newest)).withColumn("__age", F.lit(0))
+        both = held.unionByName(newest.withColumn("__age", F.lit(1)))
+        rank = F.struct(order.alias("at"), (-F.col("__age")).alias("stored"))
+        merged = both.groupBy(*self.keys).agg(F.max_by(F.struct(whole.alias("row"), F.col("__age").alias("age")), rank).alias("m"))
+        action = F.when(F.col("m.age") == 1, "update").otherwise("keep").alias("_action")
+        return self._merged(merged.select("m.row.*", action))
+
+    def checksums(self, columns: Sequence[str], parts: Sequence[int] | None = None, fan: int = 1) -> DataFrame:
+        """Per part, and ``fan`` places within it by key, the number of rows and two sums of row hashes that no order changes."""
+        rows = self.spark.read.parquet(self.path)
+        rows = rows if parts is None else rows.filter(F.col(PART).isin(list(parts)))
+        row = F.xxhash64(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\u0000")) for c in columns])
+        place = F.pmod(F.xxhash64(F.lit(1), *[F.col(f"`{k}`") for k in self.keys]), F.lit(fan)).cast("int")
+        hashed = rows.select(F.col(PART).alias("part"), place.alias("place"), row.alias("h"))
+        return hashed.groupBy("part", "place").agg(
+            F.count("*").alias("n"), F.bit_xor("h").alias("bits"), F.sum(F.pmod("h", F.lit(1 << 31))).alias("total")
+        )
+
+
+def differing_keys(a: KeyedTable, b: KeyedTable, fan: int = 64) -> DataFrame:
+    """Keys whose rows differ between two tables dealt alike, with ``state``: only_a, only_b or changed.
+
+    Checksums are compared from the top: only parts with different sums are
+    read again, place by place, and only rows of different places are compared.
+    At most ``parts * fan`` numbers reach the driver.
+    """
+    if (a.keys, a.parts) != (b.keys, b.parts):
+        raise ValueError("both tables need the same keys and parts")
+    columns = a.read().columns
+    if sorted(columns) != sorted(b.read().columns):
+        raise ValueError("both tables need the same columns")
+
+    def differing(parts: Sequence[int] | None, fan: int) -> list[tuple[int, int]]:
+        sums = [t.checksums(columns, parts, fan) for t in (a, b)]
+        other = sums[1].select(F.col("part").alias("p"), F.col("place").alias("q"), F.struct("n", "bits", "total").alias("theirs"))
+        joined = sums[0].withColumn("ours", F.struct("n", "bits", "total")).join(other, (F.col("part") == F.col("p")) & (F.col("place") == F.col("q")), "full")
+        open_ = joined.filter(~F.col("ours").eqNullSafe(F.col("theirs")))
+        return [tuple(r) for r in open_.select(F.coalesce("part", "p"), F.coalesce("place", "q")).collect()]
+
+    parts = sorted({p for p, _ in differing(None, 1)})
+    places = differing(parts, fan) if parts else []
+    found = {p * fan + q for p, q in places}
+
+    def rows(t: KeyedTable, name: str) -> DataFrame:
+        place = F.pmod(F.xxhash64(F.lit(1), *[F.col(f"`{k}`") for k in t.keys]), F.lit(fan))
+        held = t.read(sorted({p for p, _ in places})).filter((t.part() * fan + place).isin(sorted(found)) if found else F.lit(False))
+        return held.select(F.struct(*[F.col(f"`{k}`") for k in t.keys]).alias(f"{name}_key"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias(name))
+
+    joined = rows(a, "a").join(rows(b, "b"), F.col("a_key").eqNullSafe(F.col("b_key")), "full").filter(~F.col("a").eqNullSafe(F.col("b")))
+    state = F.when(F.col("b").isNull(), "only_a").when(F.col("a").isNull(), "only_b").otherwise("changed")
+    return joined.select(F.coalesce("a_key", "b_key").alias("key"), state.alias("state")).select("key.*", "state")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators import state as S
-from ..operators.store import KeyedTable
+from ..operators.store import KeyedTable, differing_keys
 from ..operators.relational import union_all
 from ..session import scratch_path
 from ..sources import readers as R
@@ -360,3 +360,44 @@ def flatten_struct(t):
         F.col("o_custkey").alias("owner"),
     )
     return W.flatten_struct(t.orders.select(F.col("o_orderkey").alias("key"), fields.alias("fields")))
+
+
+@query("a05_quarantine", """
+    SELECT 'good' AS kind, o_orderkey AS k, CAST(o_custkey AS VARCHAR) AS detail FROM orders WHERE o_custkey % 10 > 2
+    UNION ALL SELECT 'bad', NULL, CASE o_custkey % 10 WHEN 0 THEN concat(o_orderkey, ',', o_custkey) WHEN 1 THEN concat('x', o_orderkey, ',', o_custkey, ',', o_orderstatus)
+      ELSE concat(o_orderkey, ',', o_custkey, ',', o_orderstatus, ',more') END FROM orders WHERE o_custkey % 10 <= 2""")
+def quarantine(t):
+    """Lines that are short, mistyped or long beside the good rows; nothing vanishes."""
+    path = scratch_path(t.spark, "mixed-lines")
+    line = F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderstatus")
+    short = F.concat_ws(",", "o_orderkey", "o_custkey")
+    kind = F.col("o_custkey") % 10
+    lines = F.when(kind == 0, short).when(kind == 1, F.concat(F.lit("x"), line)).when(kind == 2, F.concat(line, F.lit(",more"))).otherwise(line)
+    t.orders.select(lines.alias("value")).write.text(path)
+    good, bad = R.read_csv_checked(t.spark, path, StructType.fromDDL("k bigint, c bigint, s string"), header=False)
+    return good.select(F.lit("good").alias("kind"), "k", F.col("c").cast("string").alias("detail")).unionByName(
+        bad.select(F.lit("bad").alias("kind"), F.lit(None).cast("bigint").alias("k"), F.col("line").alias("detail"))
+    )
+
+
+@query("a21_content_diff", """
+    SELECT coalesce(a.k, b.k) AS k, CASE WHEN b.k IS NULL THEN 'only_a' WHEN a.k IS NULL THEN 'only_b' ELSE 'changed' END AS state
+    FROM fx_target a FULL JOIN (SELECT CASE WHEN k % 500 = 2 THEN -k ELSE k END AS k, grp, CASE WHEN k % 300 = 1 THEN NULL ELSE status END AS status, rows_cnt, note FROM fx_target WHERE k % 400 <> 3) b ON a.k = b.k
+    WHERE a.k IS NULL OR b.k IS NULL OR a.status IS DISTINCT FROM b.status""")
+def content_diff(t):
+    """The keys in which a changed copy of a table differs."""
+    copy = t.fx_target.filter("k % 400 <> 3").withColumns({"k": F.when(F.col("k") % 500 == 2, -F.col("k")).otherwise(F.col("k")), "status": F.when(F.col("k") % 300 == 1, F.lit(None)).otherwise(F.col("status"))})
+    other = KeyedTable(t.spark, scratch_path(t.spark, "keyed"), ["k"], parts=8)
+    other.create(copy)
+    return differing_keys(_keyed(t), other)
+
+
+@query("e02_latest_by_delta", """
+    SELECT dataset, run_id, run_date, row_cnt, status FROM (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY run_date DESC, run_id DESC) AS rn FROM fx_run) q WHERE rn = 1""")
+def latest_by_delta(t):
+    """The newest run of each dataset, kept from three deltas that come out of order."""
+    table = KeyedTable(t.spark, scratch_path(t.spark, "latest"), ["dataset"], parts=8)
+    table.create(t.fx_run.limit(0))
+    for part in (2, 0, 1):
+        table.merge_latest(t.fx_run.filter(F.col("run_id") % 3 == part), ["run_date", "run_id"])
+    return table.read()

@@ -8,7 +8,9 @@ from dataclasses import dataclass, field
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from ..session import materialize
 
 MISSING = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "SCHEMA_NOT_FOUND")
 
@@ -23,9 +25,31 @@ class Source:
     schema: StructType | None = None
 
 
+CSV_OPTIONS = {"header": True, "escape": '"', "nullValue": "\\N", "multiLine": False}
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Rows written by ``write_csv``: one line each, so that files can be split; line breaks in texts come back."""
-    rows = spark.read.schema(schema).option("header", True).option("escape", '"').option("nullValue", "\\N").option("multiLine", False).csv(path)
+    return _texts_back(spark.read.schema(schema).options(**CSV_OPTIONS).csv(path), schema)
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: StructType, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(good rows, quarantined lines with their file): lines that are too short, too long or hold a value of another type.
+
+    The files are parsed once and written to the shared folder; every line is
+    in one of the two tables.
+    """
+    line = "__line"
+    marked = StructType([*schema.fields, StructField(line, StringType())])
+    rows = spark.read.schema(marked).options(**(CSV_OPTIONS | {"header": header}), mode="PERMISSIVE", columnNameOfCorruptRecord=line).csv(path)
+    parsed = materialize(rows.withColumn("__file", F.col("_metadata.file_path")), "checked-csv")
+    good = parsed.filter(F.col(line).isNull()).select(*[F.col(f"`{f.name}`") for f in schema.fields])
+    bad = parsed.filter(F.col(line).isNotNull()).select(F.col("__file").alias("file"), F.col(line).alias("line"))
+    return _texts_back(good, schema), bad
+
+
+def _texts_back(rows: DataFrame, schema: StructType) -> DataFrame:
+    """Escapes of ``write_csv`` in text columns as the characters they stand for."""
 
     def restored(name: str) -> Column:
         parts = F.transform(F.split(F.col(f"`{name}`"), r"\\\\", -1), lambda x: F.replace(F.replace(x, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))

@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 
 from gaugeworks.operators import findings as O
 from gaugeworks.operators import state as S
-from gaugeworks.operators.store import KeyedTable
+from gaugeworks.operators.store import KeyedTable, differing_keys
 from gaugeworks.session import scratch_path
 from gaugeworks.sources import readers as R
 from gaugeworks.sources import writers as W
@@ -245,3 +245,47 @@ def test_prune_and_partial_by_parts(spark, tmp_path):
     one.create(frame(spark, [(1, "g", "x")]))
     one.prune(frame(spark, [(2, "g", "")]), ["a"])
     assert one.read().count() == 0 and one.upsert(frame(spark, [(1, "g", "y")])) and rows(one.read(), "k", "b") == [(1, "y")]
+
+
+def test_malformed_lines_are_kept_apart(spark, tmp_path):
+    (tmp_path / "f.csv").write_text('k,a,n\n1,"x, y",1.5\n2,short\nthree,z,1\n4,long,2.5,more\n5,\\N,\\N\n6,"a\\\\nb",oops\n7,"a\\nb",3\n')
+    good, bad = R.read_csv_checked(spark, str(tmp_path / "f.csv"), StructType.fromDDL("k int, a string, n double"))
+    assert rows(good, "k", "a", "n") == sorted([(1, "x, y", 1.5), (5, None, None), (7, "a\nb", 3.0)], key=str)
+    lines = [r.line for r in bad.collect()]
+    assert sorted(x.split(",")[0] for x in lines) == ["2", "4", "6", "three"] and bad.filter("file like '%f.csv'").count() == 4
+    empty, none = R.read_csv_checked(spark, str(tmp_path / "f.csv"), StructType.fromDDL("k string, a string, n string, m string"))
+    assert empty.count() + none.count() == 7
+
+
+def test_differing_keys_read_only_differing_parts(spark, tmp_path):
+    tables = []
+    data = [(i, "x" if i % 3 else None, str(i)) for i in range(500)]
+    other = [(i, "changed" if i == 17 else a, b) for i, a, b in data if i != 40] + [(900, "new", None)]
+    for name, held in (("a", data), ("b", other), ("c", data)):
+        table = KeyedTable(spark, str(tmp_path / name), ["k"], parts=16)
+        table.create(frame(spark, held))
+        tables.append(table)
+    a, b, c = tables
+    assert rows(differing_keys(a, b), "k", "state") == sorted([(17, "changed"), (40, "only_a"), (900, "only_b")], key=str)
+    assert differing_keys(a, c).collect() == []
+    parts = set(a.parts_of(frame(spark, [(17, "", ""), (40, "", ""), (900, "", "")])))
+    for part in set(range(16)) - parts:  # equal parts are not read below the first level: without them the rows still compare
+        assert a.checksums(["k", "a", "b"], [part]).collect() == b.checksums(["k", "a", "b"], [part]).collect()
+    with pytest.raises(ValueError):
+        differing_keys(a, KeyedTable(spark, str(tmp_path / "b"), ["k"], parts=8))
+
+
+def test_latest_rows_by_delta_equal_a_full_computation(spark, tmp_path):
+    path = tmp_path / "latest"
+    table = KeyedTable(spark, str(path), ["k"], parts=8)
+    first = [(i, f"2024-01-{i % 28 + 1:02d}", "v1") for i in range(60)]
+    table.create(frame(spark, first))
+    before = files_of(path)
+    assert table.merge_latest(frame(spark, [(3, "2023-01-01", "older"), (4, None, "null"), (5, "2024-01-06", "equal")]), ["a"]) == [] and files_of(path) == before
+    delta = [(3, "2024-02-01", "v2"), (3, "2024-02-03", "v3"), (70, "2024-01-01", "v1")]
+    touched = table.merge_latest(frame(spark, delta), ["a"])
+    assert changed_parts(before, files_of(path)) == set(touched) == set(table.parts_of(frame(spark, delta)))
+    newest = {}
+    for k, a, b in first + delta:
+        newest[k] = max(newest.get(k, ("", "")), (a, b))
+    assert rows(table.read(), "k", "a", "b") == sorted(((k, *v) for k, v in newest.items()), key=str)
