@@ -159,14 +159,16 @@ def _unit(terms: Column, space: str, norm: Column) -> Column:
     return F.transform(own, lambda x: F.struct(x["term"].alias("term"), (x["w"] / norm).alias("w")))
 
 
-def title_vectors(candidates: DataFrame, tickets: DataFrame) -> DataFrame:
+def title_vectors(candidates: DataFrame, tickets: DataFrame, limit: float) -> DataFrame:
     """Both sides as one table of distinct titles with their TF-IDF vectors.
 
-    Columns: id, dataset, title, side (c or t), ord, char and word (arrays of
-    term and weight).  The frequencies come from the ticket titles alone, copies
-    included; terms no ticket title has are dropped.  A vector holds the terms
-    of one title, so the lists stay as short as titles.  Terms travel with
-    numbers in place of titles and datasets.
+    Columns: id, ds (a hash of the dataset), dataset, title, side (c or t), ord,
+    keys (the leading terms of both spaces for cosines of ``limit`` or more), and
+    terms and weights as two arrays, the ``n_char`` of the characters first.  The
+    frequencies come from the ticket titles alone, copies included; terms no
+    ticket title has are dropped.  A vector holds the terms of one title, so the
+    lists stay as short as titles.  Terms travel with numbers in place of titles
+    and datasets.
     """
     titles = tickets.filter(squeeze("title") != "").groupBy("dataset", "title").agg(F.count("*").alias("copies"), F.min("ord").alias("ord"))
     wanted = candidates.select("dataset", "title").filter(F.col("title").isNotNull()).distinct()
@@ -190,11 +192,13 @@ def title_vectors(candidates: DataFrame, tickets: DataFrame) -> DataFrame:
         return F.sqrt(F.sum(F.when(F.col("space") == space, F.col("w") * F.col("w"))))
 
     lists = weighed.groupBy("id").agg(F.sort_array(F.collect_list(entry)).alias("terms"), norm_of("c").alias("char_norm"), norm_of("w").alias("word_norm"))
-    return lists.join(both.select("id", "dataset", "ds", "title", "side", "ord"), "id").select(
-        "id", "ds", "dataset", "title", "side", "ord",
-        _unit(F.col("terms"), "c", F.col("char_norm")).alias("char"),
-        _unit(F.col("terms"), "w", F.col("word_norm")).alias("word"),
-    )
+    units = lists.select("id", _unit(F.col("terms"), "c", F.col("char_norm")).alias("char"), _unit(F.col("terms"), "w", F.col("word_norm")).alias("word"))
+    every = F.concat("char", "word")
+    flat = units.select(
+        "id", F.concat(_prefix(F.col("char"), limit), _prefix(F.col("word"), limit)).alias("keys"), F.size("char").alias("n_char"),
+        F.transform(every, lambda x: x["term"]).alias("terms"), F.transform(every, lambda x: x["w"]).alias("weights"),
+    )
+    return flat.join(both.select("id", "dataset", "ds", "title", "side", "ord"), "id")
 
 
 def _prefix(vec: Column, bound: float) -> Column:
@@ -214,10 +218,18 @@ def _prefix(vec: Column, bound: float) -> Column:
     return F.transform(F.slice(vec, 1, F.size(vec) - light), lambda x: x["term"])
 
 
-def _dot(a: Column, b: Column) -> Column:
-    """Product of a vector and a vector held as a map."""
-    products = F.transform(a, lambda x: x["w"] * F.coalesce(F.try_element_at(b, x["term"]), F.lit(0.0)))
-    return F.aggregate(products, F.lit(0.0), lambda s, x: s + x)
+def _cosines() -> Column:
+    """The weighted sum of both cosines of a pair's vectors."""
+    products = F.zip_with("c_terms", "c_weights", lambda term, w: w * F.coalesce(F.try_element_at("t_map", term), F.lit(0.0)))
+
+    def total(of: Column) -> Column:
+        return F.aggregate(of, F.lit(0.0), lambda s, x: s + x)
+
+    def blended(p: Column) -> Column:
+        char, word = F.slice(p, F.lit(1), F.col("n_char")), F.slice(p, F.col("n_char") + 1, F.size(p))
+        return WEIGHTS["char"] * total(char) + WEIGHTS["word"] * total(word)
+
+    return bound(products, blended)
 
 
 def _best_overlap(pairs: DataFrame, titles: DataFrame) -> DataFrame:
@@ -251,25 +263,22 @@ def match_titles(candidates: DataFrame, tickets: DataFrame, threshold: float = 0
     limit = (threshold - WEIGHTS["tokens"] - WEIGHTS["columns"]) / (WEIGHTS["char"] + WEIGHTS["word"])
     if limit <= 0:
         raise ValueError("threshold must exceed 0.3 so that a shared term is required")
-    vectors = materialize(title_vectors(candidates, tickets), "titles")
+    vectors = materialize(title_vectors(candidates, tickets, limit), "titles")
 
     def side(name: str) -> DataFrame:
         return vectors.filter(F.col("side") == name)
 
     def keyed(name: str) -> DataFrame:
-        leading = F.concat(_prefix(F.col("char"), limit), _prefix(F.col("word"), limit))
-        return side(name).select("ds", F.col("id").alias(f"{name}_id"), F.explode(leading).alias("key"))
+        return side(name).select("ds", F.col("id").alias(f"{name}_id"), F.explode("keys").alias("key"))
 
-    left = side("c").select(F.col("id").alias("c_id"), "dataset", F.col("title").alias("c"), F.col("char").alias("c_char"), F.col("word").alias("c_word"))
-    right = side("t").select(
-        F.col("id").alias("t_id"), F.col("title").alias("t"), "ord", F.map_from_entries("char").alias("t_char"), F.map_from_entries("word").alias("t_word")
-    )
+    left = side("c").select(F.col("id").alias("c_id"), F.col("terms").alias("c_terms"), F.col("weights").alias("c_weights"), "n_char")
+    right = side("t").select(F.col("id").alias("t_id"), F.map_from_arrays("terms", "weights").alias("t_map"))
     pairs = keyed("c").join(keyed("t"), ["ds", "key"]).select("c_id", "t_id").distinct()
-    scored = pairs.join(left, "c_id").join(right, "t_id").select(
-        "dataset", "c_id", "t_id", "c", "t", "ord",
-        (WEIGHTS["char"] * _dot(F.col("c_char"), F.col("t_char")) + WEIGHTS["word"] * _dot(F.col("c_word"), F.col("t_word"))).alias("cosines"),
-    )
-    near = scored.filter(F.col("cosines") + WEIGHTS["tokens"] + WEIGHTS["columns"] >= threshold - 1e-9).withColumns(
+    scored = pairs.join(left, "c_id").join(right, "t_id").select("c_id", "t_id", _cosines().alias("cosines"))
+    close = scored.filter(F.col("cosines") + WEIGHTS["tokens"] + WEIGHTS["columns"] >= threshold - 1e-9)
+    named = close.join(side("c").select(F.col("id").alias("c_id"), "dataset", F.col("title").alias("c")), "c_id")
+    named = named.join(side("t").select(F.col("id").alias("t_id"), F.col("title").alias("t"), "ord"), "t_id")
+    near = named.withColumns(
         {
             "parts": token_parts(title_words(F.col("c")), title_words(F.col("t"))),
             "c_cols": F.array_sort(column_tokens(F.col("c"))),
