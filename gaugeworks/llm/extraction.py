@@ -3,7 +3,9 @@
 Method.  A page is cut into leaf blocks: stretches of text between block-level
 tags, each with the tags and class words of its ancestors.  The features of a
 block are its ancestor tags, their class words and its text (length, share of
-link text, end mark, figures).  Weights of features and of label changes are
+link text, end mark, figures).  An ancestor that holds most of the page's text
+counts apart, since a wrapper named for the layout, or a form around a whole
+page, is no side matter; names of ``html`` and ``body`` count nothing.  Weights of features and of label changes are
 fitted to labelled pages by maximum likelihood; a page's labels are the best
 path by Viterbi.  The blocks labelled as main text are joined in page order.
 
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -52,17 +55,21 @@ WORDS_IN_NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 @dataclass
 class Block:
     text: str
-    tags: tuple[str, ...]
-    names: frozenset[str]
+    path: tuple[tuple[str, frozenset[str], int], ...]  # tag, class words and number of every ancestor, outermost first
     linked: float  # share of the characters that stand in links
 
+    @property
+    def tags(self) -> tuple[str, ...]:
+        return tuple(tag for tag, _, _ in self.path)
+
 
 class Blocks(HTMLParser):
     """Leaf blocks of a page."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, frozenset[str]]] = []
+        self.open: list[tuple[str, frozenset[str], int]] = []
+        self.begun = 0
         self.found: list[Block] = []
         self.parts: list[str] = []
         self.linked = 0
@@ -72,13 +79,11 @@ class Blocks(HTMLParser):
     def end_block(self):
         text = " ".join("".join(self.parts).split())
         if text:
-            tags = tuple(t for t, _ in self.open)
-            names = frozenset().union(*[n for _, n in self.open])
-            self.found.append(Block(text, tags, names, min(1.0, self.linked / len(text))))
+            self.found.append(Block(text, tuple(self.open), min(1.0, self.linked / len(text))))
         self.parts, self.linked = [], 0
 
     def pop_to(self, depth: int):
-        for tag, _ in self.open[depth:]:
+        for tag, _, _ in self.open[depth:]:
             self.silent -= tag in SILENT_TAGS
             self.links -= tag == "a"
         del self.open[depth:]
@@ -107,7 +112,8 @@ class Blocks(HTMLParser):
         if tag in VOID_TAGS:
             return
         names = frozenset(w.lower() for k, v in attrs if k in ("class", "id", "role") and v for w in WORDS_IN_NAME.findall(v))
-        self.open.append((tag, names))
+        self.begun += 1
+        self.open.append((tag, names, self.begun))
         self.silent += tag in SILENT_TAGS
         self.links += tag == "a"
 
@@ -150,13 +156,22 @@ def bin_of(x: float, edges: tuple) -> int:
 
 
 def features(blocks: list[Block]) -> list[list[str]]:
-    out, before = [], None
+    out, before, held = [], None, Counter()
+    for b in blocks:
+        held.update(dict.fromkeys((number for _, _, number in b.path), len(b.text)))
+    half = sum(len(b.text) for b in blocks) * WIDE
     for b in blocks:
-        words = b.text.split()
-        f = [f"in:{t}" for t in set(b.tags)] + [f"name:{n}" for n in b.names]
+        words, f = b.text.split(), set()
+        for tag, names, number in b.path:
+            wide = "wide_" if held[number] > half else ""
+            f.add(f"{wide if tag in SIDE_TAGS else ''}in:{tag}")
+            if tag not in ("html", "body"):
+                f.update(f"{wide}name:{n}" for n in names)
+                f.update({f"{wide}side_name"} if not names.isdisjoint(SIDE_NAMES) else ())
+        f = sorted(f)
         leaf = next((t for t in reversed(b.tags) if t in BLOCK_TAGS), "none")
         f += [f"leaf:{leaf}", f"words:{bin_of(len(words), (2, 5, 10, 25))}", f"linked:{bin_of(b.linked, (0.01, 0.34, 0.67))}"]
-        f += [f"end:{b.text[-1] in '.!?…”\"'}", f"copy:{'©' in b.text}", f"figures:{any(c.isdigit() for c in b.text)}", "bias"]
+        f += [f"end:{b.text[-1] in '.!?…”\"'}", f"copy:{'©' in b.text[:16]}", f"figures:{any(c.isdigit() for c in b.text)}", "bias"]
         if before is not None and before.tags == b.tags:
             f.append("like_before")
         out.append(f)
@@ -172,8 +187,11 @@ BAD_NAMES = (
     "alert warning popup modal overlay newsletter subscribe signup share social related recommended more trending breadcrumb breadcrumbs pagination pager "
     "comment comments reply replies respond discussion disqus form search login register copyright legal tags toolbar skip links meta print feedback"
 ).split()
+LAYOUT_NAMES = "sidebar header nav menu footer ads banner form search widget toolbar social meta aside layout wrapper container theme".split()
 GOOD_NAMES = "content article post entry story main body text page single blog news".split()
 BAD_TAGS = "nav header footer aside form".split()
+SIDE_TAGS, SIDE_NAMES = frozenset(BAD_TAGS), frozenset(BAD_NAMES)
+WIDE = 0.5  # share of a page's text from which on an ancestor counts as a wrapper
 
 
 def labelled_page(rng: random.Random) -> list[tuple[str, int | None]]:
@@ -212,6 +230,12 @@ def labelled_page(rng: random.Random) -> list[tuple[str, int | None]]:
         kind, out = rng.random(), []
         if kind < 0.68:
             text = prose()
+            if rng.random() < 0.06:
+                text = f"{sentence(5, 14)} {short(3)} © {sentence(3, 14)}" + rng.choice(["", f" {text}"])
+            if rng.random() < 0.14:  # cut off, or the words parted by other marks
+                text = text[: rng.randint(len(text) // 2, len(text))].rstrip(".!? ") + rng.choice(["", ".", ",", "%%%", " |"])
+            if rng.random() < 0.06:
+                text = text.replace(" ", rng.choice([" | ", "## ", "&amp;&amp; "]))
             if rng.random() < 0.15:
                 text = text.replace(" ", f' <a href="/x">{short(2)}</a> ', 1)
             if rng.random() < 0.2:
@@ -230,6 +254,26 @@ def labelled_page(rng: random.Random) -> list[tuple[str, int | None]]:
             out.append(("<table>" + "".join(f"<tr><td>{short(3)}</td><td>{rng.randint(1, 999)}</td></tr>" for _ in range(rng.randint(1, 3))) + "</table>", 1))
         return out
 
+    def bare():
+        """Side matter in plain elements, told by its text alone."""
+        kind = rng.random()
+        if kind < 0.5:
+            return ("<div>" + rng.choice([" ", " | ", " &raquo; "]).join(f'<a href="/{i}">{short(2)}</a>' for i in range(rng.randint(2, 7))) + "</div>", 0)
+        if kind < 0.8:
+            return (f"<div>&copy; 20{rng.randint(10, 25)} {short(3)}{rng.choice(['', '. ' + sentence(2, 5)])}</div>", 0)
+        return (f"<div>{short(3)}</div>", 0)
+
+    plain = rng.random() < 0.12
+    if plain:
+        wrap = rng.choice(["", "<div>"])
+        pieces = [(f"<html><head><title>{short()}</title></head><body>{wrap}", None)]
+        pieces += [bare() for _ in range(rng.randint(0, 2))]
+        deep = rng.choice(["", "", "<div>"])
+        for _ in range(rng.randint(1, 10)):
+            pieces.append((f"{deep}<div>{prose(2, 6) if rng.random() < 0.9 else sentence(8, 18)}</div>{deep.replace('<', '</')}", 1))
+        pieces += [bare() for _ in range(rng.randint(0, 3))]
+        return [*pieces, (f"{wrap.replace('<', '</')}</body></html>", None)]
+
     kind = rng.random()
     if kind < 0.45:
         start, end = "<article>", "</article>"
@@ -243,6 +287,14 @@ def labelled_page(rng: random.Random) -> list[tuple[str, int | None]]:
     else:
         start, end = rng.choice([("<div>", "</div>"), ("", "")])
     pieces: list[tuple[str, int | None]] = [(f"<!DOCTYPE html><html><head><title>{short()}</title><script>var a='</p>';</script></head><body>", None)]
+    wraps = []
+    if rng.random() < 0.3:  # a wrapper whose class words tell the layout
+        said = [rng.choice(["has-", "no-", "with-", "page-with-", ""]) + rng.choice(LAYOUT_NAMES) for _ in range(rng.randint(1, 3))]
+        wraps.append((f'<div {rng.choice(["class", "class", "id"])}="{rng.choice([" ", "-", "_"]).join(said)}">', "</div>"))
+    if rng.random() < 0.12:  # a form around the whole page
+        wraps.append((f'<form {rng.choice(["", "id=form1 ", "class=page-form "])}method="post"><input type="hidden" name="state">', "</form>"))
+    rng.shuffle(wraps)
+    pieces += [(before, None) for before, _ in wraps]
     pieces += [bad(rng.choice(["nav", "menu", "header", "notice", "ad", "search", "breadcrumb"])) for _ in range(rng.randint(0, 4))]
     pieces.append((start, None))
     if rng.random() < 0.75:
@@ -263,6 +315,7 @@ def labelled_page(rng: random.Random) -> list[tuple[str, int | None]]:
         pieces.append((end, None))
     pieces += [bad(rng.choice(["sidebar", "related", "footer", "newsletter", "ad", "form"])) for _ in range(rng.randint(0, 3))]
     pieces.append(bad("footer"))
+    pieces += [(after, None) for _, after in reversed(wraps)]
     pieces.append(("</body></html>" if rng.random() < 0.9 else "", None))
     return pieces
 

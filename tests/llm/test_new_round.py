@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from gaugeworks.llm import mixing, periodic, phrases, prefix_bpe
+from gaugeworks.llm import extraction, jaccard, mixing, periodic, phrases, prefix_bpe
 from tests.llm.helpers import SF, plain, table, words
 
 REPO = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -318,6 +318,49 @@ def test_mixed_rows_alike_and_dotted_names(spark):
     assert mixing.mixed(docs.limit(0)).collect() == []
 
 
+# --- clashing names, and pages with layout names around the article
+
+
+def test_one_of_each_with_clashing_names(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, "x", 1), (1, text, "x", 1), (None, text, "y", 2), (2, "other words here", "z", 3), (2, "other words here", "z", 3), (3, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept_id string, `a.b` int").withColumnsRenamed({}).selectExpr("*", "kept_id AS row", "`a.b` AS copies")
+    got = jaccard.one_of_each(docs, ngram=5, percent=80)
+    assert got.columns == docs.columns and sorted(str(r.doc_id) for r in got.collect()) == ["1", "2", "3"]
+
+
+FIRST = "The river rose by two metres during the night and the town closed its old bridge. People were told to stay at home."
+SECOND = "Nobody was hurt, the mayor said in the morning, but the school will stay closed until Monday."
+NAV = "<nav><ul><li><a href=/>Home</a></li><li><a href=/a>About us</a></li></ul></nav>"
+FOOT = "<footer>&copy; 2024 Town News. All rights reserved.</footer>"
+BODY = f"<h1>Flood in town</h1><p>{FIRST}</p><p>{SECOND}</p>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<html><body><form id="aspnetForm" method="post"><input type=hidden>{NAV}<div class="content">{BODY}</div>{FOOT}</form></body></html>',
+        f'<html><body><form method="post">{NAV}<article>{BODY}</article>{FOOT}</form></body></html>',
+        f'<html><body class="has-sidebar no-comments">{NAV}<article>{BODY}</article>{FOOT}</body></html>',
+        f'<html><body><div class="page-with-header-nav">{NAV}<main>{BODY}</main>{FOOT}</div></body></html>',
+        f'<html><body><div class="layout sidebar-left"><div class="post-content">{BODY}</div><div class="sidebar"><h3>More</h3><p>Read our other news here.</p></div></div></body></html>',
+    ],
+)
+def test_article_in_a_wrapper(page):
+    assert extraction.main_text(extraction.trained(), page) == f"Flood in town {FIRST} {SECOND}"
+
+
+def test_plain_elements_and_marks():
+    model = extraction.trained()
+    assert extraction.main_text(model, f"<html><body><div>{FIRST}</div><div>{SECOND}</div></body></html>") == f"{FIRST} {SECOND}"
+    page = f"<html><body><div><a href=/>Home</a> <a href=/a>About</a></div><div><div>{FIRST}</div><div>{SECOND}</div></div><div>&copy; 2024 Town News</div></body></html>"
+    assert extraction.main_text(model, page) == f"{FIRST} {SECOND}"
+    marked = f"{FIRST} The sign reads © Town Hall 1931 and is still there. {SECOND}"
+    assert extraction.main_text(model, f"<html><body><article><p>{marked}</p></article></body></html>") == marked
+    comments = f'<section class="comments"><h2>Comments</h2><article><p>{SECOND} {FIRST} {SECOND}</p></article><article><p>{FIRST} {FIRST}</p></article></section>'
+    assert extraction.main_text(model, f"<html><body><article>{BODY}</article>{comments}</body></html>") == f"Flood in town {FIRST} {SECOND}"
+
+
 # --- executors that lack the package
 
 
