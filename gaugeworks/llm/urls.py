@@ -14,17 +14,24 @@ pages costs one look-up; pages then meet their host's few rules in the row.
 Defined results: a null url or one without ``://`` has empty host and path,
 fits no rule and is allowed.  Of two rules with one host and path, allow wins.
 Rows are judged one by one; null and repeated ids only label them.  A null
-html has no links.  Other columns are not read.  An empty table gives an empty
+html has no links.  Links are read by a parser, so those in comments and scripts
+are none, references in them are decoded, ``rel`` is a list of words and
+``base`` counts; the first of a kind holds.  Both links of a page are edges.  Other columns are not read.  An empty table gives an empty
 result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from html.parser import HTMLParser
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
 from .components import components
+from .words import by_size
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = (
@@ -36,10 +43,13 @@ RULES = (
 )
 RULE_SCHEMA = "verdict string, rule_host string, rule_path string"
 DEFAULT = "allow"
+# Patterns of the SQL twin, which knows plain tags only.
 CANONICAL = r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
 REFRESH = r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
 HREF = r"""(?is)\bhref\s*=\s*["']?([^"'\s>]+)"""
 GOES_TO = r"""(?is)\burl\s*=\s*["']?([^"'\s>]+)"""
+BATCH_BYTES = 4 << 20
+LINK_NAMES = ("moved", "link", "base")
 TRACKING = "utm_[a-z]+|gclid|fbclid|ref"
 
 
@@ -64,16 +74,57 @@ def key_of(after: Column) -> Column:
     return F.concat(host_of(after), path_of(after), F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise(F.lit("")))
 
 
-def targets_of(html: Column, host: Column, path: Column) -> Column:
+class Links(HTMLParser):
+    """Where a page says it has moved to, what it calls its canonical address, and its base."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.found = dict.fromkeys(LINK_NAMES, "")
+
+    def keep(self, name: str, to: str | None) -> None:
+        self.found[name] = self.found[name] or (to or "").strip()
+
+    def handle_starttag(self, tag, attrs):
+        said = {k: v or "" for k, v in reversed(attrs)}
+        if tag == "base":
+            self.keep("base", said.get("href"))
+        elif tag == "link" and "canonical" in said.get("rel", "").lower().split():
+            self.keep("link", said.get("href"))
+        elif tag == "meta" and said.get("http-equiv", "").strip().lower() == "refresh":
+            _, _, goes = said.get("content", "").replace(",", ";", 1).partition(";")
+            name, _, to = goes.strip().partition("=")
+            if name.strip().lower() == "url":
+                self.keep("moved", to.strip().strip("'\""))
+
+
+def read_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows without ``html``, with the three addresses its tags hold; empty for none."""
+    for batch in by_size(batches, "html", BATCH_BYTES):
+        found: dict[str, list[str]] = {name: [] for name in LINK_NAMES}
+        for page in batch.column("html").to_pylist():
+            low = (page or "").lower()
+            links = dict.fromkeys(LINK_NAMES, "")
+            if "canonical" in low or "http-equiv" in low:
+                parser = Links()
+                parser.feed(page)
+                parser.close()
+                links = parser.found
+            for name, to in links.items():
+                found[name].append(to)
+        names = [n for n in batch.schema.names if n != "html"]
+        yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [pa.array(found[n], pa.string()) for n in LINK_NAMES], [*names, *LINK_NAMES])
+
+
+def targets_of() -> Column:
     """The rests of the addresses a page redirects to and names as canonical; empty for none."""
-    link = F.regexp_extract(F.regexp_extract(html, CANONICAL, 0), HREF, 1)
-    moved = F.regexp_extract(F.regexp_extract(html, REFRESH, 0), GOES_TO, 1)
-    return F.array(*[key_of(target_of(F.coalesce(to, F.lit("")), host, path)) for to in (moved, link)])
+    base = target_of(F.col("base"), F.col("host"), F.col("path"))
+    host = F.when(base == "", F.col("host")).otherwise(host_of(base))
+    path = F.when(base == "", F.col("path")).otherwise(path_of(base))
+    return F.array(*[key_of(target_of(F.col(to), host, path)) for to in ("moved", "link")])
 
 
-def target_of(written: Column, host: Column, path: Column) -> Column:
+def target_of(to: Column, host: Column, path: Column) -> Column:
     """The rest of the address that a page's link means; empty for none."""
-    to = F.replace(written, F.lit("&amp;"), F.lit("&"))
     return (
         F.when(to == "", F.lit(""))
         .when(to.contains("://"), rest(to))
@@ -124,7 +175,9 @@ def judge(pages: DataFrame, rules: DataFrame | None = None) -> DataFrame:
     rules = pages.sparkSession.createDataFrame(list(RULES), RULE_SCHEMA) if rules is None else rules
     after = pages.select(F.col("page_id"), "html", rest(F.col("url")).alias("after"))
     placed = after.select("page_id", "html", host_of(F.col("after")).alias("host"), path_of(F.col("after")).alias("path"), key_of(F.col("after")).alias("key"))
-    known = materialize(placed.select("page_id", "host", "path", "key", targets_of(F.col("html"), F.col("host"), F.col("path")).alias("targets")), "addresses")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in placed.drop("html").schema.fields)
+    linked = placed.mapInArrow(read_links, f"{kinds}, moved string, link string, base string")
+    known = materialize(linked.select("page_id", "host", "path", "key", targets_of().alias("targets")), "addresses")
     links = known.select("key", F.explode("targets").alias("target")).filter("key <> '' and target <> '' and key <> target").distinct()
     carried = alias_verdicts(links, rules)
     own = ruled(known, rules)
@@ -152,8 +205,8 @@ def oracle() -> str:
 WITH RECURSIVE rules(verdict, host, path) AS (VALUES {rows}),
 a AS (SELECT page_id, html, {after.format("url")} AS after FROM pages),
 p AS (SELECT page_id, {host.format("after")} AS host, {path.format("after")} AS path, {key.format("after")} AS key,
-             replace(coalesce(nullif(regexp_extract(regexp_extract(html, '{quoted["refresh"]}'), '{quoted["goes"]}', 1), ''),
-                              nullif(regexp_extract(regexp_extract(html, '{quoted["canonical"]}'), '{quoted["href"]}', 1), ''), ''), '&amp;', '&') AS goes
+             unnest([replace(coalesce(regexp_extract(regexp_extract(html, '{quoted["refresh"]}'), '{quoted["goes"]}', 1), ''), '&amp;', '&'),
+                     replace(coalesce(regexp_extract(regexp_extract(html, '{quoted["canonical"]}'), '{quoted["href"]}', 1), ''), '&amp;', '&')]) AS goes
       FROM a),
 t AS (SELECT *, CASE WHEN goes = '' THEN '' WHEN contains(goes, '://') THEN {after.format("goes")} WHEN starts_with(goes, '//') THEN substr(goes, 3)
                      WHEN starts_with(goes, '/') THEN host || goes
@@ -171,4 +224,4 @@ best AS (SELECT host, path, rule, ruled FROM (SELECT x.host, x.path, r.host || r
            row_number() OVER (PARTITION BY x.host, x.path ORDER BY length(r.host || r.path) DESC, r.verdict) AS n
          FROM places x JOIN rules r ON (x.host = r.host OR ends_with(x.host, '.' || r.host)) AND starts_with(x.path, r.path)) WHERE n = 1)
 SELECT u.page_id, u.host, u.path, best.rule, coalesce(best.ruled, carried.carried, '{DEFAULT}') AS verdict
-FROM u LEFT JOIN best ON u.host = best.host AND u.path = best.path LEFT JOIN carried ON u.key = carried.alias"""
+FROM (SELECT DISTINCT page_id, host, path, key FROM u) u LEFT JOIN best ON u.host = best.host AND u.path = best.path LEFT JOIN carried ON u.key = carried.alias"""

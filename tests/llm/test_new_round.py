@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from gaugeworks.llm import extraction, jaccard, mixing, periodic, phrases, prefix_bpe
+from gaugeworks.llm import extraction, jaccard, mixing, periodic, phrases, prefix_bpe, urls
 from tests.llm.helpers import SF, plain, table, words
 
 REPO = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -361,6 +361,22 @@ def test_plain_elements_and_marks():
     assert extraction.main_text(model, f"<html><body><article>{BODY}</article>{comments}</body></html>") == f"Flood in town {FIRST} {SECOND}"
 
 
+def test_links_as_a_browser_reads_them(spark):
+    bad = "http://example.org/es/1"
+    rows = [
+        (1, "http://a.net/1", f'<link rel="alternate canonical" href="{bad}">'),
+        (2, "http://a.net/2", f'<!-- <link rel="canonical" href="{bad}"> --><p>canonical</p>'),
+        (3, "http://a.net/3", f"<script>var x = '<link rel=canonical href={bad}>'</script>"),
+        (4, "http://a.net/4", '<base href="http://example.org/es/"><link href="2" rel=CANONICAL>'),
+        (5, "http://a.net/5", '<link rel="canonical" href="http&#58;//example.org&#x2F;es/3">'),
+        (6, "http://a.net/6", """<meta content="3 ; URL='http://example.org/es/4'" http-equiv=' refresh '>"""),
+        (7, "http://a.net/7", f'<link rel="canonical-not" href="{bad}"><link rel="canonical"><link rel="canonical" href="http://example.org/es/5"><link rel=canonical href="http://ok.org/">'),
+        (8, "http://a.net/8", '<meta http-equiv="refresh" content="30">'), (9, "http://a.net/9", None),
+    ]
+    got = {r.page_id: r.verdict for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {1: "block", 2: "allow", 3: "allow", 4: "block", 5: "block", 6: "block", 7: "block", 8: "allow", 9: "allow"}
+
+
 # --- executors that lack the package
 
 
