@@ -7,13 +7,13 @@ of k - 1 words reach the least count.  A bucket never counts less than a
 phrase in it, so every frequent phrase is a candidate.  Distinct candidates
 and their single words are dealt into blocks of a fixed number of phrases, and
 each block becomes a double-array trie over the digits of its own word
-numbers, built by a task.  A few blocks at a time are broadcast.  In each task
+numbers, built by a task.  ``AT_ONCE`` blocks at a time are broadcast.  In each task
 numpy moves the states of all text positions at once, digit by digit and word
 by word, counts the accepting states by ``bincount``, and the counts of all
 tasks are summed.
 
 What is sent to tasks: one bit per bucket, at most ``MOST_BUCKETS / 8`` bytes,
-and ``AT_ONCE`` tries of about ``BLOCK`` phrases.  These sizes are fixed
+and ``AT_ONCE`` trie of about ``BLOCK`` phrases.  These sizes are fixed
 whatever the input; a corpus with more candidates takes more passes over the
 texts.  An overfull sketch only lets more candidates through.
 
@@ -41,14 +41,14 @@ LEAST = 10
 MOST_WORDS = 3
 TOP = 2000
 PERCENT = 50
-BATCH_BYTES = 1 << 19
+BATCH_BYTES = 1 << 20
 FEWEST_BUCKETS = 1 << 18
 MOST_BUCKETS = 1 << 28
 RANGE_BITS = 16
-BLOCK = 450_000
-AT_ONCE = 2  # tries per pass
+BLOCK = 700_000
+AT_ONCE = 1  # tries per pass
 HELD = 1 << 20  # buckets a task holds before it sends them
-SEEN = 1 << 20  # hashes of phrases a task remembers to have sent
+SEEN = 2 << 20  # hashes of phrases a task remembers to have sent
 SALTS = 64
 
 BREAK = np.zeros(256, bool)
@@ -301,6 +301,23 @@ class Trie:
 
     def __init__(self, words: np.ndarray, digits: int, base: np.ndarray, check: np.ndarray, accept: np.ndarray, root: int):
         self.words, self.digits, self.base, self.check, self.accept, self.root = words, digits, base, check, accept, root
+        # Where the words of each leading bits begin; with eight times as many stretches as words most are empty.
+        log = min(24, max(1, (8 * len(words)).bit_length()))
+        self.shift = np.uint64(64 - log)
+        self.begins = np.concatenate([[0], np.cumsum(np.bincount((words >> self.shift).astype(np.int64), minlength=1 << log))]).astype(np.int32)
+
+    def numbers(self, codes: np.ndarray) -> np.ndarray:
+        """The number of each word code, or -1."""
+        out, stretch = np.full(len(codes), -1, np.int32), (codes >> self.shift).astype(np.int64)
+        at, end = self.begins[stretch], self.begins[stretch + 1]
+        open_ = np.flatnonzero(end > at)
+        at, end = at[open_], end[open_]
+        while len(open_):
+            hit = self.words[at] == codes[open_]
+            out[open_[hit]] = at[hit]
+            left = ~hit & (at + 1 < end)
+            open_, at, end = open_[left], at[left] + 1, end[left]
+        return out
 
     @classmethod
     def of(cls, symbols: np.ndarray, lengths: np.ndarray) -> Trie:
@@ -351,8 +368,8 @@ class Trie:
 
     def count(self, codes: np.ndarray, link: np.ndarray, out: np.ndarray) -> None:
         """Add to ``out`` how often each phrase begins at any position of a text of word codes."""
-        place = np.minimum(np.searchsorted(self.words, codes), len(self.words) - 1)
-        known = self.words[place] == codes
+        place = self.numbers(codes)
+        known = place >= 0
         at = np.flatnonzero(known)
         state = np.full(len(at), self.root, np.int32)
         word = 0
