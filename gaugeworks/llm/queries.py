@@ -20,8 +20,8 @@ QUERIES = {
     "op13_periodic_runs": periodic.query,
 }
 
-# Random cuts, a trained field, token ids and template slots are beyond SQL;
-# tests/llm holds them against brute force.
+# Random cuts, a trained field, token ids, template slots and periodic runs are
+# beyond SQL; tests/llm holds them against brute force.
 ORACLES = {
     "op1_line_dedup": lines.oracle(),
     "op2_quality_rules": quality.oracle(),
