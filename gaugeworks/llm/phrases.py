@@ -13,7 +13,7 @@ by word, counts the accepting states by ``bincount``, and the counts of all
 tasks are summed.
 
 What is sent to tasks: one bit per bucket, at most ``MOST_BUCKETS / 8`` bytes,
-and ``AT_ONCE`` trie of about ``BLOCK`` phrases.  These sizes are fixed
+and ``AT_ONCE`` tries of about ``BLOCK`` phrases.  These sizes are fixed
 whatever the input; a corpus with more candidates takes more passes over the
 texts.  An overfull sketch only lets more candidates through.
 
@@ -45,8 +45,8 @@ BATCH_BYTES = 1 << 20
 FEWEST_BUCKETS = 1 << 18
 MOST_BUCKETS = 1 << 28
 RANGE_BITS = 16
-BLOCK = 700_000
-AT_ONCE = 1  # tries per pass
+BLOCK = 350_000
+AT_ONCE = 2  # tries per pass
 HELD = 1 << 20  # buckets a task holds before it sends them
 SEEN = 2 << 20  # hashes of phrases a task remembers to have sent
 SALTS = 64
