@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import squeeze
 from ..session import materialize
-from .relational import first_row
+from .relational import first_row, shuffled
 
 # Weights of the blend, sizes of the grams.
 WEIGHTS = {"char": 0.35, "word": 0.35, "tokens": 0.20, "columns": 0.10}
@@ -172,19 +172,19 @@ def title_vectors(candidates: DataFrame, tickets: DataFrame, limit: float) -> Da
     """
     titles = tickets.filter(squeeze("title") != "").groupBy("dataset", "title").agg(F.count("*").alias("copies"), F.min("ord").alias("ord"))
     wanted = candidates.select("dataset", "title").filter(F.col("title").isNotNull()).distinct()
-    wanted = wanted.join(tickets.select("dataset"), "dataset", "left_semi")
+    wanted = wanted.join(shuffled(tickets.select("dataset")), "dataset", "left_semi")
     both = titles.withColumn("side", F.lit("t")).unionByName(
         wanted.withColumns({"side": F.lit("c"), "copies": F.lit(0).cast("bigint"), "ord": F.lit(None).cast(titles.schema["ord"].dataType)})
     )
     both = materialize(both.withColumns({"id": F.monotonically_increasing_id(), "ds": F.xxhash64("dataset")}), "distinct-titles")
     # One text is the title of many datasets: it is cut into terms once.
     texts = title_terms(both.select("title").distinct(), ["title"]).groupBy("title").agg(F.collect_list(F.struct("space", "term", "tf")).alias("terms"))
-    held = both.join(texts, "title").select("id", "ds", "side", "copies", F.explode("terms").alias("t"))
+    held = both.join(shuffled(texts), "title").select("id", "ds", "side", "copies", F.explode("terms").alias("t"))
     terms = held.select("id", "ds", "side", "copies", "t.space", "t.term", "t.tf")
     total = both.filter("side = 't'").groupBy("ds").agg(F.sum("copies").alias("n"))
     frequency = terms.filter("side = 't'").groupBy("ds", "term").agg(F.sum("copies").alias("df"))
-    idf = frequency.join(total, "ds").select("ds", "term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
-    weighed = terms.join(idf, ["ds", "term"])
+    idf = frequency.join(shuffled(total), "ds").select("ds", "term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
+    weighed = terms.join(shuffled(idf), ["ds", "term"])
     weighed = weighed.withColumn("w", F.col("tf") * F.col("idf"))
     entry = F.struct((-F.col("idf")).alias("rarity"), "space", "term", "w")
 
@@ -198,7 +198,7 @@ def title_vectors(candidates: DataFrame, tickets: DataFrame, limit: float) -> Da
         "id", F.concat(_prefix(F.col("char"), limit), _prefix(F.col("word"), limit)).alias("keys"), F.size("char").alias("n_char"),
         F.transform(every, lambda x: x["term"]).alias("terms"), F.transform(every, lambda x: x["w"]).alias("weights"),
     )
-    return flat.join(both.select("id", "dataset", "ds", "title", "side", "ord"), "id")
+    return flat.join(shuffled(both.select("id", "dataset", "ds", "title", "side", "ord")), "id")
 
 
 def _prefix(vec: Column, bound: float) -> Column:
@@ -242,7 +242,7 @@ def _best_overlap(pairs: DataFrame, titles: DataFrame) -> DataFrame:
     sets = titles.select("dataset", F.array_sort(column_tokens(F.col("title"))).alias("t_cols")).filter(F.size("t_cols") > 0).distinct()
     left = open_sets.select("dataset", "c_cols", F.explode("c_cols").alias("token"))
     right = sets.select("dataset", "t_cols", F.explode("t_cols").alias("token"))
-    met = left.join(right, ["dataset", "token"]).select("dataset", "c_cols", F.size(F.array_intersect("c_cols", "t_cols")).alias("n"))
+    met = left.join(shuffled(right), ["dataset", "token"]).select("dataset", "c_cols", F.size(F.array_intersect("c_cols", "t_cols")).alias("n"))
     return met.groupBy("dataset", "c_cols").agg(F.max("n").alias("best_shared"))
 
 
@@ -259,6 +259,9 @@ def match_titles(candidates: DataFrame, tickets: DataFrame, threshold: float = 0
     no pair that counts is missed.  Copies of a title are compared once.  Of a
     candidate's pairs only those whose upper bound reaches the best lower bound
     are compared character by character.
+
+    Every side grows with the titles, and files of hashes are many times larger
+    in memory, so no join here sends a side through the driver.
     """
     limit = (threshold - WEIGHTS["tokens"] - WEIGHTS["columns"]) / (WEIGHTS["char"] + WEIGHTS["word"])
     if limit <= 0:
@@ -273,11 +276,11 @@ def match_titles(candidates: DataFrame, tickets: DataFrame, threshold: float = 0
 
     left = side("c").select(F.col("id").alias("c_id"), F.col("terms").alias("c_terms"), F.col("weights").alias("c_weights"), "n_char")
     right = side("t").select(F.col("id").alias("t_id"), F.map_from_arrays("terms", "weights").alias("t_map"))
-    pairs = keyed("c").join(keyed("t"), ["ds", "key"]).select("c_id", "t_id").distinct()
-    scored = pairs.join(left, "c_id").join(right, "t_id").select("c_id", "t_id", _cosines().alias("cosines"))
+    pairs = keyed("c").join(shuffled(keyed("t")), ["ds", "key"]).select("c_id", "t_id").distinct()
+    scored = pairs.join(shuffled(left), "c_id").join(shuffled(right), "t_id").select("c_id", "t_id", _cosines().alias("cosines"))
     close = scored.filter(F.col("cosines") + WEIGHTS["tokens"] + WEIGHTS["columns"] >= threshold - 1e-9)
-    named = close.join(side("c").select(F.col("id").alias("c_id"), "dataset", F.col("title").alias("c")), "c_id")
-    named = named.join(side("t").select(F.col("id").alias("t_id"), F.col("title").alias("t"), "ord"), "t_id")
+    named = close.join(shuffled(side("c").select(F.col("id").alias("c_id"), "dataset", F.col("title").alias("c"))), "c_id")
+    named = named.join(shuffled(side("t").select(F.col("id").alias("t_id"), F.col("title").alias("t"), "ord")), "t_id")
     near = named.withColumns(
         {
             "parts": token_parts(title_words(F.col("c")), title_words(F.col("t"))),
@@ -288,8 +291,8 @@ def match_titles(candidates: DataFrame, tickets: DataFrame, threshold: float = 0
     high = F.col("cosines") + WEIGHTS["tokens"] * F.col("parts.high") + F.when(F.col("shared") > 0, WEIGHTS["columns"]).otherwise(0.0)
     near = materialize(near.withColumn("high", high).filter(F.col("high") >= threshold - 1e-9), "near-titles")
     low = near.groupBy("c_id").agg(F.max(F.col("cosines") + WEIGHTS["tokens"] * F.col("parts.low")).alias("best_low"))
-    near = near.join(low, "c_id").filter(F.col("high") >= F.col("best_low") - 1e-9).withColumn("tokens", token_set_ratio(F.col("parts")))
-    near = near.join(_best_overlap(near, side("t")), ["dataset", "c_cols"], "left")
+    near = near.join(shuffled(low), "c_id").filter(F.col("high") >= F.col("best_low") - 1e-9).withColumn("tokens", token_set_ratio(F.col("parts")))
+    near = near.join(shuffled(_best_overlap(near, side("t"))), ["dataset", "c_cols"], "left")
     overlap = F.when(F.col("shared") == 0, 0.0).otherwise(F.col("shared") / F.coalesce("best_shared", F.size("c_cols")))
     blended = F.col("cosines") + WEIGHTS["tokens"] * F.col("tokens") + WEIGHTS["columns"] * overlap
     found = near.withColumn("score", F.round(blended, 12)).filter(F.col("score") >= threshold)
@@ -301,4 +304,4 @@ def drop_matched(candidates: DataFrame, tickets: DataFrame, title: str, threshol
     """Candidates without a near-equal open title in their dataset."""
     named = candidates.select("dataset", F.col(title).alias("title"))
     matched = match_titles(named, tickets, threshold).select("dataset", F.col("title").alias(title))
-    return candidates.join(matched, ["dataset", title], "left_anti")
+    return candidates.join(shuffled(matched), ["dataset", title], "left_anti")

@@ -150,3 +150,10 @@ def test_no_python_in_matching(spark):
     rows = spark.createDataFrame([("d", "col_a: NULL", 1), ("d", "col_b: Invalid", 2)], "dataset string, title string, ord int")
     plan = M.match_titles(rows.drop("ord"), rows)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "repartition(" not in plan.lower()
+
+
+def test_titles_are_never_sent_whole(spark):
+    rows = spark.createDataFrame([("d", "col_a: NULL", 1), ("d", "col_b: Invalid", 2)], "dataset string, title string, ord int")
+    plain = rows.drop("ord")
+    for df in (M.title_vectors(plain, rows, 0.6), M.match_titles(plain, rows), M.drop_matched(plain, rows, "title")):
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
