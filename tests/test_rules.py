@@ -51,6 +51,14 @@ def test_number_text(spark):
     assert one(spark, [None, 2.0, math.nan], "double", K.fmt_pct("v")) == ["NA", "2.00%", "NA"]
 
 
+def test_numbers_round_from_their_exact_value(spark):
+    values = [5026.025, 0.125, 0.135, 1.005, 2.675, -0.125, -0.001, 8.345, 1234567.125, 33.585, 1e15, 0.0]
+    assert one(spark, values, "double", K.fmt_pct("v")) == [f"{v:.2f}%" for v in values]
+    assert one(spark, values, "double", K.break_summary(F.lit(3), F.col("v") / 100)) == [f"3 ({v / 100:.4f}%)" for v in values]
+    values = [1.000005, 0.1234565, 2.5000005, 99999.95, 999999.5, 12345.65, 1.0000015e-7, 1e-05, 0.0001, -1.5e-120, 2.5e200]
+    assert one(spark, values, "double", K.fmt_significant("v", commas=True)) == [f"{v:,.6g}" for v in values]
+
+
 def test_break_keys(spark):
     item, metric = X.split_break_key("v")
     assert one(spark, ["a__B__C", "abc", None], "string", item, metric) == [("a", "B__C"), (None, None), (None, None)]
