@@ -168,6 +168,16 @@ def test_candidate_keys(spark):
     assert {tuple(r) for r in Y.candidate_keys(df, 2).collect()} == {("z", 1), ("x,y", 2)}
 
 
+def test_sets_are_refuted_in_a_slice(spark):
+    df = spark.range(4000).selectExpr("id AS a", "id DIV 2 AS b", "CAST(id DIV 2 AS STRING) AS c", "id % 1999 AS d")
+    sets = [("a",), ("b",), ("b", "c"), ("a", "d")]
+    met = Y._met_in_slice(df, sets)
+    assert set(met) == {("b",), ("b", "c")}
+    assert Y._repeated(df, met) == set(met)
+    assert Y._repeated(df, {("a",): df.select(Y._hash(("a",))).first()[0]}) == set()
+    assert Y._exact(df, sets) == [("a",), ("a", "d")]
+
+
 def test_reference_filter_keeps_null(spark):
     df = spark.createDataFrame([("a",), (None,)], "dataset string")
     ref = spark.createDataFrame([("a",)], "dataset string")
