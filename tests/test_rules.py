@@ -133,6 +133,15 @@ def test_padded_and_plain_change(spark):
     assert [r.row_pct_change for r in plain] == [None, None, None]
 
 
+def test_history_rounds_from_the_exact_value(spark):
+    rows = [("d", 1, dt.datetime(2001, 1, 1), 8000, 0, 0), ("d", 2, dt.datetime(2001, 1, 2), 410082, 0, 0)]
+    runs = spark.createDataFrame(rows, "dataset string, run_id int, run_date timestamp_ntz, row_cnt bigint, behaviorScore int, DQScore int")
+    wanted = runs.select("dataset", "run_id", "run_date").filter("run_id = 2")
+    got = H.row_history(runs, wanted, "dataset", "run_date", "run_id", "row_cnt", "run_date", "UTC", "UTC").first()
+    assert got.rows_pct_change_vs_prev == 5026.025
+    assert "| 410082 | 5026.02% |" in got.history_text
+
+
 def test_zero_predecessor_and_unknown_times(spark):
     df = runs(spark, [(1, 0), (2, 5), (None, 9)])
     plain = {r.run_id: r.row_pct_change for r in H.change_vs_previous(df, 4, "dataset", "run_date", "run_id", "row_cnt").collect()}
