@@ -21,7 +21,7 @@ from ..functions.text import blank_to_null, break_type, dimension_labels, is_row
 from ..session import materialize
 from .history import row_history
 from .matching import drop_matched
-from .relational import PART_LINES, first_row, join_null_safe, text_of_lines, text_parts, top_n
+from .relational import PART_LINES, first_row, join_null_safe, shuffled, text_of_lines, text_parts, top_n
 from .tickets import active_subtasks, stable_titles
 
 # Numeric columns of an adaptive finding, labels of the profile sources.
@@ -71,7 +71,7 @@ def custom_candidates(
     failing = F.upper("breakMsg") == "BREAKING" if "breakMsg" in breaks.columns else safe_double("perc") > 0
     broken = breaks.filter(failing & (safe_double("perc") > 0)).select(*keys, *measured)
     full = _optional(rules.drop(*measured), "ruleType", "ruleValue", "dimName", "Project", "columnName", "businessDesc", "db_nm", "table_nm")
-    merged = join_null_safe(full, broken, keys, "inner")
+    merged = join_null_safe(full, shuffled(broken), keys, "inner")
     if "jobSchedule" in merged.columns:
         merged = merged.filter(boolish("jobSchedule"))
     titled = merged.withColumn(

@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from gaugeworks.operators import candidates as C
 from gaugeworks.operators import matching as M
 
 
@@ -157,3 +158,12 @@ def test_titles_are_never_sent_whole(spark):
     plain = rows.drop("ord")
     for df in (M.title_vectors(plain, rows, 0.6), M.match_titles(plain, rows), M.drop_matched(plain, rows, "title")):
         assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_custom_rules_are_never_sent_whole(spark):
+    rules = spark.createDataFrame([("d", "r", "if_a_is_bad", "Validity", "col_a")], "dataset string, runId string, ruleNm string, dimName string, columnName string")
+    breaks = spark.createDataFrame([("d", "r", "if_a_is_bad", "BREAKING", 1.0, 2.0)], "dataset string, runId string, ruleNm string, breakMsg string, score double, perc double")
+    tickets = spark.createDataFrame([("Sub-task", "Open", "d", "other", 1)], "issue_type string, status string, parent_summary string, title string, ord int")
+    found = C.custom_candidates(rules, breaks, tickets)
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [r.suggested_title for r in found.collect()] == ["col_a: Invalid"]
