@@ -272,10 +272,12 @@ def _scheduled(df: DataFrame) -> DataFrame:
 
 
 def _heads(df: DataFrame, keys: Sequence[str], score: str, tie: Sequence[str]) -> DataFrame:
-    full = _optional(df, "db_nm", "table_nm", "Project")
-    return full.groupBy(*keys).agg(
-        exact_sum(safe_double(score)).alias("score"), F.min_by(F.struct("db_nm", "table_nm", "Project"), F.struct(*tie)).alias("__first")
-    )
+    first = ("db_nm", "table_nm", "Project")
+    total = exact_sum(safe_double(score)).alias("score")
+    if not set(first) & set(df.columns):  # sums alone need no sort
+        none = F.struct(*[F.lit(None).cast("string").alias(c) for c in first])
+        return df.groupBy(*keys).agg(total).withColumn("__first", none)
+    return _optional(df, *first).groupBy(*keys).agg(total, F.min_by(F.struct(*first), F.struct(*tie)).alias("__first"))
 
 
 def _head_text(label: str) -> Column:
@@ -367,14 +369,15 @@ def duplicate_lines(dupes: DataFrame, observations: DataFrame) -> tuple[DataFram
     """
     run = ["dataset", "runId"]
     place = [*run, "obsKey"]
-    wanted = dupes.select(*place).distinct()
-    records = observations.join(wanted, place, "left_semi")
-    spots = records.select(*run, "ord", F.posexplode(F.map_keys("record")).alias("at", "name"))
+    # Two branches below use the records, and few kinds of records make up the columns of a run.
+    records = materialize(observations.select(*place, "ord", "record").join(dupes.select(*place), place, "left_semi").drop("obsKey"), "records")
+    kinds = records.groupBy(*run, F.map_keys("record").alias("kind")).agg(F.min("ord").alias("ord"))
+    spots = kinds.select(*run, "ord", F.posexplode("kind").alias("at", "name"))
     names = spots.groupBy(*run, "name").agg(F.min(F.struct("ord", "at")).alias("spot"))
     last = F.when(F.col("name") == "occurs", 1).otherwise(0)
     placed = F.sort_array(F.collect_list(F.struct(last.alias("last"), "spot", "name")))
-    headers = names.groupBy(*run).agg(F.transform(placed, lambda x: x["name"]).alias("names"))
-    cells = records.join(headers, run).select(
+    headers = materialize(names.groupBy(*run).agg(F.transform(placed, lambda x: x["name"]).alias("names")), "headers")
+    cells = records.join(shuffled(headers), run).select(
         *run, "ord", F.transform("names", lambda n: F.coalesce(F.try_element_at("record", n), F.lit("nan"))).alias("cells")
     )
     rows = cells.groupBy(*run, "cells").agg(F.min("ord").alias("ord"))
@@ -384,8 +387,8 @@ def duplicate_lines(dupes: DataFrame, observations: DataFrame) -> tuple[DataFram
 def unseen_keys(dupes: DataFrame, headers: DataFrame, tie: Sequence[str]) -> DataFrame:
     """The keys of runs without any sample record, one row each."""
     run = ["dataset", "runId"]
-    listed = first_row(dupes.filter(F.col("obsKey").isNotNull()), [*run, "obsKey"], list(tie))
-    return listed.join(headers.select(*run), run, "left_anti")
+    bare = dupes.filter(F.col("obsKey").isNotNull()).join(shuffled(headers.select(*run)), run, "left_anti")
+    return first_row(bare, [*run, "obsKey"], list(tie))
 
 
 def duplicate_candidates(
@@ -406,7 +409,7 @@ def duplicate_candidates(
     headers, lines = duplicate_lines(scheduled, observations)
     texts = text_of_lines(lines, run, ["ord", "line"], "line", "samples")
     unseen = text_of_lines(unseen_keys(scheduled, headers, tie), run, list(tie), "obsKey", "unseen", ", ")
-    joined = heads.join(headers, run, "left").join(texts, run, "left").join(unseen, run, "left").join(include_keys, "dataset", "left")
+    joined = heads.join(shuffled(headers), run, "left").join(texts, run, "left").join(unseen, run, "left").join(include_keys, "dataset", "left")
     found = F.col("names").isNotNull()
     key_columns = F.when(found, F.filter("names", lambda n: n != "occurs")).otherwise(F.coalesce("columns", F.array().cast("array<string>")))
     table = F.concat(F.lit("\n| "), F.array_join("names", " | "), F.lit(" |\n"), F.col("samples"))
