@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from gaugeworks.functions import coerce as K
 from gaugeworks.operators import candidates as C
 from gaugeworks.operators import evidence as E
 from gaugeworks.operators.relational import text_parts
@@ -76,3 +77,10 @@ def test_evidence_text_reads_development_once_per_ticket(spark):
     optimized = E.evidence_text(read)._jdf.queryExecution().optimizedPlan().toString()
     kept = E.evidence_text(plain.withColumn("development_at", F.lit(None).cast("timestamp_ntz")))._jdf.queryExecution().optimizedPlan().toString()
     assert "split" in optimized and "split" not in kept
+
+
+def test_significant_digits_are_written_from_one_scientific_form(spark):
+    df = spark.createDataFrame([(None, None), (0.0, "0"), (-1234.5, "-1,234.5"), (1234567.0, "1.23457e+06"), (0.00001234, "1.234e-05"), (0.0001, "0.0001"), (999999.5, "1e+06")], "x double, want string")
+    shown = df.select("want", K.fmt_significant("x", 6, commas=True).alias("got"))
+    assert [r["got"] for r in shown.collect()] == [r["want"] for r in df.collect()]
+    assert shown._jdf.queryExecution().optimizedPlan().toString().count("format_number") == 2
