@@ -37,6 +37,7 @@ from .words import ONE, by_size, mix
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 BATCH_BYTES = 4 << 20
+BATCH_IDS = 1 << 20  # ids decoded together
 HELD = 500_000  # pieces and words that a worker remembers, besides those of one batch
 PAIRS = 1_000_000  # token pairs it remembers
 TOGETHER = 64  # bytes of the longest piece that is encoded together with others
@@ -388,17 +389,39 @@ def append_rows(path: str, pattern: str):
     return run
 
 
+def by_ids(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``limit`` ids, one row at least."""
+    for batch in batches:
+        counts = pa.compute.fill_null(pa.compute.list_value_length(batch.column("ids")), 0)
+        sizes = np.cumsum(counts.to_numpy(zero_copy_only=False), dtype=np.int64)
+        a = 0
+        while a < len(sizes):
+            done = int(sizes[a - 1]) if a else 0
+            b = max(a + 1, int(np.searchsorted(sizes, done + limit, side="right")))
+            yield batch.slice(a, b - a)
+            a = b
+
+
+def decoder(path: str):
+    """A function from lists of ids to the bytes they stand for."""
+    tokens = {rank: token for token, rank in read_ranks(path).items()}
+    vocabulary = pa.array([tokens.get(i, b"") for i in range(max(tokens) + 1)], pa.large_binary())
+
+    def decoded(ids: pa.ListArray) -> pa.Array:
+        ends = np.concatenate([[0], np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(ids), 0).to_numpy(zero_copy_only=False))]).astype(np.int64)
+        parts = vocabulary.take(ids.flatten())
+        offsets = np.frombuffer(parts.buffers()[1], np.int64)[parts.offset : parts.offset + len(parts) + 1] if len(parts) else np.zeros(1, np.int64)
+        whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(offsets[ends].tobytes()), parts.buffers()[2]])
+        return whole.cast(pa.binary())
+
+    return decoded
+
+
 def decode_rows(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = {rank: token for token, rank in read_ranks(path).items()}
-        vocabulary = pa.array([tokens.get(i, b"") for i in range(max(tokens) + 1)], pa.large_binary())
-        for batch in batches:
-            ids = batch.column("ids")
-            ends = np.concatenate([[0], np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(ids), 0).to_numpy(zero_copy_only=False))]).astype(np.int64)
-            parts = vocabulary.take(ids.flatten())
-            offsets = np.frombuffer(parts.buffers()[1], np.int64)[parts.offset : parts.offset + len(parts) + 1] if len(parts) else np.zeros(1, np.int64)
-            whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(offsets[ends].tobytes()), parts.buffers()[2]])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), whole.cast(pa.binary())], ["doc_id", "bytes"])
+        decoded = decoder(path)
+        for batch in by_ids(batches, BATCH_IDS):
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), decoded(batch.column("ids"))], ["doc_id", "bytes"])
 
     return run
 
@@ -424,21 +447,30 @@ def digest_rows(path: str):
     """Number of ids, their checksum as text, and the checksum of the decoded bytes."""
     import hashlib
 
-    back = decode_rows(path)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        decoded = decoder(path)
+        for batch in by_ids(batches, BATCH_IDS):
             ids = batch.column("ids")
-            joined = pa.compute.binary_join(ids.cast(pa.list_(pa.string())), ",")
-            for decoded in back(iter([batch])):
-                columns = [[hashlib.sha256(x).hexdigest() for x in column] for column in (map(str.encode, joined.to_pylist()), decoded.column("bytes").to_pylist())]
+            joined = pa.compute.binary_join(ids.cast(pa.list_(pa.string())), ",").cast(pa.binary())
+            columns = [[hashlib.sha256(x.as_buffer()).hexdigest() for x in column] for column in (joined, decoded(ids))]
             counts = pa.compute.list_value_length(ids).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), counts, *[pa.array(c, pa.string()) for c in columns]], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return run
 
 
+def one_after_the_other(first, second):
+    """Both steps in one worker: in two, each worker in turn takes either step, and all come to hold an encoder."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return second(first(batches))
+
+    return run
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's number of ids, and checksums of the ids and of what they decode to."""
-    coded = encode(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return coded.mapInArrow(digest_rows(default_tokenizer()), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    path = default_tokenizer()
+    digests = one_after_the_other(encode_rows(path, default_pattern()), digest_rows(path))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return docs.mapInArrow(digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

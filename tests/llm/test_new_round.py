@@ -179,6 +179,26 @@ def test_encode_append_decode_tables(spark, tiktoken_encoding):
     assert prefix_bpe.encode(docs.limit(0)).collect() == [] and prefix_bpe.decode(coded.limit(0)).collect() == []
 
 
+def test_ids_are_decoded_in_bounded_batches(monkeypatch):
+    path, sizes = prefix_bpe.default_tokenizer(), [3, 0, 5, 2, 2, 9, 1]
+    monkeypatch.setattr(prefix_bpe, "BATCH_IDS", 5)
+    ids = pa.array([list(range(97, 97 + n)) for n in sizes] + [None], pa.list_(pa.int32()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8), pa.int64()), ids], ["doc_id", "ids"])
+    got = list(prefix_bpe.decode_rows(path)(iter([batch])))
+    assert [len(b) for b in got] == [2, 1, 2, 1, 2]
+    tokens = {rank: token for token, rank in prefix_bpe.read_ranks(path).items()}
+    want = [b"".join(map(tokens.__getitem__, row or [])) for row in ids.to_pylist()]
+    assert [x for b in got for x in b.column("bytes").to_pylist()] == want
+    digests = [r for b in prefix_bpe.digest_rows(path)(iter([batch.slice(0, 7)])) for r in b.to_pylist()]
+    assert [r["n_tokens"] for r in digests] == sizes and [r["decoded_sha256"] for r in digests] == [hashlib.sha256(x).hexdigest() for x in want[:7]]
+    assert [r["ids_sha256"] for r in digests] == [hashlib.sha256(",".join(map(str, row)).encode()).hexdigest() for row in ids.to_pylist()[:7]]
+
+
+def test_one_worker_encodes_and_decodes(spark):
+    plan = prefix_bpe.query(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall("MapInArrow", plan)) == 1
+
+
 def test_prefix_bpe_query(spark, tiktoken_encoding):
     got = {r.doc_id: tuple(r)[1:] for r in prefix_bpe.query(spark, SF).collect()}
     want = {}
