@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import split_break_key, valid_email
+from ..session import materialize
 from ..sources.readers import Source, read_first_available
-from .relational import PART_LINES, first_row, list_rows, text_parts
+from .relational import PART_LINES, first_row, list_rows, text_parts, union_all
 
 
 def load_notifications(spark: SparkSession, primary: Source, legacy: Source) -> DataFrame:
@@ -26,16 +27,18 @@ def recipients(keys: DataFrame, tickets: DataFrame, people: DataFrame, extras: D
     first; tickets without any fall back to assignee and reporter of ``people``.
     """
     wanted = keys.select("issue_key").filter(F.col("issue_key").isNotNull()).distinct()
-    held = tickets.withColumnRenamed("key", "issue_key").join(wanted, "issue_key", "left_semi")
-    assigned = held.select("issue_key", F.trim("assignee_email").alias("email")).filter(valid_email("email", domains))
+    held = tickets.withColumnRenamed("key", "issue_key")
     project = first_row(held, ["issue_key"], order_by).select("issue_key", F.trim("project").alias("project"))
-    added = project.join(extras.select("project", "email"), "project").select("issue_key", "email")
-    primary = assigned.unionByName(added).distinct()
-    fallback = people.withColumnRenamed("key", "issue_key").join(wanted, "issue_key", "left_semi").select(
-        "issue_key", F.explode(F.array("assignee_email", "reporter_email")).alias("email")
-    )
-    fallback = fallback.select("issue_key", F.trim("email").alias("email")).filter(valid_email("email", domains)).distinct()
-    return primary.unionByName(fallback.join(primary.select("issue_key").distinct(), "issue_key", "left_anti"))
+    listed = [
+        held.select("issue_key", F.trim("assignee_email").alias("email"), F.lit(0).alias("__tier")).filter(valid_email("email", domains)),
+        project.join(extras.select("project", "email"), "project").select("issue_key", "email", F.lit(0).alias("__tier")),
+        people.select(F.col("key").alias("issue_key"), F.explode(F.array("assignee_email", "reporter_email")).alias("email"))
+        .select("issue_key", F.trim("email").alias("email"), F.lit(1).alias("__tier")).filter(valid_email("email", domains)),
+    ]
+    # Dealt by ticket once: the join, the distinct addresses and the first tier of each ticket share it.
+    found = union_all(listed).join(wanted, "issue_key", "left_semi").groupBy("issue_key", "email").agg(F.min("__tier").alias("__tier"))
+    first = found.withColumn("__first", F.min("__tier").over(Window.partitionBy("issue_key")))
+    return first.filter(F.col("__tier") == F.col("__first")).select("issue_key", "email")
 
 
 def note_recipients(notes: DataFrame, by_ticket: DataFrame, distribution: Sequence[str], domains: Sequence[str]) -> DataFrame:
@@ -62,7 +65,7 @@ def group_notifications(
     addresses = note_recipients(notes, by_ticket, distribution, domains)
     emails = list_rows(addresses, ["dataset"], ["email"], "email", "recipients", ";", part_lines)
     keys = notes.select("dataset", F.trim("issue_key").alias("issue_key")).dropna().distinct()
-    told = heads.join(addresses.select("dataset").distinct(), "dataset", "left_semi")
+    told = heads.join(emails.filter("part = 0").select("dataset"), "dataset", "left_semi")
     issues = list_rows(keys, ["dataset"], ["issue_key"], "issue_key", "issue_keys", ";", part_lines)
     rows = emails.join(issues, ["dataset", "part"], "full")
     return told.join(rows, "dataset").select("dataset", "part", "notification_type", "issue_keys", "recipients")
@@ -74,20 +77,22 @@ def unpack_breaks(notes: DataFrame, order_by: Sequence[str], alert_breaks: DataF
     ``alert_breaks`` (dataset, break_key) gives the names of alerts as rows;
     without it they are read from the list cells of the notes.
     """
+    cell = F.split("detected_breaks", r"\|") if alert_breaks is None else F.array().cast("array<string>")
     heads = notes.filter(F.col("dataset").isNotNull()).groupBy("dataset").agg(
-        F.min_by(F.struct("notification_type", "suggested_title"), F.struct(*order_by)).alias("__h")
-    ).select("dataset", "__h.notification_type", F.col("__h.suggested_title").alias("__title"))
+        F.min_by(F.struct("notification_type", "suggested_title"), F.struct(*order_by)).alias("__h"),
+        F.coalesce(F.bool_or(F.exists(cell, lambda x: F.trim(x) != "")), F.lit(False)).alias("__named"),
+    ).select("dataset", "__h.notification_type", F.col("__h.suggested_title").alias("__title"), "__named")
     typed = notes.drop("notification_type").join(heads, "dataset")
     alert = F.col("notification_type") == "high_score_ticket"
-    cell = F.split("detected_breaks", r"\|") if alert_breaks is None else F.array().cast("array<string>")
     parts = F.when(alert, cell).otherwise(F.array("break_key"))
     rows = typed.select("dataset", F.explode_outer(parts).alias("break_key"))
+    bare = heads.filter(alert & ~F.col("__named"))
     if alert_breaks is not None:
         told = alert_breaks.select("dataset", "break_key").join(heads.filter(alert).select("dataset"), "dataset", "left_semi")
         rows = rows.unionByName(told)
+        bare = bare.join(alert_breaks.filter(F.trim("break_key") != "").select("dataset").distinct(), "dataset", "left_anti")
     rows = rows.select("dataset", F.trim("break_key").alias("break_key"))
     rows = rows.filter(F.col("break_key") != "").distinct()
-    bare = heads.filter(alert).join(rows.select("dataset").distinct(), "dataset", "left_anti")
     titles = bare.select("dataset", F.coalesce("__title", F.lit("No breaks detected")).alias("break_key"))
     return rows.unionByName(titles)
 
@@ -140,6 +145,7 @@ def render_messages(grouped: DataFrame, breaks: DataFrame, statuses: DataFrame,
     Lists too long for one row go on in messages of the same dataset with a
     higher ``part``; a list that has ended says so there.
     """
+    grouped = materialize(grouped, "grouped")
     broken = list_rows(break_list(breaks), ["dataset"], ["break_key"], "line", "break_text", part_lines=part_lines)
     prefix = f"{ticket_base}/browse/" if ticket_base else ""
     logged = statuses.select("dataset", "issue_key", F.concat(F.lit(f"- {prefix}"), F.col("issue_key"), F.lit(" ("), F.col("status"), F.lit(")")).alias("line"))

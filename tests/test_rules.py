@@ -326,3 +326,12 @@ def test_latest_date(spark):
     d = dt.datetime
     want = [d(2024, 3, 2), d(2024, 3, 1, 10, 11, 12), d(2024, 3, 1, 10, 11, 12, 500000), d(2024, 3, 1), d(2024, 3, 1), None, None, None, None, d(2024, 1, 5), None]
     assert one(spark, texts, "string", E.latest_date(F.col("v"))) == want
+
+
+def test_notification_queries_read_views_once(spark):
+    """Notes and owners are written once: the last plan computes no view of the given tables again in a branch."""
+    from gaugeworks.plans import load_all
+
+    for name in ("j03_recipients", "j04_group_notifications"):
+        files = load_all()[0][name](spark, "/root/testdata/sf0.001").inputFiles()
+        assert files and all("/gaugeworks/" in f for f in files)
