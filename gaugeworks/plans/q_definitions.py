@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import definitions as D
+from ..operators.relational import spread
 from .fixtures import add_views
 from .registry import query
 
@@ -36,7 +37,7 @@ add_views({
 
 
 def _defs(t):
-    return t.fx_def.withColumn("definition", F.from_json("text", D.DEFINITION))
+    return spread(t.fx_def, "p_partkey").withColumn("definition", F.from_json("text", D.DEFINITION))
 
 
 _FLAGS = """dataset, run_id AS "Run Id", p_brand AS "Link Id", {date} AS "Date Filter", {key} AS "Date Filter Key", TRUE AS "Scheduler",
@@ -108,13 +109,13 @@ def column_flag(t):
       LATERAL (SELECT unnest(CASE v WHEN 0 THEN [0, 1, 2] WHEN 1 THEN [0, 1] WHEN 3 THEN [0] END) AS position,
                       unnest(CASE v WHEN 0 THEN ['p_name', 'upper(concat(a, '','', b))', 't.size'] WHEN 1 THEN ['sum(x)', 'y'] WHEN 3 THEN ['a'] END) AS col_name) x""")
 def query_columns(t):
-    return D.query_columns(t.fx_query, ["p_partkey"], "sql_text")
+    return D.query_columns(spread(t.fx_query, "p_partkey"), ["p_partkey"], "sql_text")
 
 
 @query("c24_query_date_filter", """
     SELECT p_partkey, v IN (0, 1, 3) AS date_filter, CASE v WHEN 0 THEN 'load_dt' WHEN 1 THEN 'run_time' WHEN 3 THEN 'b' END AS date_field FROM fx_query""")
 def query_date_filter(t):
-    return D.query_date_filter(t.fx_query, "sql_text").select("p_partkey", "date_filter", "date_field")
+    return D.query_date_filter(spread(t.fx_query, "p_partkey"), "sql_text").select("p_partkey", "date_filter", "date_field")
 
 
 @query("c25_query_source_table", """
@@ -122,4 +123,4 @@ def query_date_filter(t):
            CASE v WHEN 0 THEN concat('tb_', CAST(q.p_partkey AS VARCHAR)) WHEN 1 THEN p_type WHEN 2 THEN concat('tb_', CAST(q.p_partkey AS VARCHAR)) WHEN 3 THEN 'tb' END AS table_nm
     FROM fx_query q JOIN part USING (p_partkey)""")
 def query_source_table(t):
-    return D.query_source_table(t.fx_query, "sql_text").select("p_partkey", "db_nm", "table_nm")
+    return D.query_source_table(spread(t.fx_query, "p_partkey"), "sql_text").select("p_partkey", "db_nm", "table_nm")

@@ -335,3 +335,12 @@ def test_notification_queries_read_views_once(spark):
     for name in ("j03_recipients", "j04_group_notifications"):
         files = load_all()[0][name](spark, "/root/testdata/sf0.001").inputFiles()
         assert files and all("/gaugeworks/" in f for f in files)
+
+
+def test_definitions_are_dealt_over_all_tasks(spark):
+    """A definition takes long and few bytes, so one small file must not be one task."""
+    from gaugeworks.plans import load_all
+
+    dealt = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for name in ("c18_definition_rows", "c24_query_date_filter"):
+        assert load_all()[0][name](spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == dealt > 1
