@@ -329,10 +329,10 @@ def test_latest_date(spark):
 
 
 def test_notification_queries_read_views_once(spark):
-    """Notes and owners are written once: the last plan computes no view of the given tables again in a branch."""
+    """Notes, owners, high tickets and their breaks are written once: the last plan computes no view of the given tables again in a branch."""
     from gaugeworks.plans import load_all
 
-    for name in ("j03_recipients", "j04_group_notifications"):
+    for name in ("j03_recipients", "j04_group_notifications", "h15_high_score_alerts"):
         files = load_all()[0][name](spark, "/root/testdata/sf0.001").inputFiles()
         assert files and all("/gaugeworks/" in f for f in files)
 
