@@ -344,3 +344,10 @@ def test_definitions_are_dealt_over_all_tasks(spark):
     dealt = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for name in ("c18_definition_rows", "c24_query_date_filter"):
         assert load_all()[0][name](spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == dealt > 1
+
+
+def test_merged_partitions_stay_small(spark):
+    """A task's memory follows the partitions that are merged for it, so their size is set and below Spark's 64 MB."""
+    from gaugeworks.session import SETTINGS
+
+    assert int(SETTINGS.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", 64 << 20)) <= 8 << 20
