@@ -21,7 +21,7 @@ from ..functions.text import blank_to_null, break_type, dimension_labels, is_row
 from ..session import materialize
 from .history import row_history
 from .matching import drop_matched
-from .relational import PART_LINES, first_row, join_null_safe, shuffled, text_of_lines, text_parts, top_n
+from .relational import PART_LINES, first_row, join_null_safe, shuffled, text_of_lines, text_parts, top_n, whole_text
 from .tickets import active_subtasks, stable_titles
 
 # Numeric columns of an adaptive finding, labels of the profile sources.
@@ -345,12 +345,12 @@ def split_pattern(df: DataFrame) -> DataFrame:
 
 
 def pattern_candidates(patterns: DataFrame, observations: DataFrame, tie: Sequence[str], labels: Sequence[str] = SOURCE_LABELS["pattern"]) -> DataFrame:
-    """One candidate per (dataset, run, pattern) of the scheduled findings."""
+    """One candidate per (dataset, run, pattern) of the scheduled findings, with all its sample tables."""
     keys = ["dataset", "runId", "pattern"]
     split = split_pattern(_scheduled(patterns)).dropna(subset=keys)
     heads = _heads(split, keys, "obsScore", tie)
     lines = pattern_lines(split, observations, tie)
-    texts = text_of_lines(_spaced(lines), keys, PATTERN_ORDER, "line", "samples")
+    texts = whole_text(_spaced(lines), keys, PATTERN_ORDER, "line", "samples")
     joined = heads.join(texts, keys, "left")
     description = _join_lines(
         _head_text("pattern"),

@@ -351,3 +351,37 @@ def test_merged_partitions_stay_small(spark):
     from gaugeworks.session import SETTINGS
 
     assert int(SETTINGS.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", 64 << 20)) <= 8 << 20
+
+
+def _long_run(spark):
+    """1,200 sample keys of one run with two records each."""
+    found = spark.range(1200).select(
+        F.lit("d").alias("dataset"), F.lit("r").alias("runId"), F.format_string("k%04d", "id").alias("obsKey"), F.lit("Title ~~ AB").alias("obs"),
+        F.lit(1.0).alias("obsScore"), F.lit(1.0).alias("owlRank"), F.lit("true").alias("jobSchedule"),
+    )
+    pair = F.posexplode(F.array(F.create_map(F.lit("q"), F.concat("obsKey", F.lit("a"))), F.create_map(F.lit("q"), F.concat("obsKey", F.lit("b"))))).alias("ord", "record")
+    records = found.select("dataset", "runId", "obsKey", pair).withColumn("ord", F.concat("obsKey", F.col("ord").cast("string")))
+    return found, records
+
+
+def _one_text(df):
+    rows = df.collect()
+    assert len(rows) == 1 and "further parts" not in rows[0].jira_description
+    return rows[0].jira_description.split("\n")
+
+
+def test_long_pattern_candidates_hold_every_line(spark):
+    lines = _one_text(C.pattern_candidates(*_long_run(spark), ["obsKey"]))
+    assert [x for x in lines if x.startswith("| 1.0 |")] == [f"| 1.0 | k{i:04d}a |" for i in range(1200)]
+    assert [x for x in lines if x.startswith("| Maj")] == [f"| Majority Pattern | k{i:04d}b |" for i in range(1200)]
+
+
+def test_whole_text_over_parts(spark):
+    """Any number of lines a part gives the same cell, null lines and null keys included."""
+    from gaugeworks.operators.relational import whole_text
+
+    rows = [("a", i, None if i % 3 == 1 or 4 <= i < 9 else str(i)) for i in range(12)] + [(None, 1, "x"), (None, 0, "y"), ("n", 0, None)]
+    lines = spark.createDataFrame(rows, "k string, i int, line string").repartition(3)
+    for part in (1, 2, 5, 999):
+        got = {r.k: r.t for r in whole_text(lines, ["k"], ["i"], "line", "t", ",", part).collect()}
+        assert got == {"a": "0,2,3,9,11", None: "y,x", "n": ""}
