@@ -407,8 +407,8 @@ def duplicate_candidates(
     scheduled = _scheduled(dupes).dropna(subset=run)
     heads = _heads(scheduled, run, "owlRank", tie)
     headers, lines = duplicate_lines(scheduled, observations)
-    texts = text_of_lines(lines, run, ["ord", "line"], "line", "samples")
-    unseen = text_of_lines(unseen_keys(scheduled, headers, tie), run, list(tie), "obsKey", "unseen", ", ")
+    texts = whole_text(lines, run, ["ord", "line"], "line", "samples")
+    unseen = whole_text(unseen_keys(scheduled, headers, tie), run, list(tie), "obsKey", "unseen", ", ")
     joined = heads.join(shuffled(headers), run, "left").join(texts, run, "left").join(unseen, run, "left").join(include_keys, "dataset", "left")
     found = F.col("names").isNotNull()
     key_columns = F.when(found, F.filter("names", lambda n: n != "occurs")).otherwise(F.coalesce("columns", F.array().cast("array<string>")))

@@ -385,3 +385,12 @@ def test_whole_text_over_parts(spark):
     for part in (1, 2, 5, 999):
         got = {r.k: r.t for r in whole_text(lines, ["k"], ["i"], "line", "t", ",", part).collect()}
         assert got == {"a": "0,2,3,9,11", None: "y,x", "n": ""}
+
+
+def test_long_duplicate_candidates_hold_every_line(spark):
+    found, records = _long_run(spark)
+    keys = spark.createDataFrame([], "dataset string, columns array<string>")
+    lines = _one_text(C.duplicate_candidates(found, records, keys, ["obsKey"]))
+    assert [x for x in lines if x.startswith("| k")] == [f"| k{i:04d}{c} |" for i in range(1200) for c in "ab"]
+    lines = _one_text(C.duplicate_candidates(found, records.limit(0), keys, ["obsKey"]))
+    assert lines[-1].split(": ")[1].split(", ") == [f"k{i:04d}" for i in range(1200)]
