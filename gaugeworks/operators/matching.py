@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import squeeze
@@ -159,46 +159,85 @@ def _unit(terms: Column, space: str, norm: Column) -> Column:
     return F.transform(own, lambda x: F.struct(x["term"].alias("term"), (x["w"] / norm).alias("w")))
 
 
-def title_vectors(candidates: DataFrame, tickets: DataFrame, limit: float) -> DataFrame:
-    """Both sides as one table of distinct titles with their TF-IDF vectors.
-
-    Columns: id, ds (a hash of the dataset), dataset, title, side (c or t), ord,
-    keys (the leading terms of both spaces for cosines of ``limit`` or more), and
-    terms and weights as two arrays, the ``n_char`` of the characters first.  The
-    frequencies come from the ticket titles alone, copies included; terms no
-    ticket title has are dropped.  A vector holds the terms of one title, so the
-    lists stay as short as titles.  Terms travel with numbers in place of titles
-    and datasets.
-    """
+# Distinct titles whose terms one task holds, and from how many on a dataset's terms are dealt by themselves.
+TASK_TITLES = 20_000
+
+
+def distinct_titles(candidates: DataFrame, tickets: DataFrame) -> DataFrame:
+    """Both sides as one table of distinct titles, written once: id, ds (a hash of the dataset), dataset, title, side (c or t), copies, ord."""
     titles = tickets.filter(squeeze("title") != "").groupBy("dataset", "title").agg(F.count("*").alias("copies"), F.min("ord").alias("ord"))
     wanted = candidates.select("dataset", "title").filter(F.col("title").isNotNull()).distinct()
     wanted = wanted.join(shuffled(tickets.select("dataset")), "dataset", "left_semi")
     both = titles.withColumn("side", F.lit("t")).unionByName(
         wanted.withColumns({"side": F.lit("c"), "copies": F.lit(0).cast("bigint"), "ord": F.lit(None).cast(titles.schema["ord"].dataType)})
     )
-    both = materialize(both.withColumns({"id": F.monotonically_increasing_id(), "ds": F.xxhash64("dataset")}), "distinct-titles")
+    return materialize(both.withColumns({"id": F.monotonically_increasing_id(), "ds": F.xxhash64("dataset")}), "distinct-titles")
+
+
+def _weighed_in_place(both: DataFrame, tasks: int) -> DataFrame:
+    """Terms with their weights where only titles are shuffled: a dataset's titles meet in one task and are cut into terms there.
+
+    Terms are numbered within their dataset.
+    """
+    dealt = both.select("ds", "id", "copies", "title").repartition(tasks, "ds")
+    sized = dealt.withColumn("n", F.sum("copies").over(Window.partitionBy("ds")))
+    met = Window.partitionBy("ds", "term")
+    terms = title_terms(sized, ["ds", "id", "copies", "n"]).withColumn("df", F.sum("copies").over(met)).filter("df > 0")
+    numbered = terms.withColumn("term", F.dense_rank().over(Window.partitionBy("ds").orderBy("term")).cast("bigint"))
+    idf = F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1
+    return numbered.select("ds", "id", "copies", "space", "term", idf.alias("idf"), (F.col("tf") * idf).alias("w"))
+
+
+def _weighed_apart(both: DataFrame) -> DataFrame:
+    """The same for datasets of very many titles: terms are dealt by dataset and term, so no task holds a dataset."""
     # One text is the title of many datasets: it is cut into terms once.
     texts = title_terms(both.select("title").distinct(), ["title"]).groupBy("title").agg(F.collect_list(F.struct("space", "term", "tf")).alias("terms"))
-    held = both.join(shuffled(texts), "title").select("id", "ds", "side", "copies", F.explode("terms").alias("t"))
-    terms = held.select("id", "ds", "side", "copies", "t.space", "t.term", "t.tf")
-    total = both.filter("side = 't'").groupBy("ds").agg(F.sum("copies").alias("n"))
-    frequency = terms.filter("side = 't'").groupBy("ds", "term").agg(F.sum("copies").alias("df"))
+    held = both.join(shuffled(texts), "title").select("id", "ds", "copies", F.explode("terms").alias("t"))
+    terms = held.select("id", "ds", "copies", "t.space", "t.term", "t.tf")
+    total = both.groupBy("ds").agg(F.sum("copies").alias("n"))
+    frequency = terms.filter("copies > 0").groupBy("ds", "term").agg(F.sum("copies").alias("df"))
     idf = frequency.join(shuffled(total), "ds").select("ds", "term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
-    weighed = terms.join(shuffled(idf), ["ds", "term"])
-    weighed = weighed.withColumn("w", F.col("tf") * F.col("idf"))
+    return terms.join(shuffled(idf), ["ds", "term"]).select("ds", "id", "copies", "space", "term", "idf", (F.col("tf") * F.col("idf")).alias("w"))
+
+
+def _vectors(both: DataFrame, limit: float) -> DataFrame:
+    """The TF-IDF vectors of ``distinct_titles``.
+
+    Columns: ds, id, side, keys (the leading terms of both spaces for cosines
+    of ``limit`` or more), and terms and weights as two arrays, the ``n_char``
+    of the characters first.  The frequencies come from the ticket titles
+    alone, copies included; terms no ticket title has are dropped.  A vector
+    holds the terms of one title, so the lists stay as short as titles.  Terms
+    travel with numbers in place of titles and datasets.
+    """
     entry = F.struct((-F.col("idf")).alias("rarity"), "space", "term", "w")
 
     def norm_of(space: str) -> Column:
         return F.sqrt(F.sum(F.when(F.col("space") == space, F.col("w") * F.col("w"))))
 
-    lists = weighed.groupBy("id").agg(F.sort_array(F.collect_list(entry)).alias("terms"), norm_of("c").alias("char_norm"), norm_of("w").alias("word_norm"))
-    units = lists.select("id", _unit(F.col("terms"), "c", F.col("char_norm")).alias("char"), _unit(F.col("terms"), "w", F.col("word_norm")).alias("word"))
-    every = F.concat("char", "word")
-    flat = units.select(
-        "id", F.concat(_prefix(F.col("char"), limit), _prefix(F.col("word"), limit)).alias("keys"), F.size("char").alias("n_char"),
-        F.transform(every, lambda x: x["term"]).alias("terms"), F.transform(every, lambda x: x["w"]).alias("weights"),
-    )
-    return flat.join(shuffled(both.select("id", "dataset", "ds", "title", "side", "ord")), "id")
+    def flat(weighed: DataFrame) -> DataFrame:
+        lists = weighed.groupBy("ds", "id").agg(
+            F.max("copies").alias("copies"), F.sort_array(F.collect_list(entry)).alias("terms"), norm_of("c").alias("char_norm"), norm_of("w").alias("word_norm")
+        )
+        units = lists.select("ds", "id", "copies", _unit(F.col("terms"), "c", F.col("char_norm")).alias("char"), _unit(F.col("terms"), "w", F.col("word_norm")).alias("word"))
+        every = F.concat("char", "word")
+        return units.select(
+            "ds", "id", F.when(F.col("copies") > 0, "t").otherwise("c").alias("side"),
+            F.concat(_prefix(F.col("char"), limit), _prefix(F.col("word"), limit)).alias("keys"), F.size("char").alias("n_char"),
+            F.transform(every, lambda x: x["term"]).alias("terms"), F.transform(every, lambda x: x["w"]).alias("weights"),
+        )
+
+    tasks = max(int(both.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-both.count() // TASK_TITLES))
+    large = both.groupBy("ds").count().filter(F.col("count") > TASK_TITLES).select("ds")
+    if large.isEmpty():
+        return flat(_weighed_in_place(both, tasks))
+    usual, rest = (both.join(shuffled(large), "ds", how) for how in ("left_anti", "left_semi"))
+    return flat(_weighed_in_place(usual, tasks)).unionByName(flat(_weighed_apart(rest)))
+
+
+def title_vectors(candidates: DataFrame, tickets: DataFrame, limit: float) -> DataFrame:
+    """The vectors of both sides' distinct titles; see ``_vectors``."""
+    return _vectors(distinct_titles(candidates, tickets), limit)
 
 
 def _prefix(vec: Column, bound: float) -> Column:
@@ -266,11 +305,15 @@ def match_titles(candidates: DataFrame, tickets: DataFrame, threshold: float = 0
     limit = (threshold - WEIGHTS["tokens"] - WEIGHTS["columns"]) / (WEIGHTS["char"] + WEIGHTS["word"])
     if limit <= 0:
         raise ValueError("threshold must exceed 0.3 so that a shared term is required")
-    vectors = materialize(title_vectors(candidates, tickets, limit), "titles")
+    both = distinct_titles(candidates, tickets)
+    vectors = materialize(_vectors(both, limit), "titles")
 
     def side(name: str) -> DataFrame:
         return vectors.filter(F.col("side") == name)
 
+    def titles(name: str) -> DataFrame:
+        return both.filter(F.col("side") == name)
+
     def keyed(name: str) -> DataFrame:
         return side(name).select("ds", F.col("id").alias(f"{name}_id"), F.explode("keys").alias("key"))
 
@@ -279,8 +322,8 @@ def match_titles(candidates: DataFrame, tickets: DataFrame, threshold: float = 0
     pairs = keyed("c").join(shuffled(keyed("t")), ["ds", "key"]).select("c_id", "t_id").distinct()
     scored = pairs.join(shuffled(left), "c_id").join(shuffled(right), "t_id").select("c_id", "t_id", _cosines().alias("cosines"))
     close = scored.filter(F.col("cosines") + WEIGHTS["tokens"] + WEIGHTS["columns"] >= threshold - 1e-9)
-    named = close.join(shuffled(side("c").select(F.col("id").alias("c_id"), "dataset", F.col("title").alias("c"))), "c_id")
-    named = named.join(shuffled(side("t").select(F.col("id").alias("t_id"), F.col("title").alias("t"), "ord")), "t_id")
+    named = close.join(shuffled(titles("c").select(F.col("id").alias("c_id"), "dataset", F.col("title").alias("c"))), "c_id")
+    named = named.join(shuffled(titles("t").select(F.col("id").alias("t_id"), F.col("title").alias("t"), "ord")), "t_id")
     near = named.withColumns(
         {
             "parts": token_parts(title_words(F.col("c")), title_words(F.col("t"))),
@@ -292,7 +335,7 @@ def match_titles(candidates: DataFrame, tickets: DataFrame, threshold: float = 0
     near = materialize(near.withColumn("high", high).filter(F.col("high") >= threshold - 1e-9), "near-titles")
     low = near.groupBy("c_id").agg(F.max(F.col("cosines") + WEIGHTS["tokens"] * F.col("parts.low")).alias("best_low"))
     near = near.join(shuffled(low), "c_id").filter(F.col("high") >= F.col("best_low") - 1e-9).withColumn("tokens", token_set_ratio(F.col("parts")))
-    near = near.join(shuffled(_best_overlap(near, side("t"))), ["dataset", "c_cols"], "left")
+    near = near.join(shuffled(_best_overlap(near, titles("t"))), ["dataset", "c_cols"], "left")
     overlap = F.when(F.col("shared") == 0, 0.0).otherwise(F.col("shared") / F.coalesce("best_shared", F.size("c_cols")))
     blended = F.col("cosines") + WEIGHTS["tokens"] * F.col("tokens") + WEIGHTS["columns"] * overlap
     found = near.withColumn("score", F.round(blended, 12)).filter(F.col("score") >= threshold)

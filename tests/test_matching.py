@@ -160,6 +160,30 @@ def test_titles_are_never_sent_whole(spark):
         assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_terms_are_not_shuffled(spark):
+    """Titles are dealt by dataset once, and cut into their many terms only there."""
+    rows = spark.createDataFrame([("d", "col_a: NULL", 1), ("d", "col_b: Invalid", 2)], "dataset string, title string, ord int")
+    plan = M.title_vectors(rows.drop("ord"), rows, 0.6)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_large_datasets_match_alike(spark, monkeypatch):
+    """Datasets of more titles than a task takes give the same matches as small ones; null names and blank titles are there too."""
+    rng = random.Random(11)
+
+    def rows(n):
+        names = ["hot"] * 3 + ["a", "b", None]
+        return [(rng.choice(names), f"{rng.choice(['col_a', 'Ord id', 'ü x', ''])}: {rng.choice(['NULL', 'Invalid', 'of of it', ''])} {rng.randrange(6)}", i) for i in range(n)] + [("a", " ", n), ("a", None, n)]
+
+    tickets = spark.createDataFrame(rows(150), "dataset string, title string, ord int")
+    wanted = spark.createDataFrame(rows(120), "dataset string, title string, ord int").drop("ord")
+    found = []
+    for most in (20_000, 30, 1):
+        monkeypatch.setattr(M, "TASK_TITLES", most)
+        found.append(sorted(map(tuple, M.match_titles(wanted, tickets).collect())))
+    assert found[0] == found[1] == found[2] and len(found[0]) > 20
+
+
 def test_custom_rules_are_never_sent_whole(spark):
     rules = spark.createDataFrame([("d", "r", "if_a_is_bad", "Validity", "col_a")], "dataset string, runId string, ruleNm string, dimName string, columnName string")
     breaks = spark.createDataFrame([("d", "r", "if_a_is_bad", "BREAKING", 1.0, 2.0)], "dataset string, runId string, ruleNm string, breakMsg string, score double, perc double")
