@@ -55,6 +55,9 @@ def _join_lines(*lines: Column) -> Column:
     return F.array_join(F.array_compact(F.array(*lines)), "\n")
 
 
+RULE_COLUMNS = ("ruleType", "ruleValue", "dimName", "Project", "columnName", "businessDesc", "db_nm", "table_nm")
+
+
 def custom_candidates(
     rules: DataFrame,
     breaks: DataFrame,
@@ -70,13 +73,15 @@ def custom_candidates(
     keys = ["dataset", "runId", "ruleNm"]
     failing = F.upper("breakMsg") == "BREAKING" if "breakMsg" in breaks.columns else safe_double("perc") > 0
     broken = breaks.filter(failing & (safe_double("perc") > 0)).select(*keys, *measured)
-    full = _optional(rules.drop(*measured), "ruleType", "ruleValue", "dimName", "Project", "columnName", "businessDesc", "db_nm", "table_nm")
+    full = _optional(rules.drop(*measured), *RULE_COLUMNS)
     merged = join_null_safe(full, shuffled(broken), keys, "inner")
     if "jobSchedule" in merged.columns:
         merged = merged.filter(boolish("jobSchedule"))
     titled = merged.withColumn(
         "suggested_title", rule_title("ruleNm", title_value("columnName", "ruleValue", "ruleNm"), "dimName", name_rules)
     )
+    # The matching and the candidates both use the failed rules: the wide joins run once.
+    titled = materialize(titled.select(*keys, *RULE_COLUMNS, "score", "perc", "suggested_title"), "failed-rules")
     existing = active_subtasks(tickets).select(F.col("parent_summary").alias("dataset"), "title", "ord")
     fresh = drop_matched(titled, existing, "suggested_title", threshold)
     table = composite_id("db_nm", "table_nm")

@@ -191,3 +191,14 @@ def test_custom_rules_are_never_sent_whole(spark):
     found = C.custom_candidates(rules, breaks, tickets)
     assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
     assert [r.suggested_title for r in found.collect()] == ["col_a: Invalid"]
+
+
+def test_custom_rules_are_joined_once(spark):
+    """The failed rules are written and read again by the matching and the candidates, so their joins do not run twice."""
+    rules = spark.createDataFrame([("d", "r", "if_a_is_bad", "Validity", "col_a")], "dataset string, runId string, ruleNm string, dimName string, columnName string")
+    breaks = spark.createDataFrame([("d", "r", "if_a_is_bad", "BREAKING", 1.0, 2.0)], "dataset string, runId string, ruleNm string, breakMsg string, score double, perc double")
+    tickets = spark.createDataFrame([("Sub-task", "Open", "d", "col_a: Invalid", 1)], "issue_type string, status string, parent_summary string, title string, ord int")
+    found = C.custom_candidates(rules, breaks, tickets)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "LocalTableScan" not in plan and "ExistingRDD" not in plan and "failed-rules" in plan
+    assert found.count() == 0
