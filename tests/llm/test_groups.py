@@ -3,10 +3,11 @@
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from gaugeworks.llm import components, decontaminate, jaccard, lines, mixing, rollups, substrings
+from gaugeworks.llm import components, decontaminate, jaccard, lines, mixing, picks, rollups, substrings
 from tests.llm.helpers import Groups, near_groups, plain, table, without_repeats
 
 EDGE = [
@@ -62,6 +63,54 @@ def test_near_groups_of_given_documents(spark):
     assert plain(got) == near_groups(rows)
 
 
+def test_accidental_meetings_do_not_tie_units(spark):
+    """Unlike sets in a chain of shared passages, beside near copies: a unit too large is formed anew without the chain."""
+    rng = np.random.default_rng(4)
+    words = [[f"w{i}" for i in rng.integers(0, 10**9, 200)] for _ in range(30)]
+    for before, after in zip(words, words[1:]):
+        after[:60] = before[-60:]
+    copies = [[*words[5][:-1], f"x{i}"] for i in range(3)]
+    crowd = [[*words[20][:-1], f"y{i}"] for i in range(jaccard.FEW + 3)]  # more than are compared pair by pair
+    rows = [(i, " ".join(w)) for i, w in enumerate(words + copies + crowd)]
+    docs = frame(spark, rows).selectExpr("doc_id", "xxhash64(text) AS key", "text")
+    table = spark.sparkContext.broadcast(np.zeros(jaccard.SKETCH, np.uint8))  # no n-gram is known to be rare
+    sets = docs.select("doc_id", "text").mapInArrow(sigs, "doc_id long, sig long, n long").selectExpr("sig", "doc_id", "n", "0L AS unit")
+    units = {r.doc_id: r.unit for r in jaccard.finer_units(docs, sets, 4, 85, table).collect()}
+    assert {5, 30, 31, 32} <= {d for d, u in units.items() if u == units[5]} and not units.keys() & {0, 1, 10, 11, 28}
+    assert len({units[d] for d in (20, *range(33, 33 + len(crowd)))}) == 1 != len({units[5], units[20]})
+    want = near_groups(rows)
+    for block_tokens in (jaccard.BLOCK_TOKENS, 3000, 500):
+        assert plain(jaccard.near_groups(frame(spark, rows), block_tokens=block_tokens).select("doc_id", "n_shingles", "component_id")) == want
+
+
+def sigs(batches):
+    for batch in batches:
+        sets = jaccard.shingle_sets(batch.column("text"))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([jaccard.signature(s) for s in sets]), pa.array([len(s) for s in sets])], ["doc_id", "sig", "n"])
+
+
+def test_postings_that_meet_no_other_stay(spark):
+    """Of documents without shared n-grams almost no posting is sent; two that share some still meet, in one task or two."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 10**9, 300)) for _ in range(40)]
+    docs = spark.createDataFrame([(t,) for t in [*texts, texts[0] + " z", texts[1] + " z"]], "text string").repartition(4)
+    table = spark.sparkContext.broadcast(np.zeros(jaccard.SKETCH, np.uint8))
+    log = 20
+    twice = spark.sparkContext.broadcast(jaccard.met_twice(docs, 4, 85, table, log))
+    sent = docs.mapInArrow(jaccard.meet_rows(4, 85, table, twice, log), "gram long, low long, high long, sig long").collect()
+    assert len(sent) < 400  # of some 2,000
+    assert len({r.sig for r in sent if [x.gram for x in sent].count(r.gram) > 1}) >= 2
+
+
+def test_texts_are_picked_by_id(spark):
+    rows = spark.range(20_000).selectExpr("CASE WHEN id % 1000 = 1 THEN NULL ELSE id END AS doc_id", "CAST(id AS STRING) AS text")
+    got = picks.picked(rows, "doc_id", spark.range(0, 20_000, 100).toDF("w"), 200)
+    kept = [r.doc_id for r in got.collect()]
+    assert got.columns == ["doc_id", "text"] and kept.count(None) == 20
+    assert {*range(0, 20_000, 100)} <= {*kept} and len(kept) < 1000
+    assert picks.picked(rows, "doc_id", spark.range(0).toDF("w"), 0).filter("doc_id is not null").count() == 0
+
+
 def test_near_groups_edges_and_blocks(spark):
     rng = np.random.default_rng(2)
     text = [f"w{i}" for i in rng.integers(0, 10**6, 80)]
